@@ -1,0 +1 @@
+"""No streaming operators: the feature set this package covers is batch only."""
