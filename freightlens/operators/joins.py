@@ -54,9 +54,9 @@ def lookup_join(
         same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_hot{i}")) for i, n in enumerate(names)])
         return df.join(hot, same, "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
 
-    dealt = with_copies(rows, probes).select(
-        *rows.columns, F.pmod(F.monotonically_increasing_id(), F.col("_copies")).cast("int").alias("_deal")
-    )
+    # dealt by content, so that a recomputed task sends each row to the same copy
+    deal = F.when(F.col("_copies") > 1, F.pmod(F.xxhash64(*rows_in), F.col("_copies"))).otherwise(0)
+    dealt = with_copies(rows, probes).select(*rows.columns, deal.cast("int").alias("_deal"))
     copied = with_copies(lookup, keys).select(
         *lookup.columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")
     )
