@@ -20,12 +20,14 @@ def lookup_join(
     on: Sequence[tuple[str | Column, str]],
     take: Sequence[str],
     null_safe: bool = False,
+    how: str = "left",
+    lookup_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Left join `rows` to a stored `lookup` whose `on` keys are unique, adding the `take` columns.
+    """Join `rows` to a stored `lookup` whose `on` keys are unique, adding the `take` columns.
 
-    The lookup's row count decides between a broadcast and a shuffle. In the shuffled case, keys that
+    The lookup's row count (`lookup_rows` if known) decides between a broadcast and a shuffle. In the shuffled case, keys that
     more than `hot_rows` rows share are dealt out over numbered copies of their lookup row: there are at
     most count(rows) / hot_rows such keys, which bounds both the broadcast list and the copies.
     """
@@ -37,8 +39,8 @@ def lookup_join(
     pairs = [(F.col(p).eqNullSafe(F.col(k)) if null_safe else F.col(p) == F.col(k)) for p, k in zip(probes, keys)]
     matching = reduce(lambda a, b: a & b, pairs)
 
-    if lookup.count() <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), matching, "left").select(*rows_in, *take)
+    if (lookup.count() if lookup_rows is None else lookup_rows) <= broadcast_rows:
+        return rows.join(F.broadcast(lookup), matching, how).select(*rows_in, *take)
 
     counted = rows.groupBy(*[F.col(p).alias(f"_hot{i}") for i, p in enumerate(probes)]).count()
     hot = counted.where(F.col("count") > hot_rows).select(
@@ -46,7 +48,7 @@ def lookup_join(
     )
     hot_keys = hot.collect()  # at most count(rows) / hot_rows entries
     if not hot_keys:
-        return rows.join(lookup, matching, "left").select(*rows_in, *take)
+        return rows.join(lookup, matching, how).select(*rows_in, *take)
 
     hot = F.broadcast(rows.sparkSession.createDataFrame(hot_keys, hot.schema))
 
@@ -60,4 +62,4 @@ def lookup_join(
     copied = with_copies(lookup, keys).select(
         *lookup.columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")
     )
-    return dealt.join(copied, matching & (F.col("_deal") == F.col("_copy")), "left").select(*rows_in, *take)
+    return dealt.join(copied, matching & (F.col("_deal") == F.col("_copy")), how).select(*rows_in, *take)

@@ -8,7 +8,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from freightlens.operators.cleaning import clean_items
+from freightlens.operators.joins import lookup_join
 from freightlens.plans import dims, facts, staging
+from freightlens.plans.dims import DIMENSIONS
 from freightlens.session import Workspace
 
 
@@ -56,6 +58,19 @@ class Warehouse:
     def dim(self, name: str) -> DataFrame:
         return self.dims[f"dim_{name}"]
 
+    @cached_property
+    def _dim_rows(self) -> dict[str, int]:
+        return {}
+
     def dim_rows(self, name: str) -> int:
-        """Size of a dimension, read from the file footers."""
-        return self.dim(name).count()
+        """Size of a dimension, read once from the file footers."""
+        if name not in self._dim_rows:
+            self._dim_rows[name] = self.dim(name).count()
+        return self._dim_rows[name]
+
+    def attach(self, rows: DataFrame, name: str, take: list[str], on: str | None = None, how: str = "inner") -> DataFrame:
+        """Join a dimension's columns to fact rows or to subtotals by surrogate key."""
+        key = DIMENSIONS[f"dim_{name}"].key
+        return lookup_join(
+            rows, self.dim(name), [(on or key, key)], take, how=how, lookup_rows=self.dim_rows(name)
+        )
