@@ -345,7 +345,7 @@ def category_vs_department(w: Warehouse) -> DataFrame:
     return joined.select(
         *names,
         "total_profit",
-        rounded(F.col("department_average_profit"), 4).alias("department_average_profit"),
+        "department_average_profit",
         rounded(F.col("total_profit").cast("double") - F.col("department_average_profit")).alias(
             "difference_from_department_average"
         ),
@@ -406,7 +406,7 @@ def running_total(w: Warehouse) -> DataFrame:
 def moving_average(w: Warehouse) -> DataFrame:
     three = in_month_order().rowsBetween(-2, 0)
     average_3 = ratio(F.sum("total_sales").over(three), F.count("total_sales").over(three))
-    return _by_month(w).withColumn("moving_avg_3_months", rounded(average_3, 4))
+    return _by_month(w).withColumn("moving_avg_3_months", average_3)
 
 
 def customer_quartiles(w: Warehouse) -> DataFrame:

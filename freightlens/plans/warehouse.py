@@ -47,6 +47,16 @@ class Warehouse:
         ready = staging.ready_items(self.workspace, self.clean)
         return staging.stage(self.workspace, ready, self.loaded_at, self.source_file_name)
 
+    @cached_property
+    def batch(self) -> DataFrame:
+        """Staging rows of the batch loaded last."""
+        return staging.latest_batch(self.staging)
+
+    @cached_property
+    def expected(self) -> int:
+        """Rows the load should hold: the number given, or else the staged rows themselves."""
+        return self.expected_rows if self.expected_rows is not None else self.staging.count()
+
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         return dims.load_dimensions(self.workspace, self.staging, self.loaded_at)

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.plans import questions, views
+from freightlens.plans import quality, questions, views
 from freightlens.plans.warehouse import Warehouse
 from freightlens.sources.tables import order_items
 
@@ -68,3 +68,25 @@ _add("idx_category_perf", views.category_mean_margin)
 for _name, _plan in questions.QUESTIONS.items():
     # row numbers follow the order in which tasks wrote the rows
     _add(_name, _plan, drop=("staging_row_id",) if _name == "a1_q01" else ())
+
+_STAGED = {
+    "dq_01_latest_batch": quality.batch_overview,
+    "dq_03_completeness": quality.completeness,
+    "dq_05_dates": quality.dates,
+    "dq_06_numeric_rules": quality.numeric_rules,
+    "dq_07_discount_rate": quality.discount_rates,
+    "dq_08_geo_range": quality.coordinates,
+    "dq_09_shipping_features": quality.shipping_features,
+    "dq_10_financial_features": quality.financial_features,
+    "dq_11_binary_fields": quality.binary_fields,
+    "dq_12_domains": quality.domains,
+    "dq_13_problem_rows": quality.problem_rows,
+    "dq_14_reconciliation": quality.business_summary,
+}
+for _name, _check in _STAGED.items():
+    _add(_name, lambda w, check=_check: check(w.batch), drop=("staging_row_id",))
+_add("dq_02_volume_unique", lambda w: quality.volume_and_uniqueness(w.batch, w.expected))
+# before one row per key is kept, so that there is something to find
+_add("dq_04_duplicate_keys", lambda w: quality.duplicate_keys(w.items))
+_add("dq_15_readiness", lambda w: quality.readiness(w.batch, w.expected, w.expected))
+_add("dq_load_check", lambda w: quality.load_check(w.batch, w.expected))

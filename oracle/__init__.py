@@ -1,6 +1,7 @@
 """DuckDB statements that state independently what each registered query must return."""
 
+from oracle.quality import QUALITY
 from oracle.questions import QUESTIONS
 from oracle.views import VIEWS
 
-STATEMENTS: dict[str, str] = {**VIEWS, **QUESTIONS}
+STATEMENTS: dict[str, str] = {**VIEWS, **QUESTIONS, **QUALITY}

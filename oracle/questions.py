@@ -83,7 +83,7 @@ BODIES = {
       LEFT JOIN dim_customer c ON c.customer_key = f.customer_key LEFT JOIN dim_product p ON p.product_key = f.product_key
       LEFT JOIN dim_category k ON k.category_key = f.category_key
       WHERE c.customer_key IS NULL OR p.product_key IS NULL OR k.category_key IS NULL""",
-    "a3_q10": f"""SELECT category_name, department_name, CAST(t AS DOUBLE) AS total_profit, {r('m', 4)} AS department_average_profit,
+    "a3_q10": f"""SELECT category_name, department_name, CAST(t AS DOUBLE) AS total_profit, m AS department_average_profit,
         {r('CAST(t AS DOUBLE) - m')} AS difference_from_department_average FROM (
         SELECT *, CAST(SUM(t) OVER (PARTITION BY department_name) AS DOUBLE) / COUNT(t) OVER (PARTITION BY department_name) AS m
         FROM (SELECT category_name, department_name, SUM({P}) AS t FROM {CATEGORY} GROUP BY 1, 2))""",
@@ -104,7 +104,7 @@ BODIES = {
     "a4_q07": f"""SELECT calendar_year_month, CAST(total_sales AS DOUBLE) AS monthly_sales,
       CAST(SUM(total_sales) {BY_MONTH} AS DOUBLE) AS running_total_sales FROM monthly""",
     "a4_q08": f"""SELECT calendar_year, calendar_month, calendar_year_month, CAST(total_sales AS DOUBLE) AS total_sales,
-      {r("CAST(SUM(total_sales) OVER w AS DOUBLE) / COUNT(total_sales) OVER w", 4)} AS moving_avg_3_months FROM monthly
+      CAST(SUM(total_sales) OVER w AS DOUBLE) / COUNT(total_sales) OVER w AS moving_avg_3_months FROM monthly
       WINDOW w AS (ORDER BY calendar_year, calendar_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
     "a4_q09": f"""SELECT customer_id, CAST(SUM(sales) AS DOUBLE) AS total_sales,
       ntile(4) OVER (ORDER BY SUM(sales) DESC, customer_id NULLS FIRST) AS sales_quartile FROM {CUSTOMER} GROUP BY customer_id""",
