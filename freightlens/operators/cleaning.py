@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.dates import parse_datetime
+from freightlens.functions.numbers import percent, rounded
 from freightlens.functions.text import snake_case, squeezed, title_case
 from freightlens.schemas import CLEAN_FIELDS, conform
 
@@ -172,7 +173,7 @@ def critical_missing(df: DataFrame) -> DataFrame:
     counts = df.agg(F.count("*").alias("n"), *[(F.count("*") - F.count(c)).alias(c) for c in present])
     return counts.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing_count")) for c in present])).alias("r"), "n"
-    ).select("r.*", F.round(F.col("r.missing_count") / F.nullif("n", F.lit(0)) * 100, 4).alias("missing_pct"))
+    ).select("r.*", rounded(percent(F.col("r.missing_count"), F.col("n")), 4).cast("double").alias("missing_pct"))
 
 
 def cleaning_counts(parsed: DataFrame, key: str = KEY) -> DataFrame:
@@ -224,7 +225,7 @@ def reconciliation(raw: DataFrame, clean: DataFrame) -> DataFrame:
     raw_rows = raw.agg(F.count("*").alias("n")).scalar()
     counts = clean.agg(F.count("*").alias("clean_rows")).select(raw_rows.alias("raw_rows"), "clean_rows")
     removed = F.col("raw_rows") - F.col("clean_rows")
-    kept = F.round(F.col("clean_rows") / F.nullif("raw_rows", F.lit(0)) * 100, 4)
+    kept = rounded(percent(F.col("clean_rows"), F.col("raw_rows")), 4)
     metrics = {
         "raw_rows": F.col("raw_rows"),
         "clean_rows": F.col("clean_rows"),

@@ -8,9 +8,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.plans import quality, questions, views
+from freightlens.operators import cleaning
+from freightlens.plans import profiling, quality, questions, views
 from freightlens.plans.warehouse import Warehouse
-from freightlens.sources.tables import order_items
+from freightlens.sources.tables import order_items, raw_order_items
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,3 +91,31 @@ _add("dq_02_volume_unique", lambda w: quality.volume_and_uniqueness(w.batch, w.e
 _add("dq_04_duplicate_keys", lambda w: quality.duplicate_keys(w.items))
 _add("dq_15_readiness", lambda w: quality.readiness(w.batch, w.expected, w.expected))
 _add("dq_load_check", lambda w: quality.load_check(w.batch, w.expected))
+
+
+def _over_raw(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    """Over the 53 raw text columns."""
+    return lambda spark, folder: comparable(plan(raw_order_items(spark, folder)))
+
+
+def _profile(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    """Over the raw columns with their numbers typed."""
+    return _over_raw(lambda raw: plan(profiling.type_numbers(raw)))
+
+
+QUERIES |= {
+    "prof_overview": _profile(profiling.overview),
+    "prof_schema": _profile(profiling.schema_report),
+    "prof_missing": _profile(profiling.missing_report),
+    "prof_keys": _profile(profiling.key_report),
+    "prof_numeric": _profile(profiling.numeric_report),
+    "prof_histogram": _profile(profiling.histogram),
+    "prof_categorical": _profile(profiling.categorical_report),
+    "prof_value_counts": _profile(profiling.value_counts),
+    "prof_dates": _profile(profiling.date_report),
+    "prof_outliers_iqr": _profile(lambda df: profiling.outlier_report(df, profiling.RAW_OUTLIER_COLUMNS)),
+    "prof_business_rules": _profile(profiling.business_rules),
+    "prof_quality_score": _profile(profiling.quality_score),
+}
+_add("clean_rules", lambda w: profiling.clean_rules(w.clean))
+_add("clean_score", lambda w: profiling.clean_score(cleaning.drop_empty_columns(w.clean)))
