@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,8 +12,8 @@ from freightlens.session import Workspace
 
 # Largest input that may be ordered by one task.
 SINGLE_TASK_ROWS = 1_000_000
-# Histogram width per refinement pass; bounds what one pass returns to the driver.
-BUCKETS = 4096
+# Histogram width per refinement pass: two passes settle a range of 2**36 values.
+BUCKETS = 2**18
 
 
 def dense_index(ws: Workspace, df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
@@ -92,71 +92,75 @@ def ntile(ws, df, tiles: int, order, name, rows) -> DataFrame:
     return placed.withColumn(name, (tile + 1).cast("int")).drop("_pos")
 
 
-def order_statistics(df: DataFrame, wanted: dict[str, Sequence[int]]) -> dict[tuple[str, int], tuple[int, int]]:
+Ranks = Callable[[int], Sequence[int]]
+
+
+def order_statistics(df: DataFrame, wanted: dict[str, Ranks]) -> tuple[dict[tuple[str, int], tuple[int, int]], dict[str, int]]:
     """Exact values at 1-based ranks of long columns, nulls left out.
 
-    Returns {(column, rank): (value, rank among the rows that hold that value)}. Every pass counts
-    rows into at most BUCKETS buckets per open bracket with map-side combination and narrows the
-    brackets, so neither rows nor distinct values are ever brought together.
+    `wanted` maps a column to a function from its number of values to the ranks asked for. Returns
+    {(column, rank): (value, rank among the rows that hold that value)} and the numbers of values.
+
+    Every pass counts rows into at most BUCKETS buckets per open bracket, combined in the scanning
+    tasks, and keeps the buckets that contain a rank. So neither rows nor distinct values are ever
+    brought together, and one row per rank returns to the driver.
     """
     columns = list(wanted)
-    ends = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    ends = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    sizes = {c: ends[f"n{i}"] for i, c in enumerate(columns)}
     brackets = {
-        (c, r): (ends[f"lo{i}"], ends[f"hi{i}"], r)
-        for i, c in enumerate(columns)
-        for r in wanted[c]
-        if ends[f"lo{i}"] is not None
+        (c, r): (ends[f"lo{i}"], ends[f"hi{i}"], r) for i, c in enumerate(columns) if sizes[c] for r in wanted[c](sizes[c])
     }
     while True:
         open_now = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in brackets.items() if lo < hi})
         if not open_now:
-            return {key: (lo, inside) for key, (lo, _, inside) in brackets.items()}
-        width = {b: -(-(b[2] - b[1] + 1) // BUCKETS) for b in open_now}
-        hits = F.array_compact(
-            F.array(
-                *[
-                    F.when(
-                        F.col(c).between(lo, hi),
-                        F.struct(F.lit(i).alias("b"), F.expr(f"(`{c}` - {lo}L) div {width[(c, lo, hi)]}L").alias("k")),
-                    )
-                    for i, (c, lo, hi) in enumerate(open_now)
-                ]
+            return {key: (lo, inside) for key, (lo, _, inside) in brackets.items()}, sizes
+        steps = [-(-(hi - lo + 1) // BUCKETS) for _, lo, hi in open_now]
+        hits = [
+            F.when(
+                F.col(c).between(lo, hi),
+                F.struct(F.lit(i).alias("b"), F.expr(f"(`{c}` - {lo}L) div {step}L").alias("k")),
             )
+            for i, ((c, lo, hi), step) in enumerate(zip(open_now, steps))
+        ]
+        counts = df.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.b", "h.k").agg(F.count("*").alias("n"))
+        up_to = F.sum("n").over(Window.partitionBy("b").orderBy("k"))  # at most BUCKETS rows per bracket
+        ranks = [sorted(v[2] for (c, _), v in brackets.items() if (c, *v[:2]) == b) for b in open_now]
+        asked = F.element_at(F.array(*[F.array(*[F.lit(r).cast("long") for r in rs]) for rs in ranks]), F.col("b") + 1)
+        found = (
+            counts.withColumn("seen", up_to)
+            .withColumn("r", F.explode(asked))
+            .where("r > seen - n and r <= seen")
+            .select("b", "k", "r", F.expr("r - (seen - n)").alias("inside"))
+            .collect()
         )
-        counts: dict[int, list] = {}
-        for row in df.select(F.explode(hits).alias("h")).groupBy("h.b", "h.k").count().collect():
-            counts.setdefault(row["b"], []).append((row["k"], row["count"]))
+        at = {(row["b"], row["r"]): (row["k"], row["inside"]) for row in found}
         for key, (lo, hi, inside) in brackets.items():
-            bracket = (key[0], lo, hi)
-            if lo == hi:
-                continue
-            step = width[bracket]
-            for bucket, n in sorted(counts[open_now.index(bracket)]):
-                if inside <= n:
-                    brackets[key] = (lo + bucket * step, min(hi, lo + (bucket + 1) * step - 1), inside)
-                    break
-                inside -= n
+            if lo < hi:
+                b = open_now.index((key[0], lo, hi))
+                bucket, inside = at[(b, inside)]
+                brackets[key] = (lo + bucket * steps[b], min(hi, lo + (bucket + 1) * steps[b] - 1), inside)
 
 
 def quantiles(df: DataFrame, columns: dict[str, int], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles. `columns` gives each column's number of decimals."""
+
+    def neighbours(n: int) -> list[int]:
+        places = [(n - 1) * p for p in probabilities]
+        return sorted({rank for x in places for rank in (int(x) + 1, min(int(x) + 2, n))})
+
     scaled = df.select(*[(F.col(f"`{c}`") * F.lit(10**s)).cast("long").alias(f"q{i}") for i, (c, s) in enumerate(columns.items())])
-    counts = scaled.agg(*[F.count(c).alias(c) for c in scaled.columns]).first()
-    wanted = {}
-    for c in scaled.columns:
-        at = [(counts[c] - 1) * p for p in probabilities]
-        wanted[c] = sorted({r for x in at if counts[c] for r in (int(x) + 1, min(int(x) + 2, counts[c]))})
-    found = order_statistics(scaled, {c: r for c, r in wanted.items() if r})
+    found, sizes = order_statistics(scaled, {c: neighbours for c in scaled.columns})
     result: dict[str, list[float | None]] = {}
     for c, (name, scale) in zip(scaled.columns, columns.items()):
-        values: list[float | None] = []
+        n, values = sizes[c], []
         for p in probabilities:
-            if not counts[c]:
+            if not n:
                 values.append(None)
                 continue
-            x = (counts[c] - 1) * p
+            x = (n - 1) * p
             low = found[(c, int(x) + 1)][0] / 10**scale
-            high = found[(c, min(int(x) + 2, counts[c]))][0] / 10**scale
+            high = found[(c, min(int(x) + 2, n))][0] / 10**scale
             values.append(low + (high - low) * (x - int(x)))
         result[name] = values
     return result

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,22 +35,22 @@ def sales_tier_cuts(items: DataFrame) -> list[tuple] | None:
     ordered by sales and then order_item_id. None when fewer than four sales values are distinct."""
     scale = 10_000
     sales = items.select((F.col("sales") * scale).cast("long").alias("v"), "order_item_id").where("v is not null")
-    size = sales.agg(F.count("v").alias("n"), F.approx_count_distinct("v").alias("d")).first()
-    # the estimate is only trusted far away from the limit
-    if size["n"] < 4 or (size["d"] < 100 and sales.select("v").distinct().count() < 4):
-        return None
-    ranks = [1 + (size["n"] - 1) * q // 4 for q in (1, 2, 3)]
-    edges = order_statistics(sales, {"v": ranks})
-    picked = [edges[("v", r)] for r in ranks]  # (scaled sales, rank among its ties)
+    if sales.agg(F.approx_count_distinct("v")).first()[0] < 100:  # the estimate is only trusted far from the limit
+        if sales.select("v").distinct().count() < 4:
+            return None
+    edges, sizes = order_statistics(sales, {"v": _quartile_ends})
+    picked = [edges[("v", r)] for r in _quartile_ends(sizes["v"])]  # (scaled sales, rank among its ties)
     ties = sales.where(F.col("v").isin([v for v, _ in picked])).select(
         *[F.when(F.col("v") == v, F.col("order_item_id")).alias(f"t{i}") for i, (v, _) in enumerate(picked)]
     )
-    last = order_statistics(ties, {f"t{i}": [inside] for i, (_, inside) in enumerate(picked)})
-    from decimal import Decimal
-
+    last, _ = order_statistics(ties, {f"t{i}": lambda n, inside=inside: [inside] for i, (_, inside) in enumerate(picked)})
     return [(Decimal(v) / scale, last[(f"t{i}", inside)][0]) for i, (v, inside) in enumerate(picked)]
 
 
+def _quartile_ends(n: int) -> list[int]:
+    return [1 + (n - 1) * q // 4 for q in (1, 2, 3)]
+
+
 def add_group_features(ws: Workspace, items: DataFrame) -> DataFrame:
     """Order and customer totals joined back. Rows without an order or customer form one group each."""
     orders = ws.write(features.order_totals(items), ws.fresh("order_totals"))

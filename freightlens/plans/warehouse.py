@@ -11,13 +11,14 @@ from freightlens.operators.cleaning import clean_items
 from freightlens.operators.joins import lookup_join
 from freightlens.plans import dims, facts, staging
 from freightlens.plans.dims import DIMENSIONS
+from freightlens.plans.profiling import type_numbers
 from freightlens.session import Workspace
 
 
 class Warehouse:
     """clean → staging → dimensions → fact, written as Parquet below the session's shared folder.
 
-    `items` holds typed order items under the cleaned column names.
+    `items` holds typed order items under the cleaned column names, `raw` the text they came from.
     """
 
     def __init__(
@@ -27,17 +28,24 @@ class Warehouse:
         source_file_name: str = "order_items",
         loaded_at: datetime | None = None,
         expected_rows: int | None = None,
+        raw: DataFrame | None = None,
     ):
         self.spark = spark
         self.items = items
         self.source_file_name = source_file_name
         self.loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
         self.expected_rows = expected_rows
+        self._raw = raw
 
     @cached_property
     def workspace(self) -> Workspace:
         return Workspace(self.spark)
 
+    @cached_property
+    def raw(self) -> DataFrame:
+        """The raw columns with their numbers typed, landed once so that profiles read single columns."""
+        return self.workspace.write(type_numbers(self._raw), "raw")
+
     @cached_property
     def clean(self) -> DataFrame:
         return self.workspace.write(clean_items(self.items), "clean")

@@ -25,7 +25,9 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """One load per application and input folder; its tables are written on first use and shared by all queries."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _warehouses:
-        _warehouses[key] = Warehouse(spark, order_items(spark, folder), loaded_at=LOADED_AT)
+        _warehouses[key] = Warehouse(
+            spark, order_items(spark, folder), loaded_at=LOADED_AT, raw=raw_order_items(spark, folder)
+        )
     return _warehouses[key]
 
 
@@ -93,14 +95,9 @@ _add("dq_15_readiness", lambda w: quality.readiness(w.batch, w.expected, w.expec
 _add("dq_load_check", lambda w: quality.load_check(w.batch, w.expected))
 
 
-def _over_raw(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    """Over the 53 raw text columns."""
-    return lambda spark, folder: comparable(plan(raw_order_items(spark, folder)))
-
-
 def _profile(plan: Callable[[DataFrame], DataFrame]) -> Query:
     """Over the raw columns with their numbers typed."""
-    return _over_raw(lambda raw: plan(profiling.type_numbers(raw)))
+    return _over_warehouse(lambda w: plan(w.raw))
 
 
 QUERIES |= {
