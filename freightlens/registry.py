@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.operators import cleaning
-from freightlens.plans import profiling, quality, questions, views
+from freightlens.plans import eda, profiling, quality, questions, views
 from freightlens.plans.warehouse import Warehouse
 from freightlens.sources.tables import order_items, raw_order_items
 
@@ -116,3 +116,26 @@ QUERIES |= {
 }
 _add("clean_rules", lambda w: profiling.clean_rules(w.clean))
 _add("clean_score", lambda w: profiling.clean_score(cleaning.drop_empty_columns(w.clean)))
+
+_EXPLORED = {
+    "eda_top": lambda df: eda.top(df, "product_name"),
+    "eda_kpis": eda.kpis,
+    "eda_monthly": eda.monthly,
+    "eda_market_tables": eda.market_tables,
+    "eda_product_tables": eda.product_tables,
+    "eda_loss_tables": eda.loss_tables,
+    "eda_customer_tables": eda.customer_tables,
+    "eda_shipping": eda.shipping_modes,
+    "eda_delivery_status": eda.delivery_statuses,
+    "eda_late_pivot": eda.late_pivot,
+    "eda_sample": eda.sample,
+    "eda_correlation": eda.correlations,
+    "eda_geo_tables": eda.geo_tables,
+    "eda_geo_points": eda.geo_points,
+    "eda_risk_summary": eda.risk_summary,
+    "eda_priority_category": eda.priority_categories,
+    "eda_insights": eda.insights,
+    "eda_outliers": lambda df: profiling.outlier_report(df, eda.OUTLIER_COLUMNS, of_all_rows=True),
+}
+for _name, _table in _EXPLORED.items():
+    _add(_name, lambda w, table=_table: table(w.batch))

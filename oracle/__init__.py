@@ -1,8 +1,9 @@
 """DuckDB statements that state independently what each registered query must return."""
 
+from oracle.eda import EDA
 from oracle.profiling import PROFILING
 from oracle.quality import QUALITY
 from oracle.questions import QUESTIONS
 from oracle.views import VIEWS
 
-STATEMENTS: dict[str, str] = {**VIEWS, **QUESTIONS, **QUALITY, **PROFILING}
+STATEMENTS: dict[str, str] = {**VIEWS, **QUESTIONS, **QUALITY, **PROFILING, **EDA}
