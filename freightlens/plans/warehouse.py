@@ -12,6 +12,7 @@ from freightlens.operators.joins import lookup_join
 from freightlens.plans import dims, facts, staging
 from freightlens.plans.dims import DIMENSIONS
 from freightlens.plans.profiling import type_numbers
+from freightlens.schemas import READY_FIELDS
 from freightlens.session import Workspace
 
 
@@ -60,6 +61,11 @@ class Warehouse:
         """Staging rows of the batch loaded last."""
         return staging.latest_batch(self.staging)
 
+    @cached_property
+    def ready(self) -> DataFrame:
+        """Analytics-ready items: the batch without its load columns."""
+        return self.batch.select(*READY_FIELDS)
+
     @cached_property
     def expected(self) -> int:
         """Rows the load should hold: the number given, or else the staged rows themselves."""

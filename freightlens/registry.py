@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.operators import cleaning
-from freightlens.plans import eda, profiling, quality, questions, views
+from freightlens.plans import eda, profiling, quality, questions, validation, views
 from freightlens.plans.warehouse import Warehouse
 from freightlens.sources.tables import order_items, raw_order_items
 
@@ -139,3 +139,11 @@ _EXPLORED = {
 }
 for _name, _table in _EXPLORED.items():
     _add(_name, lambda w, table=_table: table(w.batch))
+
+for _name, _make in validation.CHECKS.items():
+    _add(_name, lambda w, make=_make: validation.report(w.ready, make(w.ready)))
+_add("val_framework", lambda w: validation.full_report(w.ready))
+_add("val_readiness", lambda w: validation.readiness(w.ready))
+_add("val_failed_summary", lambda w: validation.failed_checks(validation.full_report(w.ready)))
+_add("val_issue_samples", lambda w: validation.issue_samples(w.ready))
+_add("val_quality_profile", lambda w: validation.quality_profile(w.ready))
