@@ -12,6 +12,7 @@ from freightlens.operators.joins import lookup_join
 from freightlens.plans import dims, facts, staging
 from freightlens.plans.dims import DIMENSIONS
 from freightlens.plans.profiling import type_numbers
+from freightlens.plans.validation import full_report
 from freightlens.schemas import READY_FIELDS
 from freightlens.session import Workspace
 
@@ -66,6 +67,11 @@ class Warehouse:
         """Analytics-ready items: the batch without its load columns."""
         return self.batch.select(*READY_FIELDS)
 
+    @cached_property
+    def validation(self) -> DataFrame:
+        """The full validation report, stored as several summaries read it."""
+        return self.workspace.write(full_report(self.ready), "validation_report")
+
     @cached_property
     def expected(self) -> int:
         """Rows the load should hold: the number given, or else the staged rows themselves."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.operators import cleaning
-from freightlens.plans import eda, profiling, quality, questions, validation, views
+from freightlens.plans import dims, eda, profiling, quality, questions, star_checks, validation, views
 from freightlens.plans.warehouse import Warehouse
 from freightlens.sources.tables import order_items, raw_order_items
 
@@ -142,8 +142,34 @@ for _name, _table in _EXPLORED.items():
 
 for _name, _make in validation.CHECKS.items():
     _add(_name, lambda w, make=_make: validation.report(w.ready, make(w.ready)))
-_add("val_framework", lambda w: validation.full_report(w.ready))
-_add("val_readiness", lambda w: validation.readiness(w.ready))
-_add("val_failed_summary", lambda w: validation.failed_checks(validation.full_report(w.ready)))
-_add("val_issue_samples", lambda w: validation.issue_samples(w.ready))
+_add("val_framework", lambda w: w.validation)
+_add("val_readiness", lambda w: validation.readiness(w.ready, w.validation))
+_add("val_failed_summary", lambda w: validation.failed_checks(w.validation))
+_add("val_issue_samples", lambda w: validation.issue_samples(w.ready, w.validation))
 _add("val_quality_profile", lambda w: validation.quality_profile(w.ready))
+
+STAMPS = ("created_at", "updated_at")
+
+
+def _customers_in_two_loads(w: Warehouse) -> DataFrame:
+    """Customers with an order before 1996 load first, all customers second; keys given out first stay."""
+    first = dims.load_dimension(w.workspace, "dim_customer", w.batch.where("order_year < 1996"), w.loaded_at)
+    return dims.load_dimension(w.workspace, "dim_customer", w.batch, w.loaded_at, current=first)
+
+
+for _name in dims.DIMENSIONS:
+    _add(f"{_name}_load", lambda w, name=_name: w.dims[name], drop=STAMPS)
+_add("dim_upsert", _customers_in_two_loads, drop=STAMPS)
+_add("dim_unknown_member", star_checks.unknown_members)
+_add("dim_row_counts", star_checks.row_counts)
+_add("dim_key_uniqueness", star_checks.key_uniqueness)
+_add("dim_resolution", star_checks.resolution)
+_add("fact_load", lambda w: w.fact, drop=("staging_row_id",))
+_add("fact_load_status", lambda w: star_checks.load_status(w.fact, w.expected))
+_add("fact_grain_check", lambda w: star_checks.grain_check(w.fact, w.expected))
+_add("fact_unknown_keys", lambda w: star_checks.unknown_keys(w.fact))
+_add("fact_orphans", star_checks.orphans)
+_add("fact_reconcile", lambda w: star_checks.reconcile(w.batch, w.fact))
+_add("fact_summary", lambda w: star_checks.summary(w.fact))
+_add("fact_star_sample", star_checks.star_sample)
+_add("fact_constraints", star_checks.constraints)

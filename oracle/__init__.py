@@ -4,7 +4,8 @@ from oracle.eda import EDA
 from oracle.profiling import PROFILING
 from oracle.quality import QUALITY
 from oracle.questions import QUESTIONS
+from oracle.star import STAR
 from oracle.validation import VALIDATION
 from oracle.views import VIEWS
 
-STATEMENTS: dict[str, str] = {**VIEWS, **QUESTIONS, **QUALITY, **PROFILING, **EDA, **VALIDATION}
+STATEMENTS: dict[str, str] = {**VIEWS, **QUESTIONS, **QUALITY, **PROFILING, **EDA, **VALIDATION, **STAR}
