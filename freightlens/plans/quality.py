@@ -257,4 +257,4 @@ def load_check(stg: DataFrame, expected: int) -> DataFrame:
 
 def load_sample(stg: DataFrame, n: int = 20) -> DataFrame:
     shown = ["order_status", "shipping_date", "shipping_mode", "product_card_id", "product_name"]
-    return stg.orderBy("staging_row_id").limit(n).select(*shown)
+    return stg.orderBy("order_item_id", "staging_row_id").limit(n).select(*shown)

@@ -51,19 +51,17 @@ def _quartile_ends(n: int) -> list[int]:
     return [1 + (n - 1) * q // 4 for q in (1, 2, 3)]
 
 
-def add_group_features(ws: Workspace, items: DataFrame) -> DataFrame:
-    """Order and customer totals joined back. Rows without an order or customer form one group each."""
-    orders = ws.write(features.order_totals(items), ws.fresh("order_totals"))
-    customers = ws.write(features.customer_totals(items), ws.fresh("customer_totals"))
+def attach_totals(items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Stored order and customer totals joined back. Rows without an order or customer form one group each."""
     items = lookup_join(items, orders, [("order_id", "order_id")], ORDER_FEATURES, null_safe=True)
     items = lookup_join(items, customers, [("customer_id", "customer_id")], CUSTOMER_FEATURES, null_safe=True)
     return items.transform(features.add_frequency_segment)
 
 
-def ready_items(ws: Workspace, clean: DataFrame) -> DataFrame:
+def ready_items(clean: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Cleaned items (a stored table, read several times) to the analytics-ready layout."""
     ready = features.add_sales_tier(clean.transform(features.add_row_features), sales_tier_cuts(clean))
-    return add_group_features(ws, ready)
+    return attach_totals(ready, orders, customers)
 
 
 def number_rows(ws: Workspace, df: DataFrame, name: str = "staging_row_id") -> DataFrame:

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from freightlens.functions import features
 from freightlens.operators.cleaning import clean_items
 from freightlens.operators.joins import lookup_join
 from freightlens.plans import dims, facts, staging
@@ -37,7 +38,7 @@ class Warehouse:
         self.source_file_name = source_file_name
         self.loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
         self.expected_rows = expected_rows
-        self._raw = raw
+        self.raw_text = raw
 
     @cached_property
     def workspace(self) -> Workspace:
@@ -46,15 +47,23 @@ class Warehouse:
     @cached_property
     def raw(self) -> DataFrame:
         """The raw columns with their numbers typed, landed once so that profiles read single columns."""
-        return self.workspace.write(type_numbers(self._raw), "raw")
+        return self.workspace.write(type_numbers(self.raw_text), "raw")
 
     @cached_property
     def clean(self) -> DataFrame:
         return self.workspace.write(clean_items(self.items), "clean")
 
+    @cached_property
+    def order_totals(self) -> DataFrame:
+        return self.workspace.write(features.order_totals(self.clean), "order_totals")
+
+    @cached_property
+    def customer_totals(self) -> DataFrame:
+        return self.workspace.write(features.customer_totals(self.clean), "customer_totals")
+
     @cached_property
     def staging(self) -> DataFrame:
-        ready = staging.ready_items(self.workspace, self.clean)
+        ready = staging.ready_items(self.clean, self.order_totals, self.customer_totals)
         return staging.stage(self.workspace, ready, self.loaded_at, self.source_file_name)
 
     @cached_property

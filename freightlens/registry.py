@@ -8,9 +8,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freightlens.functions import dates, features
 from freightlens.operators import cleaning
-from freightlens.plans import dims, eda, profiling, quality, questions, star_checks, validation, views
+from freightlens.plans import (
+    dims, eda, feature_reports, profiling, quality, questions, staging, star_checks, validation, views,
+)
 from freightlens.plans.warehouse import Warehouse
+from freightlens.schemas import CLEAN_FIELDS, READY_FIELDS, conform, fields
+from freightlens.sources import csv, sinks
 from freightlens.sources.tables import order_items, raw_order_items
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +178,247 @@ _add("fact_reconcile", lambda w: star_checks.reconcile(w.batch, w.fact))
 _add("fact_summary", lambda w: star_checks.summary(w.fact))
 _add("fact_star_sample", star_checks.star_sample)
 _add("fact_constraints", star_checks.constraints)
+
+
+# ---- cleaning steps ------------------------------------------------------------------------------
+
+
+def _column_names(w: Warehouse) -> DataFrame:
+    """Raw and clean name of every column with its filled cells."""
+    renamed = cleaning.rename_columns(w.raw_text)
+    filled = cleaning.metric_rows(
+        renamed.agg(*[F.count(c).alias(c) for c in renamed.columns]), {c: F.col(c) for c in renamed.columns}, "clean", "filled"
+    )
+    return cleaning.column_mapping(w.raw_text).join(filled, F.col("clean_column") == F.col("clean")).drop("clean")
+
+
+def _untidy_text(w: Warehouse) -> DataFrame:
+    """Raw items whose text holds padding, whitespace runs, blanks and spelled-out missing values."""
+    return w.raw_text.select(
+        F.col("Order Item Id").alias("order_item_id"),
+        F.concat(F.lit("  "), F.replace("Product Name", F.lit(" "), F.lit("  \t ")), F.lit("\n")).alias("product_name"),
+        F.lit("   ").alias("order_city"),
+        F.lit("nan").alias("order_state"),
+        F.concat(F.lit(" None"), F.lit(" ")).alias("customer_state"),
+        F.col("Market").alias("market"),
+    )
+
+
+def _three_layouts(w: Warehouse) -> DataFrame:
+    """Order dates written in the three accepted layouts and two others, parsed back."""
+    d = F.col("order_date")
+    texts = {
+        "slash": F.date_format(d, "M/d/yyyy H:mm"),
+        "stamp": F.date_format(d, "yyyy-MM-dd HH:mm:ss"),
+        "day": F.concat(F.lit(" "), F.date_format(d, "yyyy-MM-dd")),
+        "no_such_month": F.date_format(d, "'13'/d/yyyy H:mm"),
+        "other": F.date_format(d, "dd.MM.yyyy"),
+    }
+    return w.items.select("order_item_id", "product_card_id", *[dates.parse_datetime(t).alias(n) for n, t in texts.items()])
+
+
+def _with_copies(w: Warehouse) -> DataFrame:
+    """Cleaned rows, those of returned payments a second time, without exact copies again."""
+    ids = w.clean.select("order_item_id", "order_id", "product_card_id", "payment_type", "sales", "order_date")
+    return cleaning.drop_exact_duplicates(ids.unionByName(ids.where("payment_type = 'R'")))
+
+
+def _some_keys_missing(w: Warehouse) -> DataFrame:
+    """Items whose key is blanked where the payment was returned, reduced to the ones with a key."""
+    keyed = w.items.withColumn("order_item_id", F.when(F.col("payment_type") != "R", F.col("order_item_id")))
+    return cleaning.require_key(keyed).select("order_item_id", "order_id", "product_card_id", "payment_type")
+
+
+PLACES = ["customer_city", "customer_country", "customer_state", "order_city", "order_country", "order_state"]
+SHORT = ["order_item_id", "product_card_id"]
+
+
+def _unknowns(w: Warehouse) -> DataFrame:
+    return cleaning.fill_unknown(conform(w.items, CLEAN_FIELDS)).select(*SHORT, *cleaning.FILLED_WITH_UNKNOWN)
+
+
+def _labels(w: Warehouse) -> DataFrame:
+    raw = w.raw_text.select(
+        F.col("Order Item Id").alias("order_item_id"), F.col("Delivery Status").alias("delivery_status"), F.col("Shipping Mode").alias("shipping_mode")
+    )
+    return cleaning.standardise_labels(raw)
+
+
+def _places(w: Warehouse) -> DataFrame:
+    """Place names with the marks that start a new capital."""
+    named = w.items.select(
+        "order_item_id", "product_card_id",
+        F.concat(F.lower("order_country"), F.lit(" o'"), F.lower("market"), F.lit("-"), F.upper("product_name")).alias("order_country"),
+        F.lit("Unknown").alias("order_city"),
+    )
+    return cleaning.title_case_places(named)
+
+
+def _rounded(w: Warehouse) -> DataFrame:
+    thirds = {c: (F.col(c) / 3).cast("decimal(24,10)") for c in ("sales", "order_profit", "product_price")}
+    return cleaning.round_amounts(w.items.select(*SHORT, *thirds).withColumns(thirds))
+
+
+_add("clean_column_names", _column_names)
+_add("clean_drop_pii", lambda w: cleaning.drop_personal(cleaning.rename_columns(w.raw_text)))
+_add("clean_text", lambda w: cleaning.normalise_text(_untidy_text(w)))
+_add("clean_types", lambda w: conform(cleaning.parse_raw(w.raw_text), CLEAN_FIELDS))
+_add("clean_parse_dates_3fmt", _three_layouts)
+_add("clean_exact_dedup", _with_copies)
+_add("clean_key_dedup", lambda w: cleaning.keep_fullest_row(w.items))
+_add("clean_drop_all_null_cols", lambda w: cleaning.drop_empty_columns(conform(w.items, CLEAN_FIELDS)))
+_add("clean_require_key", _some_keys_missing)
+_add("clean_fill_unknown", _unknowns)
+_add("clean_labels", _labels)
+_add("clean_title_case", _places)
+_add("clean_round", _rounded)
+_add("clean_audit_log", lambda w: cleaning.audit_log(w.raw_text))
+_add("clean_reconciliation", lambda w: cleaning.reconciliation(w.raw_text, cleaning.drop_empty_columns(w.clean)))
+_add("clean_critical_missing", lambda w: cleaning.critical_missing(w.clean))
+
+
+# ---- features ------------------------------------------------------------------------------------
+
+ITEM = "order_item_id"
+
+
+def _feature(name: str, *columns: str, after: tuple = ()) -> None:
+    """One feature step over the cleaned items; `after` lists the steps it builds on."""
+    step = getattr(features, name)
+
+    def plan(w: Warehouse) -> DataFrame:
+        df = w.clean
+        for earlier in (*after, step):
+            df = df.transform(earlier)
+        return df.select(ITEM, *columns)
+
+    _add(_FEATURE_NAMES[name], plan)
+
+
+_FEATURE_NAMES = {
+    "add_calendar": "feat_calendar", "add_delay": "feat_delay", "add_delivery_performance": "feat_delivery_performance",
+    "add_delivery_flags": "feat_ontime_late_flags", "add_efficiency_ratio": "feat_efficiency_ratio",
+    "add_delay_severity": "feat_delay_severity", "add_speed_segment": "feat_speed_segment",
+    "add_gross_and_discount": "feat_gross_discount", "add_discount_rate_pct": "feat_discount_rate_pct",
+    "add_margin": "feat_margin", "add_profitability": "feat_profitability", "add_margin_band": "feat_margin_band",
+    "add_discount_band": "feat_discount_band", "add_attention_flag": "feat_attention_flag", "add_risk_segment": "feat_risk_segment",
+}
+_feature(
+    "add_calendar", "order_year", "order_quarter_number", "order_quarter", "order_month", "order_month_name", "order_year_month",
+    "order_week", "order_day", "order_day_name", "is_weekend_order", "order_date_key", "shipping_year_month", "shipping_date_key",
+)
+_feature("add_delay", "shipping_delay_days", "absolute_schedule_variance_days")
+_feature("add_delivery_performance", "delivery_performance", after=(features.add_delay,))
+_feature("add_delivery_flags", "is_on_time_delivery", "is_late_delivery", after=(features.add_delay,))
+_feature("add_efficiency_ratio", "shipping_efficiency_ratio")
+_feature("add_delay_severity", "delivery_delay_severity", after=(features.add_delay,))
+_feature("add_speed_segment", "shipping_speed_segment")
+_feature("add_gross_and_discount", "gross_sales_before_discount", "discount_pct_calculated")
+_feature("add_discount_rate_pct", "discount_rate_pct")
+_feature("add_margin", "profit_margin_pct")
+_feature("add_profitability", "profitability_status", "is_profitable_item", "is_loss_item")
+_feature("add_margin_band", "margin_band")
+_feature("add_discount_band", "discount_band", after=(features.add_discount_rate_pct,))
+_flags = (features.add_delay, features.add_delivery_flags, features.add_profitability)
+_feature("add_attention_flag", "requires_management_attention", after=_flags)
+_feature("add_risk_segment", "operational_risk_segment", after=_flags)
+
+
+def _grouped(w: Warehouse, *columns: str) -> DataFrame:
+    slim = w.clean.select(ITEM, "order_id", "customer_id")
+    return staging.attach_totals(slim, w.order_totals, w.customer_totals).select(ITEM, *columns)
+
+
+_add("feat_sales_tier", lambda w: features.add_sales_tier(w.clean.select(ITEM, "sales"), staging.sales_tier_cuts(w.clean)))
+_add("feat_order_totals", lambda w: _grouped(w, "order_id", *staging.ORDER_FEATURES))
+_add("feat_customer_lifetime", lambda w: _grouped(w, "customer_id", *staging.CUSTOMER_FEATURES))
+_add("feat_frequency_segment", lambda w: _grouped(w, "customer_order_count", "customer_frequency_segment"))
+_add("feat_dictionary", lambda w: feature_reports.dictionary(w.ready))
+_add("feat_validation", lambda w: feature_reports.validation(w.clean, w.ready))
+_add("feat_summary", lambda w: feature_reports.summary(w.clean, w.ready))
+
+
+# ---- sources and sinks ---------------------------------------------------------------------------
+
+
+def _raw_file(w: Warehouse) -> DataFrame:
+    """The raw items written as a CSV file and read again."""
+    path = sinks.write_csv(w.raw_text, w.workspace.path(w.workspace.fresh("raw_csv")))
+    return csv.read_raw_csv(w.spark, path)
+
+
+def _ready_file(w: Warehouse) -> str:
+    return sinks.export_ready(w.ready, w.workspace.path(w.workspace.fresh("ready_csv")))
+
+
+def _derived_file(w: Warehouse) -> DataFrame:
+    """The analytics-ready file found as the second of two candidate paths."""
+    path = _ready_file(w)
+    return csv.read_derived_csv(w.spark, [f"{path}-not-there", path])
+
+
+def _loaded_from_file(w: Warehouse) -> DataFrame:
+    return csv.load_staging(w.workspace, _ready_file(w), w.loaded_at, w.source_file_name)
+
+
+def _rejects(w: Warehouse) -> DataFrame:
+    """Cells that do not convert, after dates of returned and sales of pending items were spoilt in the file."""
+    spoilt = sinks.as_text(w.ready.withColumnsRenamed({v: k for k, v in csv.STAGED_NAMES.items()})).withColumns(
+        {
+            "order_date": F.when(F.col("payment_type") == "R", "13/41/2018 22:56").otherwise(F.col("order_date")),
+            "sales": F.when(F.col("order_status") == "P", "n/a").otherwise(F.col("sales").cast("string")),
+        }
+    )
+    columns = [F.col(h) if h in spoilt.columns else F.lit(None).cast("string").alias(h) for h in csv.READY_HEADERS]
+    path = sinks.write_csv(spoilt.select(*columns), w.workspace.path(w.workspace.fresh("spoilt_csv")))
+    return csv.rejected_cells(csv.read_ready_csv(w.spark, path))
+
+
+def _read_back(w: Warehouse) -> DataFrame:
+    return sinks.read_back(w.workspace, _ready_file(w), w.ready.count())
+
+
+def _reports(w: Warehouse) -> DataFrame:
+    """Three report folders written, and the rows found in each."""
+    reports = {
+        "missing_value_report": profiling.missing_report(w.raw),
+        "cleaning_validation_report": profiling.clean_rules(w.clean),
+        "monthly_trend": eda.monthly(w.batch),
+    }
+    written = sinks.write_reports(reports, w.workspace.path(w.workspace.fresh("reports")))
+    rows = [(name, sinks.count_exported(w.workspace, path)) for name, path in written.items()]
+    return w.spark.createDataFrame(rows, "report string, row_count bigint")
+
+
+def _run_log(w: Warehouse) -> DataFrame:
+    """Both loads logged. The rows before cleaning are expected, so the staging load ends with a warning."""
+    log = sinks.RunLog(w.workspace)
+    sinks.log_staging_load(log, w.source_file_name, quality.load_check(w.batch, w.items.count()), w.loaded_at)
+    sinks.log_fact_load(log, w.source_file_name, w.batch.count(), star_checks.load_status(w.fact, w.expected), w.loaded_at)
+    return log.runs().drop("etl_run_id")
+
+
+def _batch_tags(w: Warehouse) -> DataFrame:
+    return w.staging.groupBy("loaded_at").agg(F.max("load_batch_id").alias("load_batch_id"), F.count("*").alias("rows"))
+
+
+def _two_batches(w: Warehouse) -> DataFrame:
+    """An older batch of the orders before 1998 below the current one; only the newer one is left."""
+    older = w.staging.where("order_year < 1998").withColumns(
+        {"load_batch_id": F.lit("DATACO_20230101_000000_000000"), "loaded_at": F.lit("2023-01-01 00:00:00").cast("timestamp_ntz")}
+    )
+    newest = staging.latest_batch(w.staging.unionByName(older))
+    return newest.groupBy("load_batch_id", "loaded_at").agg(F.count("*").alias("rows"))
+
+
+_add("src_csv_raw", _raw_file)
+_add("src_csv_clean", _derived_file)
+_add("src_staging_load", _loaded_from_file, drop=("staging_row_id",))
+_add("src_reject_rows", _rejects)
+_add("sink_csv", lambda w: sinks.as_text(w.ready))
+_add("sink_readback", _read_back)
+_add("sink_reports", _reports)
+_add("etl_run_log", _run_log)
+_add("load_batch_id", _batch_tags)
+_add("latest_batch", _two_batches)
+_add("dq_load_sample", lambda w: quality.load_sample(w.batch))
