@@ -14,15 +14,31 @@ DATE_LAYOUT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 def parse_datetime(text: Column, date_only: bool = True) -> Column:
     """`M/d/yyyy H:mm`, `yyyy-MM-dd HH:mm:ss` or (optionally) `yyyy-MM-dd`; anything else is NULL."""
     text = F.trim(text)
+    layouts = [SLASH_LAYOUT, STAMP_LAYOUT, DATE_LAYOUT] if date_only else [SLASH_LAYOUT, STAMP_LAYOUT]
     iso = F.regexp_replace(text, SLASH_LAYOUT, "$3-$1-$2 $4:$5:00")
-    accepted = text.rlike(SLASH_LAYOUT) | text.rlike(STAMP_LAYOUT)
-    if date_only:
-        accepted = accepted | text.rlike(DATE_LAYOUT)
-    return F.when(accepted, iso.try_cast("timestamp_ntz"))
+    return F.when(text.rlike("|".join(layouts)), iso.try_cast("timestamp_ntz"))
+
+
+# Fixed values.
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
 def date_key(stamp: Column) -> Column:
-    return F.date_format(stamp, "yyyyMMdd").cast("int")
+    """yyyyMMdd as a number."""
+    return F.year(stamp) * 10_000 + F.month(stamp) * 100 + F.dayofmonth(stamp)
+
+
+def year_month(stamp: Column) -> Column:
+    return F.substring(F.to_date(stamp).cast("string"), 1, 7)
+
+
+def month_name(stamp: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(stamp))
+
+
+def day_name(stamp: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(d) for d in DAYS]), F.weekday(stamp) + 1)
 
 
 def whole_days(first: Column, last: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.dates import date_key, whole_days
+from freightlens.functions.dates import date_key, day_name, month_name, whole_days, year_month
 from freightlens.functions.numbers import flag, mean, percent, ratio, rounded
 
 PROFIT = "order_profit_per_order"
@@ -40,14 +40,14 @@ def add_calendar(df: DataFrame) -> DataFrame:
             "order_quarter_number": F.quarter(ordered),
             "order_quarter": F.concat(F.lit("Q"), F.quarter(ordered).cast("string")),
             "order_month": F.month(ordered),
-            "order_month_name": F.date_format(ordered, "MMMM"),
-            "order_year_month": F.date_format(ordered, "yyyy-MM"),
+            "order_month_name": month_name(ordered),
+            "order_year_month": year_month(ordered),
             "order_week": F.weekofyear(ordered),
             "order_day": F.dayofmonth(ordered),
-            "order_day_name": F.date_format(ordered, "EEEE"),
+            "order_day_name": day_name(ordered),
             "is_weekend_order": F.coalesce(flag(F.weekday(ordered) >= 5), F.lit(0)),
             "order_date_key": date_key(ordered),
-            "shipping_year_month": F.date_format(shipped, "yyyy-MM"),
+            "shipping_year_month": year_month(shipped),
             "shipping_date_key": date_key(shipped),
         }
     )

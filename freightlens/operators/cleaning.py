@@ -82,8 +82,7 @@ def typed(text: Column, target: str) -> Column:
     if target == "timestamp_ntz":
         return parse_datetime(text)
     if target in ("int", "bigint"):
-        number = text.try_cast("decimal(38,6)")
-        return F.when(number == F.floor(number), number.try_cast(target))
+        return F.regexp_replace(text, r"\.0*$", "").try_cast(target)
     if target.startswith("decimal"):
         return text.try_cast(target)
     return text
@@ -186,10 +185,9 @@ def cleaning_counts(parsed: DataFrame, key: str = KEY) -> DataFrame:
     ).select("raw_rows", distinct.scalar().alias("exact_copies_removed"), "one_row_per_key", "key_present")
 
 
-def audit_log(raw: DataFrame) -> DataFrame:
-    """Rows and columns before and after every cleaning step."""
-    parsed = parse_raw(raw)
-    raw_columns, kept = len(raw.columns), len(parsed.columns)
+def audit_log(raw_columns: int, parsed: DataFrame) -> DataFrame:
+    """Rows and columns before and after every cleaning step, from the stored rows before deduplication."""
+    kept = len(parsed.columns)
     empty = empty_columns(parsed)
     steps = [
         ("load_raw_data", "raw_rows", "raw_rows", raw_columns, raw_columns),

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.dates import date_key
+from freightlens.functions.dates import date_key, day_name, month_name, year_month
 from freightlens.functions.numbers import flag, mean, rounded
 from freightlens.operators.ranking import row_number
 from freightlens.schemas import fields
@@ -115,12 +115,12 @@ def date_members(staging: DataFrame) -> DataFrame:
         F.quarter(d).alias("calendar_quarter"),
         F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("quarter_name"),
         F.month(d).alias("calendar_month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.date_format(d, "yyyy-MM").alias("calendar_year_month"),
+        month_name(d).alias("month_name"),
+        year_month(d).alias("calendar_year_month"),
         F.weekofyear(d).alias("week_of_year"),
         F.dayofmonth(d).alias("day_of_month"),
         (F.weekday(d) + 1).alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
+        day_name(d).alias("day_name"),
         flag(F.weekday(d) >= 5).alias("is_weekend"),
     )
 

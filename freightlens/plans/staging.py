@@ -35,10 +35,9 @@ def sales_tier_cuts(items: DataFrame) -> list[tuple] | None:
     ordered by sales and then order_item_id. None when fewer than four sales values are distinct."""
     scale = 10_000
     sales = items.select((F.col("sales") * scale).cast("long").alias("v"), "order_item_id").where("v is not null")
-    if sales.agg(F.approx_count_distinct("v")).first()[0] < 100:  # the estimate is only trusted far from the limit
-        if sales.select("v").distinct().count() < 4:
-            return None
-    edges, sizes = order_statistics(sales, {"v": _quartile_ends})
+    edges, sizes = order_statistics(sales, {"v": lambda n: [1, *_quartile_ends(n), n]})
+    if len({v for v, _ in edges.values()}) < 4 and sales.select("v").distinct().limit(4).count() < 4:
+        return None
     picked = [edges[("v", r)] for r in _quartile_ends(sizes["v"])]  # (scaled sales, rank among its ties)
     ties = sales.where(F.col("v").isin([v for v, _ in picked])).select(
         *[F.when(F.col("v") == v, F.col("order_item_id")).alias(f"t{i}") for i, (v, _) in enumerate(picked)]

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from freightlens.functions import features
-from freightlens.operators.cleaning import clean_items
+from freightlens.operators import cleaning
 from freightlens.operators.joins import lookup_join
 from freightlens.plans import dims, facts, staging
 from freightlens.plans.dims import DIMENSIONS
@@ -21,20 +21,21 @@ from freightlens.session import Workspace
 class Warehouse:
     """clean → staging → dimensions → fact, written as Parquet below the session's shared folder.
 
-    `items` holds typed order items under the cleaned column names, `raw` the text they came from.
+    `raw` holds the 53 text columns of the raw file. `items`, if given, holds the same order items typed
+    and under clean names; otherwise they are parsed from `raw`.
     """
 
     def __init__(
         self,
         spark: SparkSession,
-        items: DataFrame,
+        items: DataFrame | None = None,
         source_file_name: str = "order_items",
         loaded_at: datetime | None = None,
         expected_rows: int | None = None,
         raw: DataFrame | None = None,
     ):
         self.spark = spark
-        self.items = items
+        self._items = items
         self.source_file_name = source_file_name
         self.loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
         self.expected_rows = expected_rows
@@ -49,9 +50,18 @@ class Warehouse:
         """The raw columns with their numbers typed, landed once so that profiles read single columns."""
         return self.workspace.write(type_numbers(self.raw_text), "raw")
 
+    @cached_property
+    def parsed(self) -> DataFrame:
+        """The raw rows under clean names, tidied and typed, before any row is removed."""
+        return self.workspace.write(cleaning.parse_raw(self.raw_text), "parsed")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return cleaning.drop_empty_columns(self.parsed) if self._items is None else self._items
+
     @cached_property
     def clean(self) -> DataFrame:
-        return self.workspace.write(clean_items(self.items), "clean")
+        return self.workspace.write(cleaning.clean_items(self.items), "clean")
 
     @cached_property
     def order_totals(self) -> DataFrame:

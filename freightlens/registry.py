@@ -262,7 +262,7 @@ def _rounded(w: Warehouse) -> DataFrame:
 _add("clean_column_names", _column_names)
 _add("clean_drop_pii", lambda w: cleaning.drop_personal(cleaning.rename_columns(w.raw_text)))
 _add("clean_text", lambda w: cleaning.normalise_text(_untidy_text(w)))
-_add("clean_types", lambda w: conform(cleaning.parse_raw(w.raw_text), CLEAN_FIELDS))
+_add("clean_types", lambda w: conform(w.parsed, CLEAN_FIELDS))
 _add("clean_parse_dates_3fmt", _three_layouts)
 _add("clean_exact_dedup", _with_copies)
 _add("clean_key_dedup", lambda w: cleaning.keep_fullest_row(w.items))
@@ -272,7 +272,7 @@ _add("clean_fill_unknown", _unknowns)
 _add("clean_labels", _labels)
 _add("clean_title_case", _places)
 _add("clean_round", _rounded)
-_add("clean_audit_log", lambda w: cleaning.audit_log(w.raw_text))
+_add("clean_audit_log", lambda w: cleaning.audit_log(len(w.raw_text.columns), w.parsed))
 _add("clean_reconciliation", lambda w: cleaning.reconciliation(w.raw_text, cleaning.drop_empty_columns(w.clean)))
 _add("clean_critical_missing", lambda w: cleaning.critical_missing(w.clean))
 

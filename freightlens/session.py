@@ -8,12 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The JVM does not compile methods above 8000 bytes of bytecode. Plans over the wide item rows generate longer
+# ones; with this limit Spark splits them instead of running them interpreted.
+HUGE_METHOD = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def get_session(app_name: str = "freightlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(*HUGE_METHOD)
     )
     if master:
         builder = builder.master(master)
@@ -39,6 +45,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
+        spark.conf.set(*HUGE_METHOD)
         self.root = root or "/".join(
             [shared_folder(spark), "freightlens", spark.sparkContext.applicationId, uuid.uuid4().hex[:12]]
         )

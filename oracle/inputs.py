@@ -34,7 +34,7 @@ STEPS = [
     ("standardize_categories", KEYS, KEYS, KEPT - EMPTY, KEPT - EMPTY),
 ]
 day = lambda e: f"strftime({e}, '%Y-%m-%d %H:%M:%S')"
-title = lambda e: f"array_to_string(list_transform(regexp_extract_all(lower({e}), '[a-z]+|[^a-z]+'), w -> upper(w[1]) || w[2:]), '')"
+title = lambda e: f"array_to_string(list_transform(regexp_extract_all(lower({e}), '[a-z]+|[^a-z]+'), lambda w: upper(w[1]) || w[2:]), '')"
 third = lambda c: r(f"CAST({c} AS DECIMAL(28,14)) / 3", 4)
 
 CLEANING = {
