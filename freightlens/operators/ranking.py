@@ -44,8 +44,12 @@ def dense_index(ws: Workspace, df: DataFrame, order: Sequence[Column], name: str
     )
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def _with_first(df: DataFrame, positions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df with `_first`, the lowest `_pos` that `positions` holds for the row's keys."""
+    named = [F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]
+    first = positions.groupBy(*named).agg(F.min("_pos").alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
+    return df.join(first, same).drop(*[f"_g{i}" for i in range(len(keys))])
 
 
 def row_number(ws, df, order, name, rows, partition: Sequence[str] = ()) -> DataFrame:
@@ -53,13 +57,8 @@ def row_number(ws, df, order, name, rows, partition: Sequence[str] = ()) -> Data
     if rows <= SINGLE_TASK_ROWS:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
     placed = dense_index(ws, df, [*[F.col(c) for c in partition], *order], "_pos")
-    if not partition:
-        return placed.withColumn(name, (F.col("_pos") + 1).cast("int")).drop("_pos")
-    first = placed.groupBy(*partition).agg(F.min("_pos").alias("_first"))
-    return (
-        placed.join(first, _same(placed, first, partition))
-        .select(*[placed[c] for c in df.columns], (F.col("_pos") - F.col("_first") + 1).cast("int").alias(name))
-    )
+    numbered = _with_first(placed, placed, partition) if partition else placed.withColumn("_first", F.lit(0))
+    return numbered.withColumn(name, (F.col("_pos") - F.col("_first") + 1).cast("int")).drop("_pos", "_first")
 
 
 def rank(ws, df, value: str, name, rows, dense: bool = False) -> DataFrame:
@@ -67,16 +66,10 @@ def rank(ws, df, value: str, name, rows, dense: bool = False) -> DataFrame:
     if rows <= SINGLE_TASK_ROWS:
         function = F.dense_rank if dense else F.rank
         return df.withColumn(name, function().over(Window.orderBy(F.desc(value))))
-    if dense:
-        source = df
-        first = dense_index(ws, df.select(value).distinct(), [F.desc(value)], "_first")
-    else:
-        source = dense_index(ws, df, [F.desc(value)], "_pos")
-        first = source.groupBy(value).agg(F.min("_pos").alias("_first"))
-    return (
-        source.join(first, _same(source, first, [value]))
-        .select(*[source[c] for c in df.columns], (F.col("_first") + 1).cast("int").alias(name))
-    )
+    # DENSE_RANK counts distinct values before a row, RANK counts rows
+    placed = dense_index(ws, df.select(value).distinct() if dense else df, [F.desc(value)], "_pos")
+    ranked = _with_first(df if dense else placed, placed, [value])
+    return ranked.withColumn(name, (F.col("_first") + 1).cast("int")).drop("_pos", "_first")
 
 
 def ntile(ws, df, tiles: int, order, name, rows) -> DataFrame:

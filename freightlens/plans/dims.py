@@ -87,9 +87,14 @@ DIMENSIONS = {
 
 
 def _highest_per_key(staging: DataFrame, dim: Dimension, lowest: tuple[str, ...] = ()) -> DataFrame:
-    """MAX of every attribute per natural key, MIN for the ones named."""
+    """MAX of every attribute per natural key, MIN for the ones named.
+
+    Distinct combinations come first: they hash and combine in the scanning tasks, where text maxima would sort
+    every row, and leave about one row per member.
+    """
     values = [(F.min if c in lowest else F.max)(c).alias(c) for c in dim.columns if c != dim.natural]
-    return staging.where(F.col(dim.natural).isNotNull()).groupBy(dim.natural).agg(*values)
+    combinations = staging.where(F.col(dim.natural).isNotNull()).select(*dim.columns).distinct()
+    return combinations.groupBy(dim.natural).agg(*values)
 
 
 def customer_members(staging: DataFrame) -> DataFrame:
@@ -106,8 +111,8 @@ def product_members(staging: DataFrame) -> DataFrame:
 
 def date_members(staging: DataFrame) -> DataFrame:
     stamps = ["order_date", "shipping_date", "customer_first_order_date", "customer_last_order_date"]
-    day = F.explode(F.array(*[F.to_date(c) for c in stamps])).alias("full_date")
-    days = staging.select(day).where("full_date is not null").distinct()
+    found = staging.select(*[F.to_date(c).alias(c) for c in stamps]).distinct()
+    days = found.select(F.explode(F.array(*stamps)).alias("full_date")).where("full_date is not null").distinct()
     d = F.col("full_date")
     return days.select(
         "full_date",

@@ -175,15 +175,18 @@ def sample(df: DataFrame, n: int = 20_000, seed: int = 42) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str] = tuple(CORRELATED)) -> DataFrame:
-    """Pearson matrix as (column_a, column_b, correlation), all pairs in one pass."""
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    """Pearson matrix as (column_a, column_b, correlation), all pairs in one pass.
+
+    Each row gives one (pair, x, y) per pair, which combine in the scanning tasks; one aggregate over all
+    pairs at once would be too large to compile.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    matrix = numbers.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        r = rounded(F.when(~F.isnan(f"r{i}"), F.col(f"r{i}")), 6).alias("correlation")
-        cells += [F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), r) for x, y in {(a, b), (b, a)}]
-    return matrix.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    cells = [F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)]
+    found = df.select(F.explode(F.array(*cells)).alias("c")).groupBy("c.pair").agg(F.corr("c.x", "c.y").alias("r"))
+    r = rounded(F.when(~F.isnan("r"), F.col("r")), 6).alias("correlation")
+    cell = lambda a, b: F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"))
+    places = F.array(*[F.array(cell(a, b)) if a == b else F.array(cell(a, b), cell(b, a)) for a, b in pairs])
+    return found.select(F.explode(F.element_at(places, F.col("pair") + 1)).alias("p"), r).select("p.*", "correlation")
 
 
 def geo_points(df: DataFrame, n: int = 5_000) -> DataFrame:

@@ -16,6 +16,7 @@ from freightlens.session import Workspace
 
 # Fixed value: prefix of a load batch tag.
 BATCH_PREFIX = "DATACO_"
+ROW_ID = "staging_row_id"
 
 ORDER_FEATURES = [
     "order_total_sales", "order_total_profit", "order_total_quantity", "order_item_count", "order_profit_margin_pct",
@@ -63,24 +64,8 @@ def ready_items(clean: DataFrame, orders: DataFrame, customers: DataFrame) -> Da
     return attach_totals(ready, orders, customers)
 
 
-def number_rows(ws: Workspace, df: DataFrame, name: str = "staging_row_id") -> DataFrame:
-    """Store df and number its rows 1..n in the order they were written, without moving any row."""
-    slotted = df.drop(name).withColumn("_slot", F.monotonically_increasing_id())
-    table = ws.write(slotted, ws.fresh("slotted"))
-    part = F.shiftright("_slot", 33)
-    starts, seen = [], 1
-    for p, n in sorted((r["p"], r["count"]) for r in table.groupBy(part.alias("p")).count().collect()):
-        starts.append((p, seen))
-        seen += n
-    starts = F.broadcast(ws.spark.createDataFrame(starts, "_part long, _start long"))  # one row per written partition
-    numbered = table.withColumn("_part", part).join(starts, "_part")
-    return numbered.withColumn(name, F.col("_start") + F.col("_slot") - F.shiftleft("_part", 33)).drop(
-        "_slot", "_part", "_start"
-    )
-
-
-def stage(ws: Workspace, ready: DataFrame, loaded_at: datetime, source_file_name: str) -> DataFrame:
-    """Full refresh of the staging table, one folder per load batch."""
+def store(ws: Workspace, ready: DataFrame, loaded_at: datetime, source_file_name: str) -> DataFrame:
+    """Full refresh of the staging table. `_slot` keeps each row's place: task in the upper bits, position below."""
     tagged = ready.withColumns(
         {
             "source_file_name": F.lit(source_file_name),
@@ -88,7 +73,20 @@ def stage(ws: Workspace, ready: DataFrame, loaded_at: datetime, source_file_name
             "loaded_at": F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz"),
         }
     )
-    return conform(number_rows(ws, tagged), STAGING_FIELDS)
+    layout = {c: t for c, t in STAGING_FIELDS.items() if c != ROW_ID}
+    return ws.write(conform(tagged, layout).withColumn("_slot", F.monotonically_increasing_id()), ws.fresh("staging"))
+
+
+def number_rows(stored: DataFrame) -> DataFrame:
+    """Stored staging with its rows numbered 1..n in the order they were written, without moving any row."""
+    part = F.shiftright("_slot", 33)
+    starts, seen = [], 1
+    for p, n in sorted((r["p"], r["count"]) for r in stored.groupBy(part.alias("p")).count().collect()):
+        starts.append((p, seen))
+        seen += n
+    starts = F.broadcast(stored.sparkSession.createDataFrame(starts, "_part long, _start long"))  # one row per written task
+    place = F.col("_start") + F.col("_slot") - F.shiftleft("_part", 33)
+    return stored.withColumn("_part", part).join(starts, "_part").withColumn(ROW_ID, place).select(*STAGING_FIELDS)
 
 
 def latest_batch(staging: DataFrame) -> DataFrame:

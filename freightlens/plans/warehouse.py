@@ -72,19 +72,25 @@ class Warehouse:
         return self.workspace.write(features.customer_totals(self.clean), "customer_totals")
 
     @cached_property
-    def staging(self) -> DataFrame:
+    def stored(self) -> DataFrame:
+        """The staging table as written."""
         ready = staging.ready_items(self.clean, self.order_totals, self.customer_totals)
-        return staging.stage(self.workspace, ready, self.loaded_at, self.source_file_name)
+        return staging.store(self.workspace, ready, self.loaded_at, self.source_file_name)
+
+    @cached_property
+    def staging(self) -> DataFrame:
+        """Staging with numbered rows."""
+        return staging.number_rows(self.stored)
 
     @cached_property
     def batch(self) -> DataFrame:
-        """Staging rows of the batch loaded last."""
-        return staging.latest_batch(self.staging)
+        """Staged rows of the batch loaded last, unnumbered."""
+        return staging.latest_batch(self.stored).drop("_slot")
 
     @cached_property
     def ready(self) -> DataFrame:
-        """Analytics-ready items: the batch without its load columns."""
-        return self.batch.select(*READY_FIELDS)
+        """Analytics-ready items: a full refresh leaves one batch, so this is staging without its load columns."""
+        return self.stored.select(*READY_FIELDS)
 
     @cached_property
     def validation(self) -> DataFrame:
@@ -94,11 +100,11 @@ class Warehouse:
     @cached_property
     def expected(self) -> int:
         """Rows the load should hold: the number given, or else the staged rows themselves."""
-        return self.expected_rows if self.expected_rows is not None else self.staging.count()
+        return self.expected_rows if self.expected_rows is not None else self.stored.count()
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
-        return dims.load_dimensions(self.workspace, self.staging, self.loaded_at)
+        return dims.load_dimensions(self.workspace, self.ready, self.loaded_at)
 
     @cached_property
     def fact(self) -> DataFrame:

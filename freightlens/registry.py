@@ -88,11 +88,11 @@ _STAGED = {
     "dq_10_financial_features": quality.financial_features,
     "dq_11_binary_fields": quality.binary_fields,
     "dq_12_domains": quality.domains,
-    "dq_13_problem_rows": quality.problem_rows,
     "dq_14_reconciliation": quality.business_summary,
 }
 for _name, _check in _STAGED.items():
-    _add(_name, lambda w, check=_check: check(w.batch), drop=("staging_row_id",))
+    _add(_name, lambda w, check=_check: check(w.batch))
+_add("dq_13_problem_rows", lambda w: quality.problem_rows(staging.latest_batch(w.staging)), drop=("staging_row_id",))
 _add("dq_02_volume_unique", lambda w: quality.volume_and_uniqueness(w.batch, w.expected))
 # before one row per key is kept, so that there is something to find
 _add("dq_04_duplicate_keys", lambda w: quality.duplicate_keys(w.items))
@@ -143,7 +143,7 @@ _EXPLORED = {
     "eda_outliers": lambda df: profiling.outlier_report(df, eda.OUTLIER_COLUMNS, of_all_rows=True),
 }
 for _name, _table in _EXPLORED.items():
-    _add(_name, lambda w, table=_table: table(w.batch))
+    _add(_name, lambda w, table=_table: table(w.ready))
 
 for _name, _make in validation.CHECKS.items():
     _add(_name, lambda w, make=_make: validation.report(w.ready, make(w.ready)))
@@ -383,7 +383,7 @@ def _reports(w: Warehouse) -> DataFrame:
     reports = {
         "missing_value_report": profiling.missing_report(w.raw),
         "cleaning_validation_report": profiling.clean_rules(w.clean),
-        "monthly_trend": eda.monthly(w.batch),
+        "monthly_trend": eda.monthly(w.ready),
     }
     written = sinks.write_reports(reports, w.workspace.path(w.workspace.fresh("reports")))
     rows = [(name, sinks.count_exported(w.workspace, path)) for name, path in written.items()]
@@ -399,15 +399,15 @@ def _run_log(w: Warehouse) -> DataFrame:
 
 
 def _batch_tags(w: Warehouse) -> DataFrame:
-    return w.staging.groupBy("loaded_at").agg(F.max("load_batch_id").alias("load_batch_id"), F.count("*").alias("rows"))
+    return w.stored.groupBy("loaded_at").agg(F.max("load_batch_id").alias("load_batch_id"), F.count("*").alias("rows"))
 
 
 def _two_batches(w: Warehouse) -> DataFrame:
     """An older batch of the orders before 1998 below the current one; only the newer one is left."""
-    older = w.staging.where("order_year < 1998").withColumns(
+    older = w.stored.where("order_year < 1998").withColumns(
         {"load_batch_id": F.lit("DATACO_20230101_000000_000000"), "loaded_at": F.lit("2023-01-01 00:00:00").cast("timestamp_ntz")}
     )
-    newest = staging.latest_batch(w.staging.unionByName(older))
+    newest = staging.latest_batch(w.stored.unionByName(older))
     return newest.groupBy("load_batch_id", "loaded_at").agg(F.count("*").alias("rows"))
 
 
@@ -421,4 +421,4 @@ _add("sink_reports", _reports)
 _add("etl_run_log", _run_log)
 _add("load_batch_id", _batch_tags)
 _add("latest_batch", _two_batches)
-_add("dq_load_sample", lambda w: quality.load_sample(w.batch))
+_add("dq_load_sample", lambda w: quality.load_sample(staging.latest_batch(w.staging)))

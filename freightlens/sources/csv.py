@@ -13,7 +13,7 @@ from freightlens.functions import features
 from freightlens.functions.dates import parse_datetime
 from freightlens.functions.text import blank_to_null
 from freightlens.operators.cleaning import typed
-from freightlens.plans.staging import stage
+from freightlens.plans.staging import number_rows, store
 from freightlens.schemas import READY_FIELDS, READY_HEADERS
 from freightlens.session import Workspace
 
@@ -129,4 +129,4 @@ def rejected_cells(lines: DataFrame) -> DataFrame:
 
 def load_staging(ws: Workspace, path: str, loaded_at: datetime, source_file_name: str) -> DataFrame:
     """Full refresh of staging from an analytics-ready file."""
-    return stage(ws, convert(read_ready_csv(ws.spark, path)), loaded_at, source_file_name)
+    return number_rows(store(ws, convert(read_ready_csv(ws.spark, path)), loaded_at, source_file_name))
