@@ -79,6 +79,7 @@ def read_ready_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_malformed")
+        .option("columnPruning", False)  # a pruned parse would not see surplus fields
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
