@@ -326,13 +326,15 @@ def major_segments(w: Warehouse) -> DataFrame:
 
 
 def orphan_fact_rows(w: Warehouse) -> DataFrame:
-    rows = w.fact.select("fact_order_item_key", "order_item_id", "customer_key", "product_key", "category_key")
-    for dim in ("customer", "product", "category"):
-        known = w.dim(dim).select(F.col(f"{dim}_key").alias("_k"), F.lit(True).alias(f"_{dim}"))
-        rows = rows.join(known, F.col(f"{dim}_key") == F.col("_k"), "left").drop("_k")
-    return rows.where("_customer is null or _product is null or _category is null").select(
-        "fact_order_item_key", "order_item_id", "customer_key", "product_key", "category_key"
-    )
+    """Fact rows with a key that has no member. The distinct keys meet the dimensions first; what is left of
+    them is normally nothing, so the rows themselves need no shuffle."""
+    keys = ["customer_key", "product_key", "category_key"]
+    rows = w.fact.select("fact_order_item_key", "order_item_id", *keys)
+    for key in keys:
+        known = w.dim(key.removesuffix("_key")).select(key)
+        orphans = w.fact.select(key).distinct().join(known, key, "left_anti")
+        rows = rows.join(orphans.withColumn(f"_no_{key}", F.lit(True)), key, "left")
+    return rows.where(" or ".join(f"_no_{k}" for k in keys)).select("fact_order_item_key", "order_item_id", *keys)
 
 
 def category_vs_department(w: Warehouse) -> DataFrame:
