@@ -59,9 +59,12 @@ def attach_totals(items: DataFrame, orders: DataFrame, customers: DataFrame) ->
 
 
 def ready_items(clean: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Cleaned items (a stored table, read several times) to the analytics-ready layout."""
-    ready = features.add_sales_tier(clean.transform(features.add_row_features), sales_tier_cuts(clean))
-    return attach_totals(ready, orders, customers)
+    """Cleaned items (a stored table, read several times) to the analytics-ready layout.
+
+    The totals are joined to the narrow rows, the many row features come last.
+    """
+    cuts = sales_tier_cuts(clean)
+    return features.add_sales_tier(attach_totals(clean, orders, customers).transform(features.add_row_features), cuts)
 
 
 def store(ws: Workspace, ready: DataFrame, loaded_at: datetime, source_file_name: str) -> DataFrame:
