@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.features import PROFIT, sign_label
-from freightlens.functions.numbers import failures, flag, mean, percent, ratio, rounded
+from freightlens.functions.numbers import failures, percent
 from freightlens.plans.measures import average, margin_pct, rate_pct, sales_and_profit
 
 # Accepted labels.

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from freightlens.functions.features import PROFIT
-from freightlens.functions.numbers import mean, percent, ratio, rounded, total
+from freightlens.functions.numbers import mean, percent, ratio, rounded
 from freightlens.operators import ranking
 from freightlens.plans.measures import (
-    average, average_of, item_rows, margin_of, margin_pct, orders, rate_of, rate_pct, rows_of, sales_and_profit,
+    average, average_of, item_rows, margin_of, margin_pct, orders, rate_of, rows_of, sales_and_profit,
     sales_and_profit_of, subtotals, sum_of, total_of,
 )
 from freightlens.plans.warehouse import Warehouse

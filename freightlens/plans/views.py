@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.features import PROFIT
-from freightlens.functions.numbers import percent, ratio, rounded
+from freightlens.functions.numbers import ratio, rounded
 from freightlens.plans.measures import (
-    average, average_of, item_rows, margin_of, margin_pct, order_value, orders, rate_of, rate_pct, rows_of,
+    average, average_of, item_rows, margin_of, margin_pct, order_value, orders, rate_of, rate_pct,
     sales_and_profit, sales_and_profit_of, subtotals, sum_of,
 )
 from freightlens.plans.warehouse import Warehouse

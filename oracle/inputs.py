@@ -4,7 +4,7 @@ from freightlens.functions.text import snake_case
 from freightlens.operators.cleaning import FILLED_WITH_UNKNOWN, PERSONAL_OR_UNUSED, RENAMED
 from freightlens.plans.feature_reports import DESCRIPTIONS
 from freightlens.schemas import CLEAN_FIELDS, RAW_HEADERS, READY_FIELDS, READY_HEADERS
-from oracle.base import BATCH, CLEAN, FILLED, ITEM_COLUMNS, ITEMS, LOADED_AT, SOURCE_FILE, TIE_BREAK, on_clean, on_items, on_star, on_stg, pct, plain, r
+from oracle.base import FILLED, ITEM_COLUMNS, LOADED_AT, SOURCE_FILE, TIE_BREAK, on_clean, on_items, on_star, on_stg, pct, plain, r
 from oracle.profiling import CLEAN_RULES, RAW, on_raw
 
 TEXT_RAW = RAW + ",\nraw_text AS (SELECT " + ", ".join(f'CAST("{h}" AS VARCHAR) AS "{h}"' for h in RAW_HEADERS) + " FROM raw)"

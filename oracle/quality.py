@@ -1,6 +1,6 @@
 """Staging quality checks."""
 
-from oracle.base import P, avg, margin, on_stg, pct, rate, total
+from oracle.base import P, avg, margin, on_items, on_stg, pct, rate, total
 
 
 def rules(conditions: dict[str, str], status: str) -> str:
@@ -137,8 +137,6 @@ BODIES["dq_load_check"] = BODIES["dq_load_check"].replace("SELECT *, CASE WHEN o
 
 QUALITY = {name: on_stg(body) for name, body in BODIES.items()}
 # The duplicate-key list runs over the items before they are reduced to one row per key.
-from oracle.base import on_items  # noqa: E402
-
 QUALITY["dq_04_duplicate_keys"] = on_items(
     """SELECT order_item_id, COUNT(*) AS duplicate_count FROM items GROUP BY 1 HAVING COUNT(*) > 1
     ORDER BY duplicate_count DESC, order_item_id LIMIT 100"""

@@ -1,6 +1,6 @@
 """The fifty business questions."""
 
-from oracle.base import FACT_FIELDS, P, avg, dec, margin, mean, on_star, pct, plain, r, rate, total
+from oracle.base import FACT_FIELDS, P, avg, mean, on_star, pct, plain, r, rate, total
 from oracle.views import MARGIN, ORDERS, ROWS, SP, qty
 
 CUSTOMER = "fact JOIN dim_customer USING (customer_key)"
