@@ -27,14 +27,18 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     Place columns the tables have no source for are left out rather than filled with NULL.
     """
     table = lambda name: read_table(spark, folder, name)
-    joined = (
-        spread(table("lineitem"))
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    # buyers are attached to the orders, so that the far more numerous line items are shuffled by order and part only
+    bought = (
+        table("orders")
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    joined = (
+        spread(table("lineitem"))
+        .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    )
     real = ((F.col("l_suppkey") + F.col("l_linenumber")) % 7).cast("int")
     scheduled = _by_priority({"1-URGENT": 0, "2-HIGH": 1, "3-MEDIUM": 2}, 4)
     gross = F.col("l_extendedprice").cast(MONEY)
