@@ -8,8 +8,8 @@ coordinate by its hash, and the earliest of a coordinate is its signature entry.
 probability equal to their weighted Jaccard similarity.
 
 Entries are banded. Texts that share a band are compared with one leader of that band, exactly, on their whole weighted
-shingle sets; bands whose members are not in one component after that get other leaders, and after STARS rounds the pairs
-that are still in different components. So no band emits all its pairs, and no verified link is missed. Components
+shingle sets; bands whose members are not in one component after that get other leaders, and in the end the pairs
+that are still in different components are compared. So no band emits all its pairs, and no verified link is missed. Components
 of links of similarity THRESHOLD or more are the classes.
 
 Texts of equal word sequences are one text from the start. A text without words (null, empty) is a near duplicate of nothing:
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import hashed_words, in_batches, mixed, paired, signed, some_at_a_time, steps, table, window_hashes
-from freightlens.llm.components import components
+from freightlens.llm.similar import similar_components
 from freightlens.session import Workspace
 
 SHINGLE = 5
@@ -39,7 +39,6 @@ THRESHOLD = 0.8
 BANDS = 24
 ROWS = 5  # a pair of similarity 0.8 shares none of 24 bands of 5 once in 14,000 times, one of 0.85 once in a million
 LOWEST = 1 / 16  # height of the first rank region
-STARS = 3
 EMPTY = np.iinfo(np.uint64).max
 LOW_BITS = np.uint64(0xFFFFFFFF)
 
@@ -136,61 +135,23 @@ def element_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return in_batches(docs, work, "node long, e array<long>")
 
 
-def _leader_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """(a, b): each member with the leader of its band, where sizes allow the similarity and components differ."""
-    order = F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), "node", "n", "component")
-    leaders = members.groupBy("band").agg(F.min(order).alias("lead"))
-    pairs = members.join(leaders, "band").where("component <> lead.component")
-    return pairs.select(F.col("node").alias("a"), F.col("lead.node").alias("b"), "n", F.col("lead.n").alias("m"))
-
-
 def near_duplicate_classes(
     ws: Workspace, docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE
 ) -> DataFrame:
     """(doc_id, class_id) per row of docs; class_id is the smallest doc_id of the class."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sketched = ws.write(sketches(docs, bands, rows, shingle), ws.fresh("sketches"))
-    nodes = ws.write(
-        sketched.where("h1 is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.min(F.struct("doc_id", "n", "bands")).alias("s"))
-        .select("h1", "h2", "node", "s.n", "s.bands"),
-        ws.fresh("nodes"),
+    texts = sketched.where("h1 is not null and doc_id is not null").groupBy("h1", "h2")
+    nodes = ws.write(texts.agg(F.min(F.struct("doc_id", "n", "bands")).alias("s")).select("h1", "h2", "s.*"), ws.fresh("nodes"))
+    banded = nodes.select(F.explode("bands").alias("band"), F.col("doc_id").alias("node"), "n")
+    classes = similar_components(
+        ws, banded, lambda wanted: element_sets(docs.join(wanted, docs.doc_id == wanted.node).select("node", "text"), shingle).distinct(), threshold
+    )
+    known = nodes.select("h1", "h2", F.col("doc_id").alias("node"))
+    known = known.withColumn("component", F.col("node")) if classes is None else known.join(classes, "node", "left")
+    return sketched.select("doc_id", "h1", "h2").join(known, ["h1", "h2"], "left").select(
+        "doc_id", F.coalesce("component", "node", "doc_id").alias("class_id")
     )
-    banded = nodes.select("node", "n", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band")
-    members = ws.write(banded.join(shared, "band").withColumn("component", F.col("node")), ws.fresh("members"))
-    linked: DataFrame | None = None  # verified links of all rounds
-    sets = None
-    done = 0
-    while not members.isEmpty():
-        if done < STARS:
-            pairs = _leader_pairs(members, done)
-        else:
-            other = members.select("band", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("component_b"))
-            pairs = members.join(other, "band").where("node < b and component <> component_b").select(F.col("node").alias("a"), "b", "n", "m")
-        pairs = ws.write(pairs.where(F.least("n", "m") >= threshold * F.greatest("n", "m")).select("a", "b").distinct(), ws.fresh("pairs"))
-        if sets is None:
-            wanted = members.select("node").distinct()
-            texts = docs.join(wanted, docs.doc_id == wanted.node)
-            sets = ws.write(element_sets(texts.select("node", "text")).distinct(), ws.fresh("sets"))
-        one, two = (sets.select(F.col("node").alias(x), F.col("e").alias(f"e{x}")) for x in "ab")
-        common = F.size(F.array_intersect("ea", "eb"))
-        found = pairs.join(one, "a").join(two, "b").where(common >= threshold * (F.size("ea") + F.size("eb") - common)).select("a", "b")
-        found = ws.write(found, ws.fresh("links"))
-        linked = found if linked is None else linked.unionByName(found)
-        done += 1
-        if done > STARS:
-            break
-        joined = components(ws, linked)
-        labels = members.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # a leader has been compared with its whole band and leaves it; a band of one component has nothing to find
-        order = F.struct(F.xxhash64("node", F.lit(done - 1)).alias("h"), "node")
-        rest = labels.join(labels.groupBy("band").agg(F.min(order).alias("lead")), "band").where("node <> lead.node").drop("lead")
-        open_bands = rest.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band")
-        members = ws.write(rest.join(open_bands, "band").select("node", "n", "band", "component"), ws.fresh("members"))
-    classes = components(ws, linked) if linked is not None else nodes.select("node", F.col("node").alias("component")).limit(0)
-    known = nodes.select("h1", "h2", "node").join(classes, "node", "left")
-    by_text = sketched.select("doc_id", "h1", "h2").join(known, ["h1", "h2"], "left")
-    return by_text.select("doc_id", F.coalesce("component", "node", "doc_id").alias("class_id"))
 
 
 def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
