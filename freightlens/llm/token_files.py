@@ -48,7 +48,7 @@ NO_ID = -(1 << 63)
 class PieceIds(dict):
     """Piece of text -> its ids as little-endian uint16."""
 
-    def __init__(self, vocabulary: str, most: int = 400_000):
+    def __init__(self, vocabulary: str, most: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -106,17 +106,13 @@ def compress(ids: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray
         chosen = np.zeros(1 << HASH_BITS, bool)
         chosen[frequent] = True
 
-        def places() -> np.ndarray:
-            at = np.flatnonzero(chosen[cells] & (held[cells] == keys))
-            if not len(at):
-                return at
-            begins = np.r_[True, np.diff(at) > 1]
-            offset = np.arange(len(at)) - np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
-            return at[offset % 2 == 0]
-
-        uses = np.bincount(cells[places()], minlength=1 << HASH_BITS)
-        chosen &= uses > 1
-        at = places()
+        at = np.flatnonzero(chosen[cells] & (held[cells] == keys))
+        if not len(at):
+            break
+        begins = np.r_[True, np.diff(at) > 1]
+        offset = np.arange(len(at)) - np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
+        at = at[offset % 2 == 0]
+        at = at[np.bincount(cells[at], minlength=1 << HASH_BITS)[cells[at]] > 1]
         if len(at) < GAIN * len(sequence):
             break
         used = np.flatnonzero(np.bincount(cells[at], minlength=1 << HASH_BITS))
