@@ -7,8 +7,8 @@ A turn costs its words plus TEMPLATE tokens. Prefix sums of the costs lay a conv
 stretches of BUDGET - HISTORY - SYSTEM tokens: turns that lie inside one stretch make a window, and a turn that
 crosses a cut makes one of its own. So windows are aligned to turns and within the budget, unless one turn alone, or a
 system turn of over SYSTEM tokens, is longer: turns are never cut or dropped. A window begins with the conversation's
-system turn (the first turn, if its role is system) and the turns that lie within the HISTORY tokens before it, both
-repeated and masked; its own assistant turns are the targets. So every turn is new once and every assistant text a target once.
+system turn (the first turn, if its role is system) and the turns that lie within the HISTORY tokens before it, masked
+where they are repeated; its own assistant turns are the targets. So every turn is new once and every assistant text a target once.
 
 The prefix sums are taken over blocks of TURNS turn numbers first, then inside the blocks, and windows find their history by
 (conversation, place on the line), so a long conversation is dealt over many tasks. Null roles and texts are empty, a null conv_id
@@ -94,7 +94,10 @@ def chat_windows(
     leads = turns.where("leading")
     alone = leads.join(windows.select(F.col("conv_id").alias("c")).distinct(), same, "left_anti")
     alone = alone.select("conv_id", F.col("nr").alias("window"), F.lit(2).alias("part"), body.alias("t"))
-    heads = leads.join(one.select("c", "window"), same).select("conv_id", "window", F.lit(0).alias("part"), body.alias("t"))
+    opening = windows.groupBy("conv_id").agg(F.min("window").alias("opening"))  # there the system turn is new
+    leads = leads.join(opening.withColumnRenamed("conv_id", "c"), same).drop("c")
+    part = F.when(F.col("window") == F.col("opening"), 2).otherwise(0).alias("part")
+    heads = leads.join(one.select("c", "window"), same).select("conv_id", "window", part, body.alias("t"))
     parts = fresh.unionByName(again).unionByName(heads).unionByName(alone)
     made = parts.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(F.struct("part", "t"))).alias("p"))  # bounded by the budget
     made = made.withColumn("ends", F.expr("aggregate(p, array(0), (x, y) -> array_append(x, element_at(x, -1) + char_length(y.t.piece)))"))

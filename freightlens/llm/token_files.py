@@ -171,14 +171,16 @@ class Shard:
         return self.loaded[1]
 
     def ids(self, start: int, n: int) -> np.ndarray:
-        """Ids [start, start + n) of the shard; only the symbols that cover them are expanded."""
-        out, end = [], start + n
+        """Ids [start, start + n) of the shard, as far as it goes; only the symbols that cover them are expanded."""
+        out, end = [], min(start + n, int(self.starts[-1]))
+        if end <= start:
+            return np.empty(0, np.uint32)
         for b in range(int(np.searchsorted(self.starts, start, "right")) - 1, int(np.searchsorted(self.starts, end))):
             rules, symbols, ends = self._block(b)
             lo, hi = max(start - self.starts[b], 0), min(end - self.starts[b], ends[-1])
             a, z = int(np.searchsorted(ends, lo, "right")) - 1, int(np.searchsorted(ends, hi))
             out.append(expand(symbols[a:z], rules, self.first)[lo - ends[a] : hi - ends[a]])
-        return np.concatenate(out) if out else np.empty(0, np.uint32)
+        return np.concatenate(out)
 
 
 def first_symbol_of(vocabulary: str) -> int:

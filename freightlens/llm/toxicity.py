@@ -41,7 +41,7 @@ LOOK_ALIKE = {
 SEPARATORS = " .-_*~'"
 SUBSTITUTED, SEPARATED, REPEATED, TRIPLED, KEPT = -1.0, -0.7, -2.5, -0.5, -7.0  # log weights of the channel
 EDGES = ".,;:!?\"'()[]{}<>#$%&*|+-_=/\\~`"
-SUSPICIOUS = re.compile(r"[^\W\d_][0-9@$!|+(€£.\-_*~']+[^\W\d_]|^[0-9@$!|(€£][^\W\d_]{2}|[^\W\d_]{2}[0-9@$]+$|([^\W\d_])\1\1")
+SUSPICIOUS = re.compile(r"[^\W\d_][0-9@$!|+(€£ .\-_*~']+[^\W\d_]|^[0-9@$!|(€£][^\W\d_]{2}|[^\W\d_]{2}[0-9@$]+$|([^\W\d_])\1\1")
 SPACED = re.compile(r"(?<!\S)\w(?:[ ._*\-]\w){3,}(?![^\s.,;:!?])")
 
 _SYMBOL = np.zeros(256, np.int64)
@@ -134,7 +134,7 @@ class Restorer:
 
     def text(self, text: str) -> str:
         """The whole text, lower case, every token restored."""
-        return " ".join(self.word(t) for t in self.tokens(text))
+        return " ".join(w for t in self.tokens(text) if (w := self.word(t)))
 
     @staticmethod
     def tokens(text: str) -> list[str]:

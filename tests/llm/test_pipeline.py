@@ -1,0 +1,39 @@
+"""The pipeline's stages and its whole run against versions that look at every document."""
+
+import corpus_pipeline
+from freightlens.llm.common import steps, table
+from freightlens.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages_filter_and_mix(spark):
+    ws = steps(spark)
+    docs = table(spark, FOLDER, "documents")
+    columns = docs.columns
+    before = {r.doc_id for r in docs.collect()}
+    toxic = {r.doc_id for r in QUERIES["op5_noisy_channel_toxicity"](spark, FOLDER).where("predicted = 1").collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    clean = ws.write(stages["toxicity"](spark, docs, FOLDER), "a")
+    assert {r.doc_id for r in clean.collect()} == before - toxic and clean.columns == columns
+    single = ws.write(stages["near_duplicates"](spark, clean, FOLDER), "b")
+    classes = {r.doc_id: r.class_id for r in QUERIES["op2_dart_minhash"](spark, FOLDER).collect()}
+    assert {classes[r.doc_id] for r in single.collect()} == {classes[r.doc_id] for r in clean.collect()}
+    assert single.count() == len({classes[r.doc_id] for r in clean.collect()}) and single.columns == columns
+    fair = ws.write(stages["decontamination"](spark, single, FOLDER), "c")
+    assert fair.count() <= single.count() and fair.columns == columns
+    mixed = ws.write(stages["mixing"](spark, fair, FOLDER), "d")
+    assert mixed.columns == columns and mixed.groupBy("doc_id").count().where("count > 2").isEmpty()
+    assert corpus_pipeline.run(spark, FOLDER).count() == mixed.count()
+
+
+def test_stages_take_odd_rows(spark):
+    rows = [(None, None, None, None), (1, "", None, "s"), (1, "", None, "s"), (2, "a b", "en", None), (2, "a b c", "en", None), (None, "a b", "en", "s")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, source string, size string")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = steps(spark).write(stage(spark, docs, FOLDER), name)
+    assert docs.count() > 0
+    empty = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        empty = steps(spark).write(stage(spark, empty, FOLDER), name)
+    assert empty.count() == 0
