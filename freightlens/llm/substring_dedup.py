@@ -7,7 +7,7 @@ the length is compared if both of its halves survived. This goes on until LENGTH
 
 A word of a document is removed if a window of LENGTH words covers it whose words also start in a document with a smaller
 doc_id; windows are judged on the input. Level 1 compares 64-bit hashes (a chance match only costs a comparison), later
-levels 128-bit ones. Null and empty texts have no words. Rows that repeat a doc_id are one document for the
+levels and whole texts 128-bit ones. Of equal texts only the document of smallest id is compared, as the others go whole. Null and empty texts have no words. Rows that repeat a doc_id are one document for the
 comparison; each of them is cut and returned. Only doc_id and text are read.
 """
 
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,21 +57,23 @@ def _two(hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def first_level(docs: DataFrame, start: int = START) -> DataFrame:
-    """Per row its words, the digest of all of them, and the distinct hashes of its kept windows."""
+    """Per row its words, the digest and a 128-bit hash of all of them, and the distinct hashes of its kept windows."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, kept = [], [], []
+            sizes, digests, kept, whole = [], [], [], []
             texts = batch.column(1).to_pylist()
             for text, hashes in zip(texts, hashed_words(texts)):
                 windows = window_hashes(hashes, start)
                 sizes.append(len(hashes))
                 digests.append(_digest(words_of(text)))
+                whole.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                 kept.append(signed(np.unique(windows[kept_windows(windows, start + 1)])))
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests), pa.array(kept, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "digest", "a"])
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(whole, pa.binary())]
+            columns.append(pa.array(kept, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "digest", "whole", "a"])
 
-    return in_batches(docs, work, "doc_id long, n_words long, digest string, a array<long>")
+    return in_batches(docs, work, "doc_id long, n_words long, digest string, whole binary, a array<long>")
 
 
 def next_level(survived: DataFrame, length: int, first: bool) -> DataFrame:
@@ -141,8 +144,16 @@ def remove_repeats(ws: Workspace, docs: DataFrame, length: int = LENGTH, start:
     """(doc_id, n_words, n_removed, kept_sha256) per row of docs. `length` is `start` doubled once or more."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     level = ws.write(first_level(docs, start), ws.fresh("level"))
-    whole = level.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("digest").alias("kept_sha256"))
-    windows, texts, at = level.select("doc_id", F.explode("a").alias("a")), docs, start
+    # of equal texts only the document of smallest id takes part: every window of the others also starts there
+    originals = level.where(f"n_words >= {length}").groupBy("whole").agg(F.min(F.struct("doc_id", "a")).alias("o")).select("whole", "o.*")
+    firsts = originals.select(F.col("whole").alias("text"), F.col("doc_id").alias("first"))
+    known = level.select("doc_id", "n_words", "digest", "whole").join(firsts, F.col("whole") == F.col("text"), "left")
+    copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
+    whole = known.select(
+        "doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(0).alias("n_removed"),
+        F.when(copy, F.lit(_digest([]))).otherwise(F.col("digest")).alias("kept_sha256"),
+    )
+    windows, texts, at = originals.select("doc_id", F.explode("a").alias("a")), docs, start
     while at < length:
         survived = texts.join(_alive(windows, ["a"] if at == start else ["a", "b"], False), "doc_id")
         level = ws.write(next_level(survived, at, at == start), ws.fresh("level"))
