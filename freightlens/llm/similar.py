@@ -10,54 +10,69 @@ from pyspark.sql import functions as F
 from freightlens.llm.components import components
 from freightlens.session import Workspace
 
-STARS = 3
+STARS = 4
 
 
-def _order(seed: int, *more: str):
-    return F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), "node", *more)
+def by_elements(threshold: float) -> Callable[[DataFrame], DataFrame]:
+    """Keeps the pairs (a, b, ea, eb) whose arrays of distinct elements have a Jaccard similarity of `threshold` or more."""
+    common = F.size(F.array_intersect("ea", "eb"))
+    return lambda pairs: pairs.where(common >= threshold * (F.size("ea") + F.size("eb") - common))
+
+
+def _leader(turn: int, *more: str):
+    """The order that picks a band's leader: most shared at first, then by a hash, another one in every band."""
+    by = F.col("rank") if turn == 0 else F.xxhash64("node", "band", F.lit(turn))
+    return F.min(F.struct(by.alias("by"), "node", *more)).alias("lead")
 
 
 def similar_components(
-    ws: Workspace, banded: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, stars: int = STARS
+    ws: Workspace,
+    banded: DataFrame,
+    content_of: Callable[[DataFrame], DataFrame],
+    threshold: float,
+    similar: Callable[[DataFrame], DataFrame] | None = None,
+    stars: int = STARS,
 ) -> DataFrame | None:
     """(node, component) of nodes linked by a Jaccard similarity of `threshold` or more; None if nothing is linked.
 
-    `banded` (band, node, n) has a row per band key of a node with n elements, repeats allowed; `sets_of` turns a
-    table of nodes into (node, e), e an array of n distinct elements. Each member of a band is compared with one leader of the
-    band, the same one in all bands where it can be. A leader has then met its whole band and leaves it; bands whose other
-    members are still in several components get another leader, and after `stars` rounds all pairs of them that
-    are in different components are compared. Sizes that rule the similarity out are not compared.
+    `banded` (band, node, n) has a row per band key of a node with n elements, repeats allowed; `content_of` turns a
+    table of nodes into (node, e), whose e `similar` compares: arrays of distinct elements, unless it is given. Each member of a band is compared with one leader of the
+    band: the member whose bands have most members in sum, as the original of many edited copies has. A leader has then met
+    its whole band and leaves it; bands whose other
+    members are still in several components get another leader. After `stars` rounds the pairs of members still in different
+    components are all compared. Sizes that rule the similarity out are not compared.
     """
-    shared = banded.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("band")
-    members = banded.join(shared, "band").select("band", "node", "n").distinct()
-    members = ws.write(members.withColumn("component", F.col("node")), ws.fresh("members"))
+    shared = banded.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("rows")).where("x < y")
+    members = ws.write(banded.join(shared, "band").groupBy("band", "node").agg(F.max("n").alias("n"), F.max("rows").alias("rows")), ws.fresh("members"))
+    central = members.groupBy("node").agg((-F.sum("rows")).alias("rank"))
+    members = ws.write(members.drop("rows").join(central, "node").withColumn("component", F.col("node")), ws.fresh("members"))
     if members.isEmpty():
         return None
-    sets = ws.write(sets_of(members.select("node").distinct()), ws.fresh("sets"))
+    content = ws.write(content_of(members.select("node").distinct()), ws.fresh("content"))
     linked: DataFrame | None = None
     for turn in range(stars + 1):
         if turn < stars:
-            leaders = members.groupBy("band").agg(F.min(_order(turn, "n", "component")).alias("lead"))
+            leaders = members.groupBy("band").agg(_leader(turn, "n", "component"))
             pairs = members.join(leaders, "band").where("component <> lead.component").select(
                 F.col("node").alias("a"), F.col("lead.node").alias("b"), "n", F.col("lead.n").alias("m")
             )
         else:
             other = members.select("band", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
             pairs = members.withColumnRenamed("node", "a").join(other, "band").where("a < b and component <> theirs")
-        pairs = ws.write(pairs.where(F.least("n", "m") >= threshold * F.greatest("n", "m")).select("a", "b").distinct(), ws.fresh("pairs"))
-        one, two = (sets.select(F.col("node").alias(x), F.col("e").alias(f"e{x}")) for x in "ab")
-        common = F.size(F.array_intersect("ea", "eb"))
-        similar = pairs.join(one, "a").join(two, "b").where(common >= threshold * (F.size("ea") + F.size("eb") - common))
-        found = ws.write(similar.select("a", "b"), ws.fresh("links"))
+        pairs = pairs.where(F.least("n", "m") >= threshold * F.greatest("n", "m"))
+        pairs = ws.write(pairs.select("a", "b").distinct(), ws.fresh("pairs"))
+        one, two = (content.select(F.col("node").alias(x), F.col("e").alias(f"e{x}")) for x in "ab")
+        alike = (similar or by_elements(threshold))(pairs.join(one, "a").join(two, "b"))
+        found = ws.write(alike.select("a", "b"), ws.fresh("links"))
         linked = found if linked is None else linked.unionByName(found)
         if turn == stars:
             break
         joined = components(ws, linked)
         labelled = members.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        leaders = labelled.groupBy("band").agg(F.min(_order(turn)).alias("lead"))
+        leaders = labelled.groupBy("band").agg(_leader(turn))
         rest = labelled.join(leaders, "band").where("node <> lead.node").drop("lead")
         several = rest.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band")
-        members = ws.write(rest.join(several, "band").select("band", "node", "n", "component"), ws.fresh("members"))
+        members = ws.write(rest.join(several, "band").select("band", "node", "n", "rank", "component"), ws.fresh("members"))
         if members.isEmpty():
             return joined
     return components(ws, linked)
