@@ -29,7 +29,9 @@ def as_text(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    """Text comes back as it was: blanks are kept, an empty text is written in quotes and NULL without."""
+    writer = df.write.mode("errorifexists").option("header", True).option("escape", '"').option("emptyValue", '""').option("nullValue", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 

@@ -15,12 +15,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores is dealt out over all of them; a larger one is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """One typed row per order item under the cleaned column names.
 
@@ -35,7 +29,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     joined = (
-        spread(table("lineitem"))
+        table("lineitem")
         .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
     )

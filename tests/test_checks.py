@@ -155,3 +155,13 @@ def test_fact_status(warehouse):
     assert star_checks.empty_before_load(fact).first().fact_table_status == "REVIEW EXISTING FACT DATA"
     assert star_checks.reconcile(warehouse.batch, fact.where("order_item_id > 100")).first().reconciliation_status == "FAIL"
     star_checks.require_resolved(warehouse)
+
+
+def test_full_report_skips_absent_columns(warehouse):
+    from freightlens.plans.validation import full_report
+
+    whole = {r.check_name for r in full_report(warehouse.ready, 1).collect()}
+    rows = full_report(warehouse.ready.drop("order_date", "sales", "latitude", "market"), 1).collect()
+    names = {r.check_name for r in rows}
+    assert names < whole
+    assert next(r for r in rows if r.check_name == "Required columns are available").status == "FAIL"

@@ -101,3 +101,14 @@ def test_views_answer_sql(spark, warehouse):
     ).first()
     assert row.total_sales == row.s and row.n == warehouse.expected
     assert spark.sql("select count(*) from vw_tableau_order_item_detail").first()[0] == warehouse.expected
+
+
+def test_csv_text_comes_back_unchanged(spark, tmp_path):
+    from freightlens.sources.sinks import write_csv
+
+    rows = [(1, "  a "), (2, " "), (3, ""), (4, None), (5, 'q"x,\ny')]
+    path = write_csv(spark.createDataFrame(rows, "id int, t string"), str(tmp_path / "out"))
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    assert {int(r.id): r.t for r in reader.csv(path).collect()} == {**dict(rows), 3: None}
+    lines = {r.value for r in spark.read.text(path).collect()}
+    assert '3,""' in lines and "4," in lines  # a reader that tells quotes from none can tell empty from NULL
