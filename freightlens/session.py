@@ -62,3 +62,8 @@ class Workspace:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def drop(self, name: str) -> None:
+        """Remove a table that nothing reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
