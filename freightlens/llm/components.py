@@ -15,7 +15,8 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     forest of stars is left after O(log nodes) rounds. A node of very many edges costs one pre-aggregated minimum and
     a join that Spark can split. Each round is written to the shared folder. No edges: no rows.
     """
-    current = ws.write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), ws.fresh("edges"))
+    name = ws.fresh("edges")
+    current = ws.write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     before = _fingerprint(current)
     while before[0]:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -23,7 +24,9 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
         larger = both.join(smallest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         smallest = larger.groupBy("a").agg(F.min("b").alias("m"))
         to_least = larger.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = ws.write(to_least.unionByName(smallest.withColumnRenamed("m", "b")).where("a <> b").distinct(), ws.fresh("edges"))
+        old, name = name, ws.fresh("edges")
+        current = ws.write(to_least.unionByName(smallest.withColumnRenamed("m", "b")).where("a <> b").distinct(), name)
+        ws.drop(old)
         after = _fingerprint(current)
         if after == before:
             break

@@ -8,9 +8,9 @@ coordinate by its hash, and the earliest of a coordinate is its signature entry.
 probability equal to their weighted Jaccard similarity.
 
 Entries are banded. Texts that share a band are compared with one leader of that band, exactly, on their whole weighted
-shingle sets; bands whose members are not in one component after that get other leaders, and in the end the pairs
-that are still in different components are compared. So no band emits all its pairs, and no verified link is missed. Components
-of links of similarity THRESHOLD or more are the classes.
+shingle sets; bands whose members are not in one component after that get other leaders, and in the end the members
+left are joined on the rarest of their elements, at one of which two similar sets must meet. So no band emits all its pairs,
+and no link of a band is missed. Components of links of similarity THRESHOLD or more are the classes.
 
 Texts of equal word sequences are one text from the start. A text without words (null, empty) is a near duplicate of nothing:
 its class is its own doc_id. Rows of one doc_id count as one document whose texts are linked. Only doc_id and

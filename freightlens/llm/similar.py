@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.llm.components import components
 from freightlens.session import Workspace
 
 STARS = 4
+ROUNDING = 1e-6
 
 
 def by_elements(threshold: float) -> Callable[[DataFrame], DataFrame]:
@@ -25,6 +26,30 @@ def _leader(turn: int, *more: str):
     return F.min(F.struct(by.alias("by"), "node", *more)).alias("lead")
 
 
+def _rare_pairs(ws: Workspace, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): every pair of `nodes` (node, component) of different components that can reach the similarity, and few others.
+
+    The elements of each set are put in one order, the rarest first. With n elements, of which the first one that two sets share is
+    followed by left - 1 others, at most `left` are common; so a pair meets at one of the rare elements in front, where both have
+    enough left, or is not similar. An element's most frequent component is only set against the others. Elements of one
+    component, and those of one set alone, are not joined.
+    """
+    each = nodes.join(sets, "node").select("node", "component", F.size("e").alias("n"), F.explode("e").alias("element"))
+    spread = each.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1")
+    by_rarity = Window.partitionBy("node").orderBy(F.desc("sets"), F.desc("element"))  # the commonest has one left, itself
+    counted = each.join(spread, "element").withColumn("left", F.row_number().over(by_rarity))
+    early = counted.where(F.col("left") >= threshold * F.col("n") - ROUNDING).select("element", "node", "component", "n", "left")
+    early = ws.write(early, ws.fresh("early"))
+    held = early.groupBy("element", "component").agg(F.count("*").alias("rows")).groupBy("element")
+    several = held.agg(F.max(F.struct("rows", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    placed = early.join(several.drop("parts"), "element")
+    one = placed.where("component <> main").select("element", F.col("node").alias("a"), "component", "n", "left")
+    two = placed.select("element", F.col("node").alias("b"), F.col("component").alias("theirs"), F.col("n").alias("m"), F.col("left").alias("right"), "main")
+    enough = F.least("left", "right") * (1 + threshold) >= (F.col("n") + F.col("m")) * threshold - ROUNDING
+    once = F.expr("component <> theirs and (theirs = main or a < b)")
+    return one.join(two, "element").where(once & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def similar_components(
     ws: Workspace,
     banded: DataFrame,
@@ -32,20 +57,24 @@ def similar_components(
     threshold: float,
     similar: Callable[[DataFrame], DataFrame] | None = None,
     stars: int = STARS,
+    sets_of: Callable[[DataFrame], DataFrame] = lambda content: content,
 ) -> DataFrame | None:
     """(node, component) of nodes linked by a Jaccard similarity of `threshold` or more; None if nothing is linked.
 
     `banded` (band, node, n) has a row per band key of a node with n elements, repeats allowed; `content_of` turns a
-    table of nodes into (node, e), whose e `similar` compares: arrays of distinct elements, unless it is given. Each member of a band is compared with one leader of the
-    band: the member whose bands have most members in sum, as the original of many edited copies has. A leader has then met
-    its whole band and leaves it; bands whose other
-    members are still in several components get another leader. After `stars` rounds the pairs of members still in different
-    components are all compared. Sizes that rule the similarity out are not compared.
+    table of nodes into (node, e), whose e `similar` compares: arrays of distinct elements, unless it is given; then `sets_of` turns
+    (node, e) into such arrays. Each member of a band is compared with one leader of the band: the member whose bands have most
+    members in sum, as the original of many edited copies has. A leader has then met its whole band and leaves it; bands whose other
+    members are still in several components get another leader. After `stars` rounds the members left are compared with those
+    of other components that they share one of their rarest elements with, which leaves out no similar pair. Sizes that rule the
+    similarity out are not compared.
     """
     shared = banded.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("rows")).where("x < y")
-    members = ws.write(banded.join(shared, "band").groupBy("band", "node").agg(F.max("n").alias("n"), F.max("rows").alias("rows")), ws.fresh("members"))
+    counted, named = ws.fresh("members"), ws.fresh("members")
+    members = ws.write(banded.join(shared, "band").groupBy("band", "node").agg(F.max("n").alias("n"), F.max("rows").alias("rows")), counted)
     central = members.groupBy("node").agg((-F.sum("rows")).alias("rank"))
-    members = ws.write(members.drop("rows").join(central, "node").withColumn("component", F.col("node")), ws.fresh("members"))
+    members = ws.write(members.drop("rows").join(central, "node").withColumn("component", F.col("node")), named)
+    ws.drop(counted)
     if members.isEmpty():
         return None
     content = ws.write(content_of(members.select("node").distinct()), ws.fresh("content"))
@@ -56,10 +85,10 @@ def similar_components(
             pairs = members.join(leaders, "band").where("component <> lead.component").select(
                 F.col("node").alias("a"), F.col("lead.node").alias("b"), "n", F.col("lead.n").alias("m")
             )
+            pairs = pairs.where(F.least("n", "m") >= threshold * F.greatest("n", "m") - ROUNDING)
         else:
-            other = members.select("band", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
-            pairs = members.withColumnRenamed("node", "a").join(other, "band").where("a < b and component <> theirs")
-        pairs = pairs.where(F.least("n", "m") >= threshold * F.greatest("n", "m"))
+            left = members.select("node", "component").distinct()
+            pairs = _rare_pairs(ws, left, sets_of(content.join(left.select("node"), "node", "left_semi")), threshold)
         pairs = ws.write(pairs.select("a", "b").distinct(), ws.fresh("pairs"))
         one, two = (content.select(F.col("node").alias(x), F.col("e").alias(f"e{x}")) for x in "ab")
         alike = (similar or by_elements(threshold))(pairs.join(one, "a").join(two, "b"))
@@ -72,7 +101,9 @@ def similar_components(
         leaders = labelled.groupBy("band").agg(_leader(turn))
         rest = labelled.join(leaders, "band").where("node <> lead.node").drop("lead")
         several = rest.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band")
-        members = ws.write(rest.join(several, "band").select("band", "node", "n", "rank", "component"), ws.fresh("members"))
+        old, named = named, ws.fresh("members")
+        members = ws.write(rest.join(several, "band").select("band", "node", "n", "rank", "component"), named)
+        ws.drop(old)
         if members.isEmpty():
             return joined
     return components(ws, linked)

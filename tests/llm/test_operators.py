@@ -129,6 +129,24 @@ def test_every_pair_is_compared_in_the_end(spark):
     assert {r.component for r in found.collect()} == {0} and found.count() == 12
 
 
+def test_rare_elements_find_every_link(spark):
+    """Sets of several sizes made of few elements, many of them at a similarity of exactly 4 / 5."""
+    draw = random.Random(17)
+    sets = {}
+    for i in range(160):
+        held = set(range(i % 4 * 50, i % 4 * 50 + 9))
+        held ^= {draw.randrange(i % 4 * 50, i % 4 * 50 + 12) for _ in range(draw.randrange(4))}
+        sets[i] = sorted(held)
+    rows = spark.createDataFrame([(n, n % 3, e) for n, e in sets.items()], "node long, component long, e array<long>")
+    found = similar._rare_pairs(steps(spark), rows.select("node", "component"), rows.select("node", "e"), 0.8)
+    got = {(r.a, r.b) for r in found.collect()}
+    links = {
+        (a, b) for a in sets for b in sets
+        if a < b and a % 3 != b % 3 and 5 * len(set(sets[a]) & set(sets[b])) >= 4 * len(set(sets[a]) | set(sets[b]))
+    }
+    assert links and links <= got and all(a % 3 != b % 3 for a, b in got)
+
+
 def brute_cut(docs, length=50):
     first = {}
     for i, t in docs:
