@@ -221,6 +221,17 @@ def test_decontamination_finds_every_verbatim_item(spark):
     assert sum(map(bool, got.values())) <= len(expected) + 3
 
 
+def test_decontamination_finds_verbatim_items_of_a_large_benchmark(spark, documents):
+    """More items than a space has dimensions, in one reading of the documents and in several."""
+    items = [" ".join(prose(40, 2000 + n)) for n in range(1100)]
+    texts = [" ".join(prose(30, 5000 + n) + [t] + prose(30, 7000 + n)) for n, t in enumerate(items)]
+    texts += [" ".join(prose(100, 9000 + n)) for n in range(50)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").repartition(4)
+    for at_once in (1000, 2000):
+        got = {r.doc_id: r.item_ids for r in latent_decontamination.contaminated(steps(spark), documents(texts), bench, at_once).collect()}
+        assert len(got) == len(texts) and all(got[n] == ([n] if n < len(items) else []) for n in got)
+
+
 @pytest.fixture(scope="module")
 def restorer(spark):
     docs = spark.createDataFrame([(i, "you are an idiot and a stupid moron, this is plain trash for all of us to see and hate") for i in range(40)], "doc_id long, text string")
