@@ -232,6 +232,19 @@ def test_decontamination_finds_verbatim_items_of_a_large_benchmark(spark, docume
         assert len(got) == len(texts) and all(got[n] == ([n] if n < len(items) else []) for n in got)
 
 
+def test_decontamination_judges_every_row(spark, documents):
+    """Rows of one doc_id, or of none, have a verdict each, however many items there are."""
+    items = [" ".join(prose(40, 60 + n)) for n in range(12)]
+    clean = [" ".join(prose(100, 300 + n)) for n in range(40)]
+    texts = [items[0], clean[0], clean[1], items[1], items[1], None, *clean[2:]]
+    ids = [7, 7, None, None, None, None, *range(100, 100 + len(clean) - 2)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for at_once in (1000, 5):
+        got = latent_decontamination.contaminated(steps(spark), documents(texts, ids), bench, at_once).collect()
+        assert len(got) == len(texts) and Counter((r.doc_id, *r.item_ids) for r in got if r.contaminated) == {(7, 0): 1, (None, 1): 2}
+        assert all(r.share == 0 for r in got if not r.contaminated)
+
+
 @pytest.fixture(scope="module")
 def restorer(spark):
     docs = spark.createDataFrame([(i, "you are an idiot and a stupid moron, this is plain trash for all of us to see and hate") for i in range(40)], "doc_id long, text string")
