@@ -245,6 +245,27 @@ def test_decontamination_judges_every_row(spark, documents):
         assert all(r.share == 0 for r in got if not r.contaminated)
 
 
+def test_decontamination_where_copies_are_common(spark, documents):
+    """A passage in 40 % of the rows, whole, cut and edited; words of every document stay stop words."""
+    items = [" ".join(prose(40, 60 + n)) for n in range(5)]
+    common = "the of and to in a is that it for".split()
+
+    def text(n, inside):
+        own = prose(80, 400 + n)
+        for k, w in enumerate(common):
+            own.insert((n * 7 + k * 11) % len(own), w)
+        return " ".join(own[:45] + inside + own[45:])
+
+    def copy(n):
+        w = words(items[2])
+        return [w, w[8:], [x for k, x in enumerate(w) if k % 6 != n % 6], [f"new{n}{k}" if k % 5 == n % 5 else x for k, x in enumerate(w)]][n % 4]
+
+    texts = [text(n, copy(n) if n < 40 else []) for n in range(100)]
+    bench = spark.createDataFrame([*enumerate(items), (5, "that it is")], "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in latent_decontamination.contaminated(steps(spark), documents(texts), bench).collect()}
+    assert [got[n] for n in range(100)] == [[2]] * 40 + [[]] * 60
+
+
 @pytest.fixture(scope="module")
 def restorer(spark):
     docs = spark.createDataFrame([(i, "you are an idiot and a stupid moron, this is plain trash for all of us to see and hate") for i in range(40)], "doc_id long, text string")
