@@ -266,6 +266,30 @@ def test_decontamination_where_copies_are_common(spark, documents):
     assert [got[n] for n in range(100)] == [[2]] * 40 + [[]] * 60
 
 
+def test_decontamination_of_long_items(spark, documents):
+    """Items of several passages, copied whole, cut to 75 % and edited; one longer than a space has dimensions times passages."""
+    items = [" ".join(prose(n, 60 + n)) for n in (200, 400, 1000, 50)]
+    cut = [words(i)[: len(words(i)) * 3 // 4] for i in items]
+    edited = [[f"new{n}" if n % 5 == 2 else w for n, w in enumerate(words(i))] for i in items]
+    pieces = [p for i, c, e in zip(items, cut, edited) for p in (words(i), c, e)]
+    texts = [" ".join(prose(70, 700 + n) + p + prose(40, 800 + n)) for n, p in enumerate(pieces)]
+    texts += [" ".join(words(items[2])[:400])] + [" ".join(prose(300, 900 + n)) for n in range(150)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for rank in (256, 5):
+        got = latent_decontamination.contaminated(steps(spark), documents(texts), bench, rank=rank).collect()
+        assert {r.doc_id: r.item_ids for r in got if r.contaminated} == {n: [n // 3] for n in range(12)}
+
+
+def test_decontamination_of_short_items_among_rarer_words(spark, documents):
+    """Five words of a hundredth of the rows each, copied whole among words that occur once."""
+    item = "quick brown foxes jump high"
+    texts = [" ".join([f"a{n}x{k}" for k in range(40)] + [words(item)[n % 5]] * (n % 20 < 5)) for n in range(2000)]
+    texts += [" ".join([f"b{n}" for n in range(43)] + [item] + [f"c{n}" for n in range(43)])]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = latent_decontamination.contaminated(steps(spark), documents(texts), bench).where("contaminated").collect()
+    assert [(r.doc_id, r.item_ids) for r in got] == [(2000, [1])]
+
+
 @pytest.fixture(scope="module")
 def restorer(spark):
     docs = spark.createDataFrame([(i, "you are an idiot and a stupid moron, this is plain trash for all of us to see and hate") for i in range(40)], "doc_id long, text string")
