@@ -3,8 +3,10 @@
 A text is split into words [^\\x20\\x09-\\x0D]+ and every word is encoded with a SentencePiece vocabulary that falls
 back to bytes. Three measures follow: characters per token, share of byte-fallback tokens, and the entropy of the
 text's token distribution over the highest entropy that as many tokens could have. A language (or, where lang is null, the
-script most letters are in) gets a band per measure from the quartiles of all its texts that pass the base rules:
-[q1 - REACH * spread, q3 + REACH * spread], spread = the larger of q3 - q1 and LEAST of the median. The quartiles come from
+script most letters are in) gets a band per measure and length class (floor of log2 of the tokens, as all three vary with
+length) from the quartiles of its texts there that pass the base rules; a class of fewer than ENOUGH such texts takes the band of all lengths.
+A band is [q1 - REACH * spread, q3 + REACH * spread], Tukey's fences, which leave 0.35 % of a normal distribution outside on
+either side; spread = q3 - q1, but at least FLAT of the median, or LEAST_BYTES for byte-fallback shares. The quartiles come from
 exact histograms, so they cover all texts and do not depend on the partitioning.
 
 Null and empty texts have no words and fail the base rules. Rows are judged one by one: repeated rows and repeated
@@ -27,8 +29,11 @@ from freightlens.session import Workspace
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
-REACH = 4.0
-LEAST = 0.05
+REACH = 1.5
+FLAT = 0.01
+LEAST_BYTES = 0.025
+ENOUGH = 30
+ANY_LENGTH = -1
 BINS = 1024  # of a unit of a measure
 MEASURES = ("chars_per_token", "byte_share", "entropy_ratio")
 SCHEMA = (
@@ -138,33 +143,44 @@ def measure(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return in_batches(docs.select(F.col("doc_id").cast("long"), "text", "lang"), work, SCHEMA)
 
 
+def length_class() -> F.Column:
+    return F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
+
+
 def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:
-    """(band_key, <measure>_low, <measure>_high): fences around the quartiles of each key's texts."""
+    """(band_key, length, <measure>_low, <measure>_high): fences around the quartiles of each key's texts, by length class and at any length."""
     cells = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.round(F.col(m) * BINS).cast("long").alias("bin")) for m in MEASURES]))
-    counts = measured.select("band_key", cells.alias("c")).groupBy("band_key", "c.m", "c.bin").agg(F.count("*").alias("n"))
-    own = Window.partitionBy("band_key", "m")  # distinct bins only
+    counts = measured.select("band_key", length_class().alias("length"), cells.alias("c")).groupBy("band_key", "length", "c.m", "c.bin").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("length", F.explode(F.array("length", F.lit(ANY_LENGTH)))).groupBy("band_key", "length", "m", "bin").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy("band_key", "length", "m")  # distinct bins only
     placed = counts.withColumn("upto", F.sum("n").over(own.orderBy("bin"))).withColumn("total", F.sum("n").over(own))
+    placed = placed.where((F.col("total") >= ENOUGH) | (F.col("length") == ANY_LENGTH))
     at = [F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("bin"))).alias(f"q{i}") for i, q in enumerate((0.25, 0.5, 0.75))]
-    quartiles = placed.groupBy("band_key", "m").agg(*at)
-    spread = F.greatest(F.col("q2") - F.col("q0"), F.col("q1") * LEAST, F.lit(BINS * LEAST / 5))
+    quartiles = placed.groupBy("band_key", "length", "m").agg(*at)
+    least = F.when(F.col("m") == "byte_share", F.lit(BINS * LEAST_BYTES)).otherwise(F.col("q1") * FLAT)
+    spread = F.greatest(F.col("q2") - F.col("q0"), least, F.lit(1.0))
     fences = quartiles.select(
-        "band_key", "m", ((F.col("q0") - reach * spread) / BINS).alias("low"), ((F.col("q2") + reach * spread) / BINS).alias("high")
+        "band_key", "length", "m", ((F.col("q0") - reach * spread) / BINS).alias("low"), ((F.col("q2") + reach * spread) / BINS).alias("high")
     )
     picked = [F.max(F.when(F.col("m") == m, F.col(e))).alias(f"{m}_{e}") for m in MEASURES for e in ("low", "high")]
-    return fences.groupBy("band_key").agg(*picked)
+    return fences.groupBy("band_key", "length").agg(*picked)
 
 
 def judge(ws: Workspace, docs: DataFrame, vocabulary: str = VOCABULARY, reach: float = REACH) -> DataFrame:
     """One row per row of docs with measures, bands' verdict and `kept`."""
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = ws.write(measure(docs, vocabulary).withColumn("base_failed", base_failed), ws.fresh("measured"))
-    fences = bands(measured.where("not base_failed"), reach)
+    fences = ws.write(bands(measured.where("not base_failed"), reach), ws.fresh("bands"))
+    edges = [f"{m}_{e}" for m in MEASURES for e in ("low", "high")]
+    closer = fences.where(F.col("length") != ANY_LENGTH).select("band_key", "length", F.struct(*edges).alias("closer"))
+    wide = fences.where(F.col("length") == ANY_LENGTH).select("band_key", F.struct(*edges).alias("wide"))
     inside = F.lit(True)
     for m in MEASURES:  # more entropy and fewer fallbacks than usual are no fault
-        inside &= F.lit(m == "byte_share") | (F.col(m) >= F.col(f"{m}_low"))
-        inside &= F.lit(m == "entropy_ratio") | (F.col(m) <= F.col(f"{m}_high"))
-    judged = measured.join(fences, "band_key", "left")
-    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
+        inside &= F.lit(m == "byte_share") | (F.col(m) >= F.col(f"band.{m}_low"))
+        inside &= F.lit(m == "entropy_ratio") | (F.col(m) <= F.col(f"band.{m}_high"))
+    judged = measured.withColumn("length", length_class()).join(closer, ["band_key", "length"], "left").join(wide, "band_key", "left")
+    judged = judged.withColumn("band", F.coalesce("closer", "wide"))
+    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("closer", "wide", "band")
 
 
 def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:

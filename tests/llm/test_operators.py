@@ -58,6 +58,31 @@ def test_fertility(spark, documents):
     assert got[7].band_key != got[5].band_key and got[0].n_tokens == 0
 
 
+def test_fertility_bands_reject_junk(spark):
+    """Documents of quality 0 that pass the base rules go, those of quality 1 stay; the bands alone tell them apart."""
+    folder = "/root/testdata/sf0.1"
+    quality = {r[0]: r[1] for r in rows(folder, "labels")}
+    got = [r for r in QUERIES["op1_tokeniser_fertility"](spark, folder).collect() if not r.base_failed and quality.get(r.doc_id) is not None]
+    junk, clean = ([r.kept for r in got if quality[r.doc_id] == q] for q in (0, 1))
+    assert len(junk) > 200 and sum(junk) < 0.2 * len(junk)
+    assert len(clean) > 2000 and sum(clean) > 0.97 * len(clean)
+
+
+def test_fertility_rejects_symbols_and_tables(spark, documents):
+    def plain(seed):
+        r = random.Random(seed)
+        many = "river house children under mountain weather because between market evening letter garden winter nothing window several".split()
+        return [r.choice(many) + r.choice(["", "s", *many]) for _ in range(200)]
+
+    clean = [" ".join(plain(1000 + n)) for n in range(60)]
+    symbols = [" ".join(w + "%*#&"[n % 4] * 3 for n, w in enumerate(plain(2000 + k))) for k in range(4)]
+    tables = [" ".join(f"{w} |" if n % 3 else w for n, w in enumerate(plain(3000 + k))) for k in range(4)]
+    texts = clean + symbols + tables
+    got = {r.doc_id: r for r in fertility.judge(steps(spark), documents(texts, lang=["en"] * len(texts))).collect()}
+    assert not any(got[n].base_failed for n in got)
+    assert sum(got[n].kept for n in range(60)) >= 57 and not any(got[n].kept for n in range(60, 68))
+
+
 def test_fertility_encoder_is_per_word():
     encoder = fertility.Encoder(fertility.VOCABULARY)
     sample = ["Haanth.", "日本", "x\u2581y", "a\u00a0b", "##", "\U0001f600"]
