@@ -204,6 +204,19 @@ def test_substring_dedup(spark, documents):
     assert substring_dedup.remove_repeats(steps(spark), documents([])).count() == 0
 
 
+def test_substring_dedup_of_odd_rows(spark, documents):
+    """Rows without doc_id come last and are no original; of a doc_id's rows one can be a copy and another hold repeats."""
+    last = 10**6
+    one, two, three, four = (prose(n, s) for n, s in ((70, 21), (80, 22), (60, 23), (90, 24)))
+    docs = [(None, one), (5, one), (6, one), (9, prose(20, 25) + one + prose(9, 26)), (None, prose(15, 27) + one[5:])]
+    docs += [(None, two), (None, two), (None, prose(7, 28) + two), (30, three), (31, four), (40, three), (40, prose(5, 29) + four[20:] + three[:30])]
+    docs += [(40, prose(60, 30)), (None, three[:49]), (None, []), (7, prose(30, 31) + four)]
+    texts = [" ".join(w) for _, w in docs]
+    expected = brute_cut([(last if i is None else i, t) for (i, _), t in zip(docs, texts)])
+    got = substring_dedup.remove_repeats(steps(spark), documents(texts, ids=[i for i, _ in docs])).collect()
+    assert sorted((last if r[0] is None else r[0], *r[1:]) for r in got) == expected
+
+
 def test_substring_dedup_on_the_tables(spark):
     docs = [(r[0], r[1]) for r in rows(FOLDER, "documents")]
     assert sorted(tuple(r) for r in QUERIES["op3_substring_dedup"](spark, FOLDER).collect()) == brute_cut(docs)
