@@ -2,8 +2,10 @@
 
 A character language model (4-grams over 32 symbols, counted over all documents) and a channel that writes letters as look-alikes,
 puts separators between them or repeats them give every suspicious token a lattice of readings; a Viterbi search finds the
-likeliest. Tokens without look-alikes, separators or threefold letters have one reading, themselves. The restored
-words and their beginnings are the features of a logistic regression.
+likeliest. Every token of any length that holds a letter and a look-alike, separator or threefold letter is suspicious; at its
+edges a look-alike may also be punctuation, and between letters written one by one a space may also end a word. Tokens without look-alikes, separators
+or threefold letters have one reading, themselves. The restored words and their beginnings are the features of a logistic
+regression.
 
 The classifier is fitted on at most SAMPLE labelled documents whose crc32(doc_id) mod 3 is not 1, those of smallest hash;
 features are chosen on that sample, too. Labels, lang, source and doc_id are no features. Null and empty texts get the score of a
@@ -40,8 +42,11 @@ LOOK_ALIKE = {
 }
 SEPARATORS = " .-_*~'"
 SUBSTITUTED, SEPARATED, REPEATED, TRIPLED, KEPT = -1.0, -0.7, -2.5, -0.5, -7.0  # log weights of the channel
+BOUNDARY = -2.0  # a space that ends a word
 EDGES = ".,;:!?\"'()[]{}<>#$%&*|+-_=/\\~`"
-SUSPICIOUS = re.compile(r"[^\W\d_][0-9@$!|+(€£ .\-_*~']+[^\W\d_]|^[0-9@$!|(€£][^\W\d_]{2}|[^\W\d_]{2}[0-9@$]+$|([^\W\d_])\1\1")
+NOT_OPENING, NOT_CLOSING = "!|+$", "$"  # look-alikes that are seldom punctuation before and after a word
+SUSPICIOUS = re.compile(r"[013-9@$!|+(€£]|[^\W\d_][ .\-_*~']+[^\W\d_]|([^\W\d_])\1\1")
+LETTER = re.compile(r"[^\W\d_]")
 SPACED = re.compile(r"(?<!\S)\w(?:[ ._*\-]\w){3,}(?![^\s.,;:!?])")
 
 _SYMBOL = np.zeros(256, np.int64)
@@ -100,37 +105,45 @@ class Restorer:
         return gain, state
 
     def viterbi(self, token: str) -> str:
-        paths = {((0, 0, 0), ""): (0.0, "")}  # context and last letter -> best score, reading
+        opens, closes = len(token) - len(token.lstrip(EDGES)), len(token.rstrip(EDGES))
+        paths: dict = {((0, 0, 0), ""): (0.0, None)}  # context and last letter -> best score, letters read as (those before, letter)
+        at = 0
         for c, run in groupby(token):
             for i in range(sum(1 for _ in run)):
+                edge = None
+                if not opens <= at < closes:
+                    edge = KEPT if c in (NOT_OPENING if at < opens else NOT_CLOSING) else 0.0
+                at += 1
                 nxt: dict = {}
-                for (state, last), (score, text) in paths.items():
+                for (state, last), (score, read) in paths.items():
                     options = [(letter, SUBSTITUTED) for letter in LOOK_ALIKE.get(c, "")]
                     if c.isalpha():
                         options.append((c, 0.0))
                         if c == last:
                             options.append(("", TRIPLED if i >= 2 else REPEATED))
                     else:
-                        options.append((c, KEPT))
-                        if c in SEPARATORS:
+                        options.append((c, BOUNDARY if c == " " else KEPT))
+                        if edge is not None:
+                            options.append(("", edge))
+                        elif c in SEPARATORS:
                             options.append(("", SEPARATED))
                     for letter, weight in options:
                         gain, after = self._emit(state, letter) if letter else (0.0, state)
                         key = (after, letter or last)
                         if (value := score + weight + gain) > nxt.get(key, (-1e30,))[0]:
-                            nxt[key] = (value, text + letter)
-                paths = dict(sorted(nxt.items(), key=lambda p: (-p[1][0], p[1][1]))[:BEAM])
-        return max(paths.items(), key=lambda p: (p[1][0] + self._emit(p[0][0], " ")[0], p[1][1]))[1][1]
+                            nxt[key] = (value, (read, letter) if letter else read)
+                paths = dict(sorted(nxt.items(), key=lambda p: -p[1][0])[:BEAM])
+        read, letters = max(paths.items(), key=lambda p: p[1][0] + self._emit(p[0][0], " ")[0])[1][1], []
+        while read:
+            read, letter = read
+            letters.append(letter)
+        return "".join(reversed(letters))
 
     def word(self, token: str) -> str:
-        """A lower-case token without edge punctuation, restored if it looks tampered with."""
-        core = token.strip(EDGES)
-        whole = token.lstrip("\"'([{<").rstrip(".,;:?\"')]}>")
-        if len(core) < 40 and SUSPICIOUS.search(core):
-            return self.viterbi(core)
-        if core and len(whole) < 40 and whole != core and SUSPICIOUS.search(whole) and whole[0] in LOOK_ALIKE:
-            return self.viterbi(whole)
-        return core
+        """A lower-case token without edge punctuation, restored if it looks tampered with; words are parted by spaces."""
+        if LETTER.search(token) and SUSPICIOUS.search(token):
+            return self.viterbi(token).strip(EDGES)
+        return token.strip(EDGES)
 
     def text(self, text: str) -> str:
         """The whole text, lower case, every token restored."""
@@ -148,10 +161,10 @@ class Restorer:
         return out + low[at:].split() if at else low.split()
 
 
-def word_features(word: str) -> list[int]:
-    """Hash buckets of a restored word and its beginnings."""
-    names = [f"{word}$"] + [word[:n] for n in PREFIXES if len(word) >= n]
-    return [xxhash.xxh3_64_intdigest(n) >> (64 - FEATURE_BITS) for n in names] if word else []
+def word_features(restored: str) -> list[int]:
+    """Hash buckets of restored words and their beginnings."""
+    names = [name for word in restored.split() for name in (f"{word}$", *(word[:n] for n in PREFIXES if len(word) >= n))]
+    return [xxhash.xxh3_64_intdigest(n) >> (64 - FEATURE_BITS) for n in names]
 
 
 def _counted(text: str | None, features: Remembered) -> Counter:

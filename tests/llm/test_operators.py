@@ -339,6 +339,23 @@ def test_restored(restorer, written):
     assert restorer.text(f"you {written}, see") == "you idiot see"
 
 
+@pytest.fixture(scope="module")
+def insults(spark):
+    text = "you are an asshole and a worthless idiot, a stupid ass and a fool, you are a worthless stupid tool, said to me. hello (you), so cool! I am"
+    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string")
+    return toxicity.Restorer(toxicity.language_model(toxicity.gram_counts(docs)))
+
+
+@pytest.mark.parametrize(
+    "written, meant",
+    [("@$$hole", "asshole"), ("4$$hole", "asshole"), ("57upid", "stupid"), ("70ol", "tool"), ("a$$", "ass"), ("worthle$$", "worthless"),
+     ("worthle$$!", "worthless"), ('"a$$",', "ass"), ("stu" + "p" * 40 + "id", "stupid"), ("1d10t" * 10, "idiot" * 10),
+     ("y o u a r e a w o r t h l e s s i d i o t", "you are a worthless idiot"), ("hello!", "hello"), ("(you),", "you"), ("1,000", "1,000")],
+)
+def test_restored_wherever_letters_are_hidden(insults, written, meant):
+    assert insults.text(f"{written}") == meant
+
+
 def test_plain_text_is_left_alone(restorer):
     assert restorer.text("Plain (text), this is a week-day?") .startswith("plain text this is a")
     assert restorer.text("") == "" and restorer.tokens("a b") == ["a", "b"]
