@@ -35,7 +35,6 @@ FEATURES = 4096
 PREFIXES = range(3, 8)
 THRESHOLD = 0.7
 ORDER = 4
-BEAM = 24
 LOOK_ALIKE = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "li", "+": "t", "(": "c", "€": "e", "£": "l",
@@ -114,6 +113,7 @@ class Restorer:
                 if not opens <= at < closes:
                     edge = KEPT if c in (NOT_OPENING if at < opens else NOT_CLOSING) else 0.0
                 at += 1
+                follows = token[at : at + 1]
                 nxt: dict = {}
                 for (state, last), (score, read) in paths.items():
                     options = [(letter, SUBSTITUTED) for letter in LOOK_ALIKE.get(c, "")]
@@ -129,10 +129,11 @@ class Restorer:
                             options.append(("", SEPARATED))
                     for letter, weight in options:
                         gain, after = self._emit(state, letter) if letter else (0.0, state)
-                        key = (after, letter or last)
+                        now = letter or last
+                        key = (after, "" if follows.isalpha() and follows != now else now)  # the last letter matters to its repetition only
                         if (value := score + weight + gain) > nxt.get(key, (-1e30,))[0]:
                             nxt[key] = (value, (read, letter) if letter else read)
-                paths = dict(sorted(nxt.items(), key=lambda p: -p[1][0])[:BEAM])
+                paths = nxt
         read, letters = max(paths.items(), key=lambda p: p[1][0] + self._emit(p[0][0], " ")[0])[1][1], []
         while read:
             read, letter = read

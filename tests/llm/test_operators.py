@@ -356,6 +356,39 @@ def test_restored_wherever_letters_are_hidden(insults, written, meant):
     assert insults.text(f"{written}") == meant
 
 
+def test_reading_is_the_likeliest():
+    """Against every reading of tokens with many states, under a language model in which what comes late decides."""
+    restorer = toxicity.Restorer((np.random.default_rng(3).standard_normal((32,) * 4) * 4).astype(np.float32))
+
+    def readings(token):
+        found = {("", ""): (0.0, (0, 0, 0))}  # text, last letter
+        for at, c in enumerate(token):
+            run = len(token[:at]) - len(token[:at].rstrip(c))
+            nxt: dict = {}
+            for (text, last), (score, state) in found.items():
+                options = [(letter, toxicity.SUBSTITUTED) for letter in toxicity.LOOK_ALIKE.get(c, "")]
+                if c.isalpha():
+                    options += [(c, 0.0)] + ([("", toxicity.TRIPLED if run >= 2 else toxicity.REPEATED)] if c == last else [])
+                else:
+                    options += [(c, toxicity.KEPT)] + ([("", toxicity.SEPARATED)] if c in toxicity.SEPARATORS else [])
+                for letter, weight in options:
+                    gain, after = restorer._emit(state, letter) if letter else (0.0, state)
+                    key = (text + letter, letter or last)
+                    if score + weight + gain > nxt.get(key, (-1e30,))[0]:
+                        nxt[key] = (score + weight + gain, after)
+            found = nxt
+        best: dict = defaultdict(lambda: -1e30)
+        for (text, _), (score, state) in found.items():
+            best[text] = max(best[text], score + restorer._emit(state, " ")[0])
+        return best
+
+    draw = random.Random(5)
+    for _ in range(60):
+        token = "x" + "".join(draw.choice("!|10$.-i") for _ in range(7)) + "t"
+        scores = readings(token)
+        assert abs(scores[restorer.viterbi(token)] - max(scores.values())) < 1e-6, token
+
+
 def test_plain_text_is_left_alone(restorer):
     assert restorer.text("Plain (text), this is a week-day?") .startswith("plain text this is a")
     assert restorer.text("") == "" and restorer.tokens("a b") == ["a", "b"]
