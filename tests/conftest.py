@@ -7,10 +7,10 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
+sys.path.insert(0, str(ROOT / "tests"))
 
 from freightlens.session import Workspace, get_session  # noqa: E402
-
-FOLDER = "/root/testdata/sf0.001"
+from small_tables import FOLDER  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -2,7 +2,7 @@
 
 import pytest
 from check import connect, difference
-from conftest import FOLDER
+from small_tables import FOLDER
 
 import __spark_entry__ as entry
 from freightlens import registry
