@@ -12,6 +12,7 @@ from freightlens.llm.latent_decontamination import op4_latent_decontamination
 from freightlens.llm.mixing import OP10_SQL, op10_systematic_mixing
 from freightlens.llm.slice_codes import OP12_SQL, op12_slice_codes
 from freightlens.llm.substring_dedup import op3_substring_dedup
+from freightlens.llm.text_blocks import op13_text_blocks
 from freightlens.llm.token_files import op9_repair_token_files
 from freightlens.llm.toxicity import op5_noisy_channel_toxicity
 from freightlens.llm.warc import op6_splittable_warc
@@ -21,7 +22,7 @@ QUERIES = {
     for q in (
         op1_tokeniser_fertility, op2_dart_minhash, op3_substring_dedup, op4_latent_decontamination, op5_noisy_channel_toxicity,
         op6_splittable_warc, op7_chat_windows, op8_fuzzy_lines, op9_repair_token_files, op10_systematic_mixing,
-        op11_bit_plane_clusters, op12_slice_codes,
+        op11_bit_plane_clusters, op12_slice_codes, op13_text_blocks,
     )
 }
 STATEMENTS = {"op10_systematic_mixing": OP10_SQL, "op11_bit_plane_clusters": OP11_SQL, "op12_slice_codes": OP12_SQL}
