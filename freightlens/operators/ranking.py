@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from freightlens.session import Workspace
 
+# The kinds of columns that have percentiles.
+PERCENTILE_KINDS = ("byte", "short", "integer", "long", "decimal", "float", "double")
+
 # Largest input that may be ordered by one task.
 SINGLE_TASK_ROWS = 1_000_000
 # Histogram width per refinement pass: two passes settle a range of 2**36 values.
@@ -96,7 +102,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, Ranks]) -> tuple[dict[tupl
 
     Every pass counts rows into at most BUCKETS buckets per open bracket, combined in the scanning
     tasks, and keeps the buckets that contain a rank. So neither rows nor distinct values are ever
-    brought together, and one row per rank returns to the driver.
+    brought together, and one row per rank returns to the driver. Buckets begin at multiples of their width, so that no
+    difference of two values is taken, which might not fit a long.
     """
     columns = list(wanted)
     ends = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
@@ -108,16 +115,16 @@ def order_statistics(df: DataFrame, wanted: dict[str, Ranks]) -> tuple[dict[tupl
         open_now = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in brackets.items() if lo < hi})
         if not open_now:
             return {key: (lo, inside) for key, (lo, _, inside) in brackets.items()}, sizes
-        steps = [-(-(hi - lo + 1) // BUCKETS) for _, lo, hi in open_now]
+        steps = [1 << ((hi - lo) // BUCKETS).bit_length() for _, lo, hi in open_now]  # powers of two, whose multiples reach the least long
         hits = [
             F.when(
                 F.col(c).between(lo, hi),
-                F.struct(F.lit(i).alias("b"), F.expr(f"(`{c}` - {lo}L) div {step}L").alias("k")),
+                F.struct(F.lit(i).alias("b"), F.expr(f"(`{c}` - pmod(`{c}`, {step}L)) div {step}L").alias("k")),
             )
             for i, ((c, lo, hi), step) in enumerate(zip(open_now, steps))
         ]
         counts = df.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.b", "h.k").agg(F.count("*").alias("n"))
-        up_to = F.sum("n").over(Window.partitionBy("b").orderBy("k"))  # at most BUCKETS rows per bracket
+        up_to = F.sum("n").over(Window.partitionBy("b").orderBy("k"))  # at most BUCKETS + 1 rows per bracket
         ranks = [sorted(v[2] for (c, _), v in brackets.items() if (c, *v[:2]) == b) for b in open_now]
         asked = F.element_at(F.array(*[F.array(*[F.lit(r).cast("long") for r in rs]) for rs in ranks]), F.col("b") + 1)
         found = (
@@ -132,17 +139,37 @@ def order_statistics(df: DataFrame, wanted: dict[str, Ranks]) -> tuple[dict[tupl
             if lo < hi:
                 b = open_now.index((key[0], lo, hi))
                 bucket, inside = at[(b, inside)]
-                brackets[key] = (lo + bucket * steps[b], min(hi, lo + (bucket + 1) * steps[b] - 1), inside)
+                brackets[key] = (max(lo, bucket * steps[b]), min(hi, (bucket + 1) * steps[b] - 1), inside)
+
+
+def _ordered_bits(value: Column) -> Column:
+    """Doubles as longs of the same order: the bits of a positive number, those of a negative one counted down from zero. NaN becomes NULL."""
+
+    def ordered(values: pd.Series) -> pd.Series:
+        numbers = values.to_numpy(np.float64, na_value=np.nan)
+        bits = np.abs(numbers).view(np.int64)
+        return pd.Series(np.where(numbers < 0, -bits, bits)).astype("Int64").mask(np.isnan(numbers))
 
+    return F.pandas_udf(ordered, LongType())(value)  # a function of its own, so that executors need not have this module
 
-def quantiles(df: DataFrame, columns: dict[str, int], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
-    """Exact linearly interpolated quantiles. `columns` gives each column's number of decimals."""
+
+def _from_ordered_bits(bits: int) -> float:
+    value = float(np.int64(abs(bits)).view(np.float64))
+    return -value if bits < 0 else value
+
+
+def quantiles(df: DataFrame, columns: dict[str, int | None], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact linearly interpolated quantiles. `columns` gives each column's number of decimals, None for floats and doubles."""
 
     def neighbours(n: int) -> list[int]:
         places = [(n - 1) * p for p in probabilities]
         return sorted({rank for x in places for rank in (int(x) + 1, min(int(x) + 2, n))})
 
-    scaled = df.select(*[(F.col(f"`{c}`") * F.lit(10**s)).cast("long").alias(f"q{i}") for i, (c, s) in enumerate(columns.items())])
+    def whole(column: str, scale: int | None) -> Column:
+        cell = F.col(f"`{column}`")
+        return _ordered_bits(cell.cast("double")) if scale is None else (cell * F.lit(10**scale)).cast("long")
+
+    scaled = df.select(*[whole(c, s).alias(f"q{i}") for i, (c, s) in enumerate(columns.items())])
     found, sizes = order_statistics(scaled, {c: neighbours for c in scaled.columns})
     result: dict[str, list[float | None]] = {}
     for c, (name, scale) in zip(scaled.columns, columns.items()):
@@ -152,8 +179,8 @@ def quantiles(df: DataFrame, columns: dict[str, int], probabilities: Sequence[fl
                 values.append(None)
                 continue
             x = (n - 1) * p
-            low = found[(c, int(x) + 1)][0] / 10**scale
-            high = found[(c, min(int(x) + 2, n))][0] / 10**scale
-            values.append(low + (high - low) * (x - int(x)))
+            ends = [found[(c, rank)][0] for rank in (int(x) + 1, min(int(x) + 2, n))]
+            low, high = [_from_ordered_bits(v) if scale is None else v / 10**scale for v in ends]
+            values.append(low if low == high else low + (high - low) * (x - int(x)))
         result[name] = values
     return result

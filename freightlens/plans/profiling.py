@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from freightlens.functions.dates import parse_datetime
 from freightlens.functions.numbers import percent, ratio, rounded
 from freightlens.operators.cleaning import clean_name, metric_rows, typed
-from freightlens.operators.ranking import quantiles
+from freightlens.operators.ranking import PERCENTILE_KINDS, quantiles
 from freightlens.operators.rules import Rule, column_values, exact_copies, null_cells, repeated_key_rows, rule_report
 from freightlens.schemas import CLEAN_FIELDS
 
@@ -44,15 +44,15 @@ def type_numbers(raw: DataFrame) -> DataFrame:
     )
 
 
-def numeric_columns(df: DataFrame) -> dict[str, int]:
-    """Numeric columns with their number of decimals."""
-    scales = {}
+def numeric_columns(df: DataFrame) -> dict[str, int | None]:
+    """Numeric columns with their number of decimals; None for floats and doubles, which have no fixed one."""
+    scales: dict[str, int | None] = {}
     for field in df.schema.fields:
         kind = field.dataType.typeName()
-        if kind in ("integer", "long"):
-            scales[field.name] = 0
-        elif kind == "decimal":
-            scales[field.name] = field.dataType.scale
+        if kind in ("float", "double"):
+            scales[field.name] = None
+        elif kind in PERCENTILE_KINDS:
+            scales[field.name] = field.dataType.scale if kind == "decimal" else 0
     return scales
 
 
@@ -113,7 +113,11 @@ def key_report(df: DataFrame, keys: Sequence[str] = RAW_KEYS) -> DataFrame:
 
 
 def _measurements(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns]
+    """(column, v) per cell; NaN is a missing value."""
+    fractional = {c for c, t in df.dtypes if t in ("float", "double")}
+    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    value |= {c: F.when(~F.isnan(v), v) for c, v in value.items() if c in fractional}
+    cells = [F.struct(F.lit(c).alias("column"), v.alias("v")) for c, v in value.items()]
     return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 

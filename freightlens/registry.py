@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from freightlens.functions import dates, features
 from freightlens.operators import cleaning
 from freightlens.plans import (
-    dims, eda, feature_reports, profiling, quality, questions, staging, star_checks, validation, views,
+    dims, eda, feature_reports, profiling, quality, questions, sketches, staging, star_checks, validation, views,
 )
 from freightlens.plans.warehouse import Warehouse
 from freightlens.schemas import CLEAN_FIELDS, conform
@@ -119,6 +119,36 @@ QUERIES |= {
     "prof_business_rules": _profile(profiling.business_rules),
     "prof_quality_score": _profile(profiling.quality_score),
 }
+
+
+def _sketched_in_two_batches(w: Warehouse) -> DataFrame:
+    """Stored sketches of the quickly and the slowly shipped rows, merged."""
+    store = sketches.SketchStore(w.spark, w.workspace.path(w.workspace.fresh("sketches")))
+    quick = F.coalesce(F.col("Days for shipping (real)") <= 3, F.lit(False))
+    store.add("quick", w.raw.where(quick))
+    store.add("slow", w.raw.where(~quick))
+    return store.read()
+
+
+def _approximate_schema(w: Warehouse) -> DataFrame:
+    """The exact figures, and whether the estimated distinct values are within the stated bound of the exact ones."""
+    exact = profiling.schema_report(w.raw).select(F.col("column").alias("of"), "unique_count")
+    found = sketches.approximate_schema(_sketched_in_two_batches(w)).join(exact, F.col("column") == F.col("of"))
+    near = F.abs(F.col("unique_estimate") - F.col("unique_count")) <= F.col("unique_count") * sketches.DISTINCT_ERROR
+    return found.withColumn("within_bound", near).drop("of", "unique_count", "unique_estimate")
+
+
+def _approximate_numbers(w: Warehouse) -> DataFrame:
+    """The exact figures, and whether all estimated percentiles are within the stated bound of their ranks."""
+    found = sketches.approximate_numbers(_sketched_in_two_batches(w))
+    errors = sketches.rank_errors(w.raw, found).select(F.col("column").alias("of"), "rank_error")
+    kept = [c for c in found.columns if not c.startswith("p")]
+    near = F.coalesce(F.col("rank_error"), F.lit(0.0)) <= sketches.RANK_ERROR
+    return found.join(F.broadcast(errors), F.col("column") == F.col("of"), "left").select(*kept, near.alias("within_bound"))
+
+
+_add("prof_schema_approx", _approximate_schema)
+_add("prof_numeric_approx", _approximate_numbers)
 _add("clean_rules", lambda w: profiling.clean_rules(w.clean))
 _add("clean_score", lambda w: profiling.clean_score(cleaning.drop_empty_columns(w.clean)))
 

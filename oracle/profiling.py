@@ -168,3 +168,9 @@ PROFILING["prof_histogram"] = on_raw(f"""SELECT e."column", b AS bin, {r('lo + b
     LEFT JOIN (SELECT m."column", CAST(least(floor((v - lo) / ((hi - lo) / 40)), 39) AS BIGINT) AS k, COUNT(*) AS n
       FROM m JOIN (SELECT "column", MIN(v) AS lo, MAX(v) AS hi FROM m GROUP BY 1) x USING ("column") GROUP BY 1, 2) h
     ON h."column" = e."column" AND h.k = b""", "," + measure_rows(RAW_MEASURES))
+PROFILING["prof_schema_approx"] = on_raw(f"""SELECT "column", {TYPES} AS dtype, {big('SUM(CASE WHEN value IS NULL THEN 0 ELSE n END)')} AS non_null,
+      {NULLS} AS null_count, {r(pct(NULLS, 'SUM(n)'))} AS null_pct, MIN(value) AS sample_value, true AS within_bound
+      FROM cells GROUP BY 1""", "," + value_rows(RAW_HEADERS))
+PROFILING["prof_numeric_approx"] = on_raw(f"""SELECT "column", COUNT(v) AS count, {r('AVG(v)', 4)} AS mean, {r('stddev_samp(v)', 4)} AS std,
+      MIN(v) AS min, MAX(v) AS max, COUNT(*) - COUNT(v) AS missing, COUNT(*) FILTER (WHERE v = 0) AS zero_count,
+      COUNT(*) FILTER (WHERE v < 0) AS negative_count, true AS within_bound FROM m GROUP BY 1""", "," + measure_rows(NUMERIC))
