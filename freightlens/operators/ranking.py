@@ -181,6 +181,6 @@ def quantiles(df: DataFrame, columns: dict[str, int | None], probabilities: Sequ
             x = (n - 1) * p
             ends = [found[(c, rank)][0] for rank in (int(x) + 1, min(int(x) + 2, n))]
             low, high = [_from_ordered_bits(v) if scale is None else v / 10**scale for v in ends]
-            values.append(low if low == high else low + (high - low) * (x - int(x)))
+            values.append(low if low == high or x == int(x) else low + (high - low) * (x - int(x)))
         result[name] = values
     return result
