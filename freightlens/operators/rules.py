@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +28,35 @@ def repeated_key_rows(df: DataFrame, key: str) -> Column:
     return sizes.where("n > 1").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
 
 
+def fingerprints(df: DataFrame) -> list[Column]:
+    """128 bits of a row, equal for equal rows: two hashes over the values and over which cells are NULL, as hashes pass over NULL."""
+    gaps = [
+        reduce(lambda a, b: a + b, [F.when(F.col(f"`{c}`").isNull(), F.lit(1 << k)).otherwise(0).cast("long") for k, c in enumerate(df.columns[i : i + 32])])
+        for i in range(0, len(df.columns), 32)
+    ]
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    return [F.xxhash64(F.lit(seed), *gaps, *cells) for seed in (1, 2)]
+
+
+# Groups of copies that are sent to every task rather than have the rows come to them; two longs each.
+BROADCAST_GROUPS = 100_000
+
+
 def exact_copies(df: DataFrame) -> Column:
-    """Rows beyond the first of each set of identical rows."""
-    counts = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("n"))
+    """Rows beyond the first of each set of identical rows, found right away.
+
+    Only fingerprints are shuffled. In a table without copies that is all; otherwise the rows whose fingerprint occurs again are read a second
+    time and compared in all their columns, so that the count is exact.
+    """
+    first, second = fingerprints(df)
+    prints = df.select(first.alias("_f"), second.alias("_g"))
+    repeated = prints.groupBy("_f", "_g").agg(F.count("*").alias("n")).where("n > 1").select("_f", "_g")
+    groups = repeated.limit(BROADCAST_GROUPS + 1).count()
+    if groups == 0:
+        return F.lit(0).cast("bigint")
+    marked = df.withColumns({"_f": first, "_g": second})
+    marked = marked.join(F.broadcast(repeated) if groups <= BROADCAST_GROUPS else repeated, ["_f", "_g"], "left_semi")
+    counts = marked.groupBy("_f", "_g", *[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("n"))
     return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ CORRELATED = [
     "order_item_quantity", "days_for_shipping_real", "days_for_shipment_scheduled", "shipping_delay_days",
     "is_late_delivery",
 ]
+NO_SPREAD = 1e-12  # of a column's mean: a standard deviation below it is none
 OUTLIER_COLUMNS = [
     "sales", PROFIT, "order_item_discount", "profit_margin_pct", "days_for_shipping_real", "shipping_delay_days",
 ]
@@ -174,19 +177,46 @@ def sample(df: DataFrame, n: int = 20_000, seed: int = 42) -> DataFrame:
     return df.select("order_item_id", *SCATTER).dropna(subset=SCATTER).orderBy(drawn, "order_item_id").limit(n)
 
 
+def _pair_sums(df: DataFrame, columns: Sequence[str], shift: Sequence[float]) -> DataFrame:
+    """(a, b, n, x, xx, xy): per ordered pair of columns the rows that hold both and over them the sums of x, x * x and x * y, the
+    values taken less their column's shift. Every task keeps one set of sums and sends a row per pair."""
+    k, middle = len(columns), np.array(shift, np.float64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, x, xx, xy = (np.zeros((k, k)) for _ in range(4))
+        for batch in batches:
+            values = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns], np.float64).T - middle
+            there = ~np.isnan(values)
+            values, there = np.where(there, values, 0.0), there.astype(np.float64)
+            n, x, xx, xy = n + there.T @ there, x + values.T @ there, xx + (values * values).T @ there, xy + values.T @ values
+        a, b = np.divmod(np.arange(k * k, dtype=np.int64), k)
+        cells = [pa.array(v) for v in (a, b, *(m.ravel() for m in (n, x, xx, xy)))]
+        yield pa.RecordBatch.from_arrays(cells, names=["a", "b", "n", "x", "xx", "xy"])
+
+    return df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(work, "a long, b long, n double, x double, xx double, xy double")
+
+
 def correlations(df: DataFrame, columns: Sequence[str] = tuple(CORRELATED)) -> DataFrame:
-    """Pearson matrix as (column_a, column_b, correlation), all pairs in one pass.
+    """Pearson matrix as (column_a, column_b, correlation) over the rows that hold both columns; NULL where one of them does not vary.
 
-    Each row gives one (pair, x, y) per pair, which combine in the scanning tasks; one aggregate over all
-    pairs at once would be too large to compile.
+    A first aggregate finds the columns' means, from which the sums are taken so that large values with a small spread lose no digits.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    cells = [F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)]
-    found = df.select(F.explode(F.array(*cells)).alias("c")).groupBy("c.pair").agg(F.corr("c.x", "c.y").alias("r"))
-    r = rounded(F.when(~F.isnan("r"), F.col("r")), 6).alias("correlation")
-    cell = lambda a, b: F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"))
-    places = F.array(*[F.array(cell(a, b)) if a == b else F.array(cell(a, b), cell(b, a)) for a, b in pairs])
-    return found.select(F.explode(F.element_at(places, F.col("pair") + 1)).alias("p"), r).select("p.*", "correlation")
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).first()
+    sums = _pair_sums(df, columns, [means[c] or 0.0 for c in columns])
+    total = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "xy")])
+    other = total.select(F.col("a").alias("b"), F.col("b").alias("a"), F.col("x").alias("y"), F.col("xx").alias("yy"))
+    paired = total.join(other, ["a", "b"])
+    n = F.nullif("n", F.lit(0.0))
+    spread_x, spread_y = (F.col(f"{c}{c}") - F.col(c) * F.col(c) / n for c in "xy")
+    least = F.array(*[F.lit((abs(means[c] or 0.0) * NO_SPREAD) ** 2) for c in columns])  # what rounding leaves of a constant
+    varies = (spread_x > n * F.get(least, F.col("a").cast("int"))) & (spread_y > n * F.get(least, F.col("b").cast("int")))
+    r = (F.col("xy") - F.col("x") * F.col("y") / n) / F.nullif(F.sqrt(spread_x * spread_y), F.lit(0.0))
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    names = F.array(*[F.lit(c) for c in columns])
+    return paired.select(
+        F.get(names, F.col("a").cast("int")).alias("column_a"), F.get(names, F.col("b").cast("int")).alias("column_b"),
+        rounded(F.when(varies, r), 6).alias("correlation"),
+    )
 
 
 def geo_points(df: DataFrame, n: int = 5_000) -> DataFrame:

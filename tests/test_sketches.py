@@ -7,6 +7,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from freightlens.operators import ranking
 from freightlens.plans import profiling, sketches
 
@@ -91,3 +93,52 @@ def test_percentiles_of_extreme_values(spark):
     ranks = [i / 8 for i in range(9)]
     found = ranking.quantiles(df, {"x": None, "n": 0}, ranks)
     assert found["x"] == values and found["n"] == [float(v) for v in (-(2**63), -1, 0, 1, 2, 3, 4, 5, 2**63 - 1)]
+
+
+def test_correlations_of_gaps_and_constants(spark):
+    from freightlens.plans import eda
+
+    r = random.Random(5)
+    rows_ = []
+    for _ in range(4000):
+        x = r.gauss(1e9, 1e-1)
+        row = [x, x * 2 + r.gauss(0, 0.3), r.random(), 0.1, None, r.gauss(0, 1)]
+        rows_.append(tuple(None if i in (1, 2, 5) and r.random() < 0.2 else v for i, v in enumerate(row)))
+    names = list("abcdef")
+    df = spark.createDataFrame(rows_, ", ".join(f"{c} double" for c in names)).repartition(7)
+    frame = pd.DataFrame(rows_, columns=names).astype(float)
+    got = {(x.column_a, x.column_b): x.correlation for x in eda.correlations(df, names).collect()}
+    assert len(got) == 36
+    for (a, b), value in got.items():
+        if a in "de" or b in "de":
+            assert value is None
+        elif a == b:
+            assert float(value) == 1.0
+        else:
+            some = frame[[a, b]].dropna()
+            assert float(value) == pytest.approx(np.corrcoef(some[a] - some[a].mean(), some[b] - some[b].mean())[0, 1], abs=1e-5)
+    none = eda.correlations(df.where("a < 0"), names).collect()
+    assert len(none) == 36 and all(x.correlation is None for x in none)
+
+
+def test_exact_copies_by_fingerprint(spark):
+    from freightlens.operators import rules
+
+    rows_ = [(1, None, "a"), (1, "a", None), (1, None, "a"), (None, None, None), (None, None, None), (2, "x", "y"), (2, "x", "y"), (2, "x", "y"), (3, "", None), (3, None, "")]
+    df = spark.createDataFrame(rows_, "k int, v string, `w w` string")
+    count = lambda d: d.agg(F.count("*").alias("n")).select(rules.exact_copies(d).alias("c")).first().c
+    assert count(df) == 4 and count(df.where("k = 3")) == 0 and count(df.limit(0)) == 0
+    wide = spark.range(50).select(*[F.when(F.col("id") % 7 != i % 7, F.col("id") % 25).alias(f"c{i}") for i in range(70)])
+    assert count(wide) == 50 - wide.distinct().count()
+
+
+def test_copies_are_looked_for_by_fingerprints_alone(spark, warehouse, monkeypatch):
+    """Without copies the plan has no grouping of the rows; with more groups than are broadcast the count is the same."""
+    from freightlens.operators import rules
+
+    plan = lambda d: d.agg(F.count("*").alias("n")).withColumn("c", rules.exact_copies(d))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan(warehouse.clean) and "LeftSemi" not in plan(warehouse.clean)
+    twice = warehouse.clean.unionByName(warehouse.clean.limit(3))
+    assert "BroadcastHashJoin" in plan(twice)
+    monkeypatch.setattr(rules, "BROADCAST_GROUPS", 1)
+    assert twice.agg(F.count("*")).select(rules.exact_copies(twice).alias("c")).first().c == 3
