@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.dates import parse_datetime
 from freightlens.functions.numbers import percent, rounded
 from freightlens.functions.text import snake_case, squeezed, title_case
+from freightlens.operators.rules import exact_copies
 from freightlens.schemas import CLEAN_FIELDS, conform
+from freightlens.session import Workspace
 
 KEY = "order_item_id"
 
@@ -175,48 +177,59 @@ def critical_missing(df: DataFrame) -> DataFrame:
     ).select("r.*", rounded(percent(F.col("r.missing_count"), F.col("n")), 4).cast("double").alias("missing_pct"))
 
 
-def cleaning_counts(parsed: DataFrame, key: str = KEY) -> DataFrame:
-    """Rows left after each row-removing step, from two aggregates rather than a run of the steps."""
-    distinct = parsed.dropDuplicates().select(F.count("*").alias("n"))
-    return parsed.agg(
-        F.count("*").alias("raw_rows"),
-        (F.count_distinct(key) + F.max(F.col(key).isNull().cast("int"))).alias("one_row_per_key"),
-        F.count_distinct(key).alias("key_present"),
-    ).select("raw_rows", distinct.scalar().alias("exact_copies_removed"), "one_row_per_key", "key_present")
+def clean_and_count(ws: Workspace, items: DataFrame, name: str) -> tuple[DataFrame, dict[str, int]]:
+    """Write the cleaned items; rows read, rows without a key and rows kept are counted by the very job that writes them."""
+    before, after = Observation(f"{name} in"), Observation(f"{name} out")
+    key = F.col(KEY)
+    seen = items.observe(before, F.count("*").alias("read"), (F.count("*") - F.count(key)).alias("keyless"))
+    clean = ws.write(clean_items(seen).observe(after, F.count("*").alias("kept")), name)
+    return clean, {**before.get, **after.get}
 
 
-def audit_log(raw_columns: int, parsed: DataFrame) -> DataFrame:
-    """Rows and columns before and after every cleaning step, from the stored rows before deduplication."""
-    kept = len(parsed.columns)
+def audit_log(counted: dict[str, int], parsed: DataFrame, raw_columns: int) -> DataFrame:
+    """Rows and columns before and after every cleaning step, with a note.
+
+    `counted` comes from the cleaning that ran (clean_and_count); the job drops exact copies with the other rows of their key, so their
+    number alone is looked up, by fingerprints, in the stored rows before deduplication.
+    """
+    spark, kept = parsed.sparkSession, len(parsed.columns)
     empty = empty_columns(parsed)
+    full = kept - len(empty)
+    single = counted["kept"] + (counted["keyless"] > 0)  # rows without a key are one key until they go
+    counts = spark.range(1).select(
+        F.lit(counted["read"]).alias("read"), (F.lit(counted["read"]) - exact_copies(parsed)).alias("distinct"),
+        F.lit(single).alias("single"), F.lit(counted["kept"]).alias("keyed"),
+    )
+    copies = F.concat((F.col("read") - F.col("distinct")).cast("string"), F.lit(" exact copies"))
     steps = [
-        ("load_raw_data", "raw_rows", "raw_rows", raw_columns, raw_columns),
-        ("standardize_column_names", "raw_rows", "raw_rows", raw_columns, raw_columns),
-        ("drop_pii_and_unused_columns", "raw_rows", "raw_rows", raw_columns, kept),
-        ("normalize_text", "raw_rows", "raw_rows", kept, kept),
-        ("standardize_data_types", "raw_rows", "raw_rows", kept, kept),
-        ("remove_exact_duplicates", "raw_rows", "exact_copies_removed", kept, kept),
-        ("deduplicate_order_item_id", "exact_copies_removed", "one_row_per_key", kept, kept),
-        ("drop_all_missing_columns", "one_row_per_key", "one_row_per_key", kept, kept - len(empty)),
-        ("remove_missing_primary_key", "one_row_per_key", "key_present", kept - len(empty), kept - len(empty)),
-        ("handle_missing_values", "key_present", "key_present", kept - len(empty), kept - len(empty)),
-        ("standardize_categories", "key_present", "key_present", kept - len(empty), kept - len(empty)),
+        ("load_raw_data", "read", "read", raw_columns, raw_columns, "rows as read"),
+        ("standardize_column_names", "read", "read", raw_columns, raw_columns, "names in snake case"),
+        ("drop_pii_and_unused_columns", "read", "read", raw_columns, kept, f"without {', '.join(PERSONAL_OR_UNUSED)}"),
+        ("normalize_text", "read", "read", kept, kept, "white space collapsed, blanks set to NULL"),
+        ("standardize_data_types", "read", "read", kept, kept, "dates and numbers parsed"),
+        ("remove_exact_duplicates", "read", "distinct", kept, kept, copies),
+        ("deduplicate_order_item_id", "distinct", "single", kept, kept, "the fullest row of each key"),
+        ("drop_all_missing_columns", "single", "single", kept, full, f"without {', '.join(empty) or 'any'}"),
+        ("remove_missing_primary_key", "single", "keyed", full, full, f"{counted['keyless']} rows had no key"),
+        ("handle_missing_values", "keyed", "keyed", full, full, "Unknown filled into the text dimensions"),
+        ("standardize_categories", "keyed", "keyed", full, full, "one spelling per label"),
     ]
     entries = F.array(
         *[
             F.struct(
                 F.lit(i).alias("step_no"),
                 F.lit(step).alias("step"),
-                F.col(before).alias("rows_before"),
-                F.col(after).alias("rows_after"),
-                (F.col(before) - F.col(after)).alias("rows_removed"),
+                F.col(before).cast("bigint").alias("rows_before"),
+                F.col(after).cast("bigint").alias("rows_after"),
+                (F.col(before) - F.col(after)).cast("bigint").alias("rows_removed"),
                 F.lit(cols_before).alias("columns_before"),
                 F.lit(cols_after).alias("columns_after"),
+                (note if isinstance(note, Column) else F.lit(note)).alias("note"),
             )
-            for i, (step, before, after, cols_before, cols_after) in enumerate(steps, 1)
+            for i, (step, before, after, cols_before, cols_after, note) in enumerate(steps, 1)
         ]
     )
-    return cleaning_counts(parsed).select(F.explode(entries).alias("e")).select("e.*")
+    return counts.select(F.explode(entries).alias("e")).select("e.*")
 
 
 def reconciliation(raw: DataFrame, clean: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from freightlens.functions import features
 from freightlens.operators import cleaning
@@ -59,9 +60,18 @@ class Warehouse:
     def items(self) -> DataFrame:
         return cleaning.drop_empty_columns(self.parsed) if self._items is None else self._items
 
+    @cached_property
+    def _cleaned(self) -> tuple[DataFrame, dict[str, int]]:
+        return cleaning.clean_and_count(self.workspace, self.items, "clean")
+
     @cached_property
     def clean(self) -> DataFrame:
-        return self.workspace.write(cleaning.clean_items(self.items), "clean")
+        return self._cleaned[0]
+
+    @property
+    def cleaning_counts(self) -> dict[str, int]:
+        """Rows read, without a key and kept, as counted by the job that wrote `clean`."""
+        return self._cleaned[1]
 
     @cached_property
     def order_totals(self) -> DataFrame:
@@ -99,8 +109,10 @@ class Warehouse:
 
     @cached_property
     def expected(self) -> int:
-        """Rows the load should hold: the number given, or else the staged rows themselves."""
-        return self.expected_rows if self.expected_rows is not None else self.stored.count()
+        """Rows the load should hold: the number given, or else the distinct item ids of the source, counted apart from the load."""
+        if self.expected_rows is not None:
+            return self.expected_rows
+        return self.items.agg(F.count_distinct(cleaning.KEY)).first()[0]
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:

@@ -302,7 +302,7 @@ _add("clean_fill_unknown", _unknowns)
 _add("clean_labels", _labels)
 _add("clean_title_case", _places)
 _add("clean_round", _rounded)
-_add("clean_audit_log", lambda w: cleaning.audit_log(len(w.raw_text.columns), w.parsed))
+_add("clean_audit_log", lambda w: cleaning.audit_log(w.cleaning_counts, w.parsed, len(w.raw_text.columns)))
 _add("clean_reconciliation", lambda w: cleaning.reconciliation(w.raw_text, cleaning.drop_empty_columns(w.clean)))
 _add("clean_critical_missing", lambda w: cleaning.critical_missing(w.clean))
 

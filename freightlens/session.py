@@ -56,11 +56,8 @@ class Workspace:
     def fresh(self, stem: str) -> str:
         return f"{stem}-{uuid.uuid4().hex[:8]}"
 
-    def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(name))
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("errorifexists").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

@@ -26,6 +26,13 @@ KEPT = 53 - len(PERSONAL_OR_UNUSED)
 N = "(SELECT COUNT(*) FROM items)"
 EXACT = "(SELECT COUNT(*) FROM (SELECT DISTINCT * FROM items))"
 KEYS = "(SELECT COUNT(DISTINCT order_item_id) FROM items)"
+NOTES = [
+    "'rows as read'", "'names in snake case'",
+    "'without customer_email, customer_fname, customer_lname, customer_password, customer_street, product_description, product_image'",
+    "'white space collapsed, blanks set to NULL'", "'dates and numbers parsed'", f"({N} - {EXACT}) || ' exact copies'", "'the fullest row of each key'",
+    "'without " + ", ".join(c for c in CLEAN_NAMES.values() if c not in PERSONAL_OR_UNUSED and c not in ITEM_COLUMNS) + "'",
+    "(SELECT COUNT(*) - COUNT(order_item_id) FROM items) || ' rows had no key'", "'Unknown filled into the text dimensions'", "'one spelling per label'",
+]
 STEPS = [
     ("load_raw_data", N, N, 53, 53), ("standardize_column_names", N, N, 53, 53), ("drop_pii_and_unused_columns", N, N, 53, KEPT),
     ("normalize_text", N, N, KEPT, KEPT), ("standardize_data_types", N, N, KEPT, KEPT), ("remove_exact_duplicates", N, EXACT, KEPT, KEPT),
@@ -63,7 +70,7 @@ CLEANING = {
       {third('product_price')} AS product_price FROM items"""),
     "clean_audit_log": on_items(" UNION ALL ".join(
         f"""SELECT {i} AS step_no, '{s}' AS step, {a} AS rows_before, {b} AS rows_after, {a} - {b} AS rows_removed,
-        {c} AS columns_before, {d} AS columns_after""" for i, (s, a, b, c, d) in enumerate(STEPS, 1))),
+        {c} AS columns_before, {d} AS columns_after, {NOTES[i - 1]} AS note""" for i, (s, a, b, c, d) in enumerate(STEPS, 1))),
     "clean_reconciliation": on_items(f"""SELECT 'raw_rows' AS metric, CAST({N} AS DOUBLE) AS value UNION ALL SELECT 'clean_rows', {KEYS}
       UNION ALL SELECT 'rows_removed', {N} - {KEYS} UNION ALL SELECT 'retention_rate_pct', {r(pct(KEYS, N), 4)}
       UNION ALL SELECT 'raw_columns', 53 UNION ALL SELECT 'clean_columns', {len(ITEM_COLUMNS)}"""),

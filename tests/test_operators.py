@@ -124,12 +124,22 @@ def test_keep_fullest_row_reduces_before_the_shuffle(spark):
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")  # printed root first: a limit below the exchange
 
 
-def test_cleaning_counts_and_assertions(spark):
+def test_audit_log_holds_the_counts_of_the_load(spark, ws):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")]
+    df = spark.createDataFrame([(*r, None) for r in rows], "order_item_id long, product_name string, order_region string")
+    clean, counted = cleaning.clean_and_count(ws, df, ws.fresh("clean"))
+    assert clean.count() == 2 and counted == {"read": 6, "keyless": 2, "kept": 2}
+    log = {r.step: r for r in cleaning.audit_log(counted, df, 10).collect()}
+    assert [r.rows_after for r in sorted(log.values(), key=lambda r: r.step_no)] == [6, 6, 6, 6, 6, 5, 3, 3, 2, 2, 2]
+    assert log["remove_exact_duplicates"].note == "1 exact copies" and log["remove_missing_primary_key"].note == "2 rows had no key"
+    assert (log["drop_all_missing_columns"].columns_after, log["drop_all_missing_columns"].note) == (2, "without order_region")
+
+
+def test_cleaning_assertions(spark):
     from freightlens.plans import profiling
 
     rows = [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")]
     df = spark.createDataFrame(rows, "order_item_id long, p string")
-    assert tuple(cleaning.cleaning_counts(df).first()) == (6, 5, 3, 2)
     for bad in (df.where("false"), df, df.where("order_item_id is not null")):
         with pytest.raises(ValueError):
             profiling.require_clean(bad)
