@@ -12,7 +12,7 @@ from freightlens.functions.numbers import percent, rounded
 from freightlens.functions.text import snake_case, squeezed, title_case
 from freightlens.operators.rules import exact_copies
 from freightlens.schemas import CLEAN_FIELDS, conform
-from freightlens.session import Workspace
+from freightlens.session import Workspace, observed
 
 KEY = "order_item_id"
 
@@ -183,7 +183,7 @@ def clean_and_count(ws: Workspace, items: DataFrame, name: str) -> tuple[DataFra
     key = F.col(KEY)
     seen = items.observe(before, F.count("*").alias("read"), (F.count("*") - F.count(key)).alias("keyless"))
     clean = ws.write(clean_items(seen).observe(after, F.count("*").alias("kept")), name)
-    return clean, {**before.get, **after.get}
+    return clean, {**observed(before, read=0, keyless=0), **observed(after, kept=0)}
 
 
 def audit_log(counted: dict[str, int], parsed: DataFrame, raw_columns: int) -> DataFrame:

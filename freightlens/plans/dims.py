@@ -232,12 +232,17 @@ def upsert(ws: Workspace, dim: Dimension, current: DataFrame, members: DataFrame
     return kept.unionByName(added.select(*kept.columns))
 
 
-def load_dimension(ws: Workspace, name: str, staging: DataFrame, at: datetime, current: DataFrame | None = None) -> DataFrame:
-    """Load one dimension into a new folder of the workspace; `current` is the previous version, if any."""
+def next_version(ws: Workspace, name: str, staging: DataFrame, at: datetime, current: DataFrame | None = None) -> DataFrame:
+    """One dimension with the staged members; `current` is the previous version, if any. Members are found once and stored."""
     dim = DIMENSIONS[name]
     if current is None:
         current = unknown_member(ws, dim, at)
-    return ws.write(upsert(ws, dim, current, MEMBERS[name](staging), at), ws.fresh(name))
+    return upsert(ws, dim, current, ws.write(MEMBERS[name](staging), ws.fresh(f"{name}_members")), at)
+
+
+def load_dimension(ws: Workspace, name: str, staging: DataFrame, at: datetime, current: DataFrame | None = None) -> DataFrame:
+    """Load one dimension into a new folder of the workspace."""
+    return ws.write(next_version(ws, name, staging, at, current), ws.fresh(name))
 
 
 def load_dimensions(

@@ -17,6 +17,7 @@ from freightlens.session import Workspace
 # Fixed value: prefix of a load batch tag.
 BATCH_PREFIX = "DATACO_"
 ROW_ID = "staging_row_id"
+LAYOUT = {c: t for c, t in STAGING_FIELDS.items() if c != ROW_ID}  # as written
 
 ORDER_FEATURES = [
     "order_total_sales", "order_total_profit", "order_total_quantity", "order_item_count", "order_profit_margin_pct",
@@ -67,8 +68,8 @@ def ready_items(clean: DataFrame, orders: DataFrame, customers: DataFrame) -> Da
     return features.add_sales_tier(attach_totals(clean, orders, customers).transform(features.add_row_features), cuts)
 
 
-def store(ws: Workspace, ready: DataFrame, loaded_at: datetime, source_file_name: str) -> DataFrame:
-    """Full refresh of the staging table. `_slot` keeps each row's place: task in the upper bits, position below."""
+def staged(ready: DataFrame, loaded_at: datetime, source_file_name: str) -> DataFrame:
+    """Ready items with the columns of their load, without row numbers."""
     tagged = ready.withColumns(
         {
             "source_file_name": F.lit(source_file_name),
@@ -76,8 +77,13 @@ def store(ws: Workspace, ready: DataFrame, loaded_at: datetime, source_file_name
             "loaded_at": F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz"),
         }
     )
-    layout = {c: t for c, t in STAGING_FIELDS.items() if c != ROW_ID}
-    return ws.write(conform(tagged, layout).withColumn("_slot", F.monotonically_increasing_id()), ws.fresh("staging"))
+    return conform(tagged, LAYOUT)
+
+
+def store(ws: Workspace, ready: DataFrame, loaded_at: datetime, source_file_name: str) -> DataFrame:
+    """Full refresh of the staging table. `_slot` keeps each row's place: task in the upper bits, position below."""
+    rows = staged(ready, loaded_at, source_file_name)
+    return ws.write(rows.withColumn("_slot", F.monotonically_increasing_id()), ws.fresh("staging"))
 
 
 def number_rows(stored: DataFrame) -> DataFrame:

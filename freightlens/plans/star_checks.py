@@ -75,11 +75,11 @@ def _all_zero(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c) == 0 for c in columns])
 
 
-def resolution(w: Warehouse) -> DataFrame:
+def resolution_of(staged: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Staged rows without a member, per key, with both readiness labels."""
     places = ["market", "order_region", "order_country", "order_state", "order_city", "latitude", "longitude"]
     natural = ["customer_id", "product_card_id", "category_id", "order_date", "shipping_date", "shipping_mode", *places]
-    keyed = resolve_keys(w.batch.select(*natural), w.dims)
+    keyed = resolve_keys(staged.select(*natural), tables)
     names = [f"unresolved_{p}" for p in PLURALS.values()]
     counts = keyed.agg(*[failures(F.col(k).isNull()).alias(n) for k, n in zip(PLURALS, names)])
     return counts.withColumns(
@@ -90,9 +90,13 @@ def resolution(w: Warehouse) -> DataFrame:
     )
 
 
-def require_resolved(w: Warehouse) -> None:
+def resolution(w: Warehouse) -> DataFrame:
+    return resolution_of(w.batch, w.dims)
+
+
+def require_resolved(staged: DataFrame, tables: dict[str, DataFrame]) -> None:
     """Raise unless every staged row finds its seven members."""
-    found = resolution(w).first()
+    found = resolution_of(staged, tables).first()
     if found["dimension_readiness"] != "READY FOR FACT LOAD":
         raise ValueError(f"unresolved dimension members: {found.asDict()}")
 

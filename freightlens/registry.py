@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from freightlens.functions import dates, features
 from freightlens.operators import cleaning
 from freightlens.plans import (
-    dims, eda, feature_reports, profiling, quality, questions, sketches, staging, star_checks, validation, views,
+    dims, eda, feature_reports, loads, profiling, quality, questions, sketches, staging, star_checks, validation, views,
 )
 from freightlens.plans.warehouse import Warehouse
 from freightlens.schemas import CLEAN_FIELDS, conform
@@ -420,12 +421,63 @@ def _reports(w: Warehouse) -> DataFrame:
     return w.spark.createDataFrame(rows, "report string, row_count bigint")
 
 
+EARLIER = datetime(2023, 1, 1)
+_targets: dict[tuple[str, int], loads.Target] = {}
+
+
+def _two_loads(w: Warehouse) -> loads.Target:
+    """Tables that last after two loads: the items ordered before 1996, then all, a row more being expected of the second."""
+    key = (w.spark.sparkContext.applicationId, id(w))
+    if key not in _targets:
+        target = loads.Target(w.spark, w.workspace.path(w.workspace.fresh("target")))
+        early = w.items.where("order_date < timestamp_ntz'1996-01-01'")
+        loads.run_load(target, early, "early_items", EARLIER, clock=lambda: EARLIER)
+        loads.run_load(target, w.items, w.source_file_name, w.loaded_at, expected_rows=w.expected + 1, clock=lambda: w.loaded_at)
+        _targets[key] = target
+    return _targets[key]
+
+
 def _run_log(w: Warehouse) -> DataFrame:
-    """Both loads logged. The rows before cleaning are expected, so the staging load ends with a warning."""
-    log = sinks.RunLog(w.workspace)
-    sinks.log_staging_load(log, w.source_file_name, quality.load_check(w.batch, w.items.count()), w.loaded_at)
-    sinks.log_fact_load(log, w.source_file_name, w.batch.count(), star_checks.load_status(w.fact, w.expected), w.loaded_at)
-    return log.runs().drop("etl_run_id")
+    return _two_loads(w).log.runs().drop("etl_run_id")
+
+
+def _failed_run_log(w: Warehouse) -> DataFrame:
+    """Items of returned payments without a customer: the load stops before the dimensions."""
+    target = loads.Target(w.spark, w.workspace.path(w.workspace.fresh("target")))
+    defective = w.items.withColumn("customer_id", F.when(F.col("payment_type") != "R", F.col("customer_id")))
+    try:
+        loads.run_load(target, defective, w.source_file_name, w.loaded_at, clock=lambda: w.loaded_at)
+    except loads.LoadStopped:
+        pass  # what the log is to show
+    return target.log.runs().drop("etl_run_id").withColumn("dimension_versions", F.lit(target.dimensions.version()))
+
+
+def _fact_partitions(w: Warehouse) -> DataFrame:
+    """Rows and sales of every stored batch and month."""
+    table = _two_loads(w).fact
+    return table.read().groupBy(table.batch, table.month).agg(F.count("*").alias("fact_rows"), F.sum("sales").alias("sales"))
+
+
+def _fact_of_latest_batch(w: Warehouse) -> DataFrame:
+    """Monthly sales of 1997 in the batch loaded last, read from its folders of those months."""
+    target = _two_loads(w)
+    months = target.fact.of_batch(target.latest_batch()).where(F.col(loads.MONTH).between(199701, 199712))
+    return months.groupBy(loads.MONTH).agg(F.count("*").alias("fact_rows"), F.sum("sales").alias("sales"))
+
+
+def _dimension_versions(w: Warehouse) -> DataFrame:
+    """Business members of every table and version, and how many of the first version's keep their key in this one."""
+    store, parts = _two_loads(w).dimensions, []
+    first = store.tables(1)
+    for version in (1, 2):
+        for name, table in store.tables(version).items():
+            d = dims.DIMENSIONS[name]
+            members = table.where(F.col(d.key) != 0).select(d.natural, d.key)
+            kept = first[name].where(F.col(d.key) != 0).select(d.natural, d.key).join(members, [d.natural, d.key], "left_semi")
+            parts.append(members.agg(F.count("*").alias("members")).select(
+                F.lit(version).alias("version"), F.lit(name).alias("table_name"), "members", kept.agg(F.count("*")).scalar().alias("kept_keys")
+            ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _batch_tags(w: Warehouse) -> DataFrame:
@@ -449,6 +501,10 @@ _add("sink_csv", lambda w: sinks.as_text(w.ready))
 _add("sink_readback", _read_back)
 _add("sink_reports", _reports)
 _add("etl_run_log", _run_log)
+_add("etl_run_log_failed", _failed_run_log)
+_add("fact_partitions", _fact_partitions)
+_add("fact_latest_batch", _fact_of_latest_batch)
+_add("dim_versions", _dimension_versions)
 _add("load_batch_id", _batch_tags)
 _add("latest_batch", _two_batches)
 _add("dq_load_sample", lambda w: quality.load_sample(staging.latest_batch(w.staging)))

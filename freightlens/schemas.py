@@ -123,6 +123,9 @@ def fields(layout: str) -> dict[str, str]:
 CLEAN_FIELDS = fields(CLEAN)
 READY_FIELDS = {**CLEAN_FIELDS, **fields(FEATURES)}
 STAGING_FIELDS = {**fields(LOAD_COLUMNS), **READY_FIELDS}
+FACT_FIELDS = {
+    "fact_order_item_key": "bigint", **fields(FACT_KEYS), **{c: STAGING_FIELDS[c] for c in FACT_MEASURES}, "loaded_at": "timestamp_ntz",
+}
 
 
 def conform(df: DataFrame, layout: dict[str, str]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 # The JVM does not compile methods above 8000 bytes of bytecode. Plans over the wide item rows generate longer
@@ -64,3 +65,11 @@ class Workspace:
         """Remove a table that nothing reads any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def observed(observation: Observation, **absent) -> dict:
+    """The metrics of a finished job, or `absent` where the optimiser found the plan to be empty and left them out."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return absent

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.schemas import READY_HEADERS, RUN_LOG, conform, fields
@@ -13,6 +16,7 @@ from freightlens.session import Workspace
 from freightlens.sources.csv import STAGED_NAMES, inspect
 
 PIPELINE = "supply_chain_pipeline"
+MESSAGE_LIMIT = 1000
 
 
 def as_text(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -74,16 +78,25 @@ def write_reports(reports: dict[str, DataFrame], folder: str) -> dict[str, str]:
     return {name: write_csv(as_text(df), f"{folder}/{name}") for name, df in reports.items()}
 
 
+@dataclass
+class Outcome:
+    """What a step has done so far."""
+
+    status: str = "SUCCESS"
+    read: int = 0
+    inserted: int = 0
+    rejected: int = 0
+    message: str | None = None
+
+
 class RunLog:
     """Append-only audit log. A run appends a STARTED row and later a final one; the newest row counts."""
 
-    def __init__(self, ws: Workspace, pipeline: str = PIPELINE):
-        self.ws = ws
-        self.path = ws.path(ws.fresh("etl_run_log"))
-        self.pipeline = pipeline
+    def __init__(self, spark: SparkSession, path: str, pipeline: str = PIPELINE):
+        self.spark, self.path, self.pipeline = spark, path, pipeline
 
     def _append(self, **values) -> None:
-        row = self.ws.spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+        row = self.spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
         log = conform(row, {**fields(RUN_LOG), "event_no": "int"})
         log.coalesce(1).write.mode("append").parquet(self.path)
 
@@ -105,35 +118,35 @@ class RunLog:
             completed_at=at.isoformat(sep=" "), error_message=message, event_no=1,
         )
 
+    @contextmanager
+    def step(self, process: str, source_file: str, clock: Callable[[], datetime]) -> Iterator[Outcome]:
+        """Log a step as STARTED, run it, and log the outcome it filled in; FAILED, with the reason, if it raises."""
+        run, outcome = self.start(process, source_file, clock()), Outcome()
+        try:
+            yield outcome
+        except Exception as error:
+            reason = str(error).strip().split("\n")[0][:MESSAGE_LIMIT]
+            self.finish(run, "FAILED", outcome.read, outcome.inserted, outcome.rejected, clock(), reason)
+            raise
+        self.finish(run, outcome.status, outcome.read, outcome.inserted, outcome.rejected, clock(), outcome.message)
+
     def runs(self) -> DataFrame:
         """Current state of every run."""
         schema = ", ".join(f"{c} {t}" for c, t in {**fields(RUN_LOG), "event_no": "int"}.items())
-        events = self.ws.spark.read.schema(schema).parquet(self.path)
+        events = self.spark.read.schema(schema).parquet(self.path)
         latest = F.max_by(F.struct(*fields(RUN_LOG)), "event_no").alias("run")
         return events.groupBy(F.col("etl_run_id").alias("_id")).agg(latest).select("run.*")
 
 
-def log_staging_load(log: RunLog, source_file: str, check: DataFrame, at: datetime) -> None:
-    """Audit rows of a staging load from its one-row load check."""
-    run = log.start("load_staging_csv", source_file, at)
-    found = check.first()
-    message = None
-    if found["load_status"] != "SUCCESS":
-        message = (
-            f"Rows={found['total_rows']}; duplicates={found['duplicate_rows']}; "
-            f"valid_order_dates={found['valid_order_dates']}; valid_shipping_dates={found['valid_shipping_dates']}"
-        )
-    log.finish(run, found["load_status"], found["total_rows"], found["total_rows"], 0, at, message)
-
-
-def log_fact_load(log: RunLog, source_file: str, staged_rows: int, status: DataFrame, at: datetime) -> None:
-    """Audit rows of a fact load from its one-row load status."""
-    run = log.start("load_fact_order_item", source_file, at)
-    found = status.first()
-    message = None
-    if found["etl_status"] != "SUCCESS":
-        message = (
-            f"fact_rows={found['fact_rows']}; unique_order_items={found['unique_order_item_ids']}; "
-            f"duplicate_rows={found['duplicate_rows']}; rows_with_unknown_dimension_key={found['rows_with_unknown_dimension_key']}"
-        )
-    log.finish(run, found["etl_status"], staged_rows, found["fact_rows"], staged_rows - found["fact_rows"], at, message)
+def staging_message(found: Row) -> str:
+    return (
+        f"Rows={found['total_rows']}; duplicates={found['duplicate_rows']}; "
+        f"valid_order_dates={found['valid_order_dates']}; valid_shipping_dates={found['valid_shipping_dates']}"
+    )
+
+
+def fact_message(found: Row) -> str:
+    return (
+        f"fact_rows={found['fact_rows']}; unique_order_items={found['unique_order_item_ids']}; "
+        f"duplicate_rows={found['duplicate_rows']}; rows_with_unknown_dimension_key={found['rows_with_unknown_dimension_key']}"
+    )

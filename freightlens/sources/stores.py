@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.schemas import fields
+from freightlens.session import observed
 
 
 def stored(spark: SparkSession, path: str, layout: Mapping[str, str]) -> DataFrame:
@@ -66,7 +67,7 @@ class BatchTable:
         placed = placed.observe(seen, F.count("*").alias("rows"), F.count(month).alias("dated"), F.collect_set(month).alias("months"))
         writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.batch, self.month)
         writer.parquet(self.path)
-        found = seen.get
+        found = observed(seen, rows=0, dated=0, months=[])
         written = {*found["months"], *([None] if found["dated"] < found["rows"] else [])}
         for gone in set(before) - written:  # months that the batch no longer has
             name = "__HIVE_DEFAULT_PARTITION__" if gone is None else gone
@@ -100,8 +101,10 @@ class VersionedTables:
         rows = self.manifest().where(F.col("version") == number).select("table_name", "folder").collect()  # a row per table
         return {r["table_name"]: self.spark.read.parquet(f"{self.path}/{r['folder']}") for r in rows}
 
-    def publish(self, plans: Mapping[str, Callable[[], DataFrame]], at: datetime) -> int:
-        """Write all tables side by side as a new version, then make it the current one."""
+    def publish(
+        self, plans: Mapping[str, Callable[[], DataFrame]], at: datetime, check: Callable[[dict[str, DataFrame]], None] = lambda tables: None
+    ) -> int:
+        """Write all tables side by side as a new version, then make it the current one, unless `check` raises on what was written."""
         number, tag = self.version() + 1, uuid.uuid4().hex[:8]
         folders = {name: f"{name}/v{number:06d}-{tag}" for name in plans}
 
@@ -111,6 +114,7 @@ class VersionedTables:
         with ThreadPoolExecutor(max(1, len(plans))) as pool:
             for done in [pool.submit(write, name) for name in plans]:
                 done.result()
+        check({name: self.spark.read.parquet(f"{self.path}/{folder}") for name, folder in folders.items()})
         rows = [(number, name, folder, at) for name, folder in folders.items()]
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
         return number

@@ -158,11 +158,6 @@ INPUTS = {
     "sink_readback": on_stg(f"SELECT {ROWS} AS expected_rows, {ROWS} AS exported_rows, true AS complete"),
     "sink_reports": on_stg(f"""SELECT 'missing_value_report' AS report, {MISSING_COLUMNS} AS row_count UNION ALL SELECT 'cleaning_validation_report', {len(CLEAN_RULES)}
       UNION ALL SELECT 'monthly_trend', (SELECT COUNT(DISTINCT strftime(order_date, '%Y-%m')) FROM ready)"""),
-    "etl_run_log": on_star(f"""SELECT 'supply_chain_pipeline' AS pipeline_name, '{SOURCE_FILE}' AS source_file_name, 'load_staging_csv' AS process_name,
-      'WARNING' AS process_status, COUNT(*) AS rows_read, COUNT(*) AS rows_inserted, 0 AS rows_rejected, '{LOADED_AT}' AS started_at,
-      '{LOADED_AT}' AS completed_at, 'Rows=' || COUNT(*) || '; duplicates=0; valid_order_dates=' || COUNT(order_date) || '; valid_shipping_dates=' || COUNT(shipping_date) AS error_message
-      FROM stg HAVING COUNT(*) <> (SELECT COUNT(*) FROM items)
-      UNION ALL SELECT 'supply_chain_pipeline', '{SOURCE_FILE}', 'load_fact_order_item', 'SUCCESS', COUNT(*), COUNT(*), 0, '{LOADED_AT}', '{LOADED_AT}', NULL FROM fact"""),
     "load_batch_id": on_stg(f"SELECT {day('loaded_at')} AS loaded_at, 'DATACO_' || strftime(loaded_at, '%Y%m%d_%H%M%S_%f') AS load_batch_id, COUNT(*) AS rows FROM stg GROUP BY stg.loaded_at"),
     "latest_batch": on_stg(f"""SELECT load_batch_id, {day('loaded_at')} AS loaded_at, COUNT(*) AS rows FROM (
       SELECT load_batch_id, loaded_at FROM stg UNION ALL SELECT 'DATACO_20230101_000000_000000', TIMESTAMP '2023-01-01 00:00:00' FROM stg WHERE order_year < 1998) u
@@ -170,3 +165,63 @@ INPUTS = {
     "dq_load_sample": on_stg(f"""SELECT order_status, {day('shipping_date')} AS shipping_date, shipping_mode, product_card_id, product_name
       FROM stg ORDER BY order_item_id LIMIT 20"""),
 }
+
+EARLY = "order_date < TIMESTAMP '1996-01-01'"
+EARLIER = "2023-01-01 00:00:00"
+
+
+def log_row(process: str, status: str, read: str, inserted: str, message: str = "CAST(NULL AS VARCHAR)", file: str = SOURCE_FILE, at: str = LOADED_AT) -> str:
+    return f"""SELECT 'supply_chain_pipeline' AS pipeline_name, '{file}' AS source_file_name, '{process}' AS process_name, '{status}' AS process_status,
+      CAST({read} AS BIGINT) AS rows_read, CAST({inserted} AS BIGINT) AS rows_inserted, CAST({read} - {inserted} AS BIGINT) AS rows_rejected,
+      '{at}' AS started_at, '{at}' AS completed_at, {message} AS error_message"""
+
+
+def count(table: str, what: str = "*", where: str = "true") -> str:
+    return f"(SELECT COUNT({what}) FROM {table} WHERE {where})"
+
+
+def dim_members(where: str = "true") -> str:
+    """Members that the six dimensions gain from some items."""
+    days = " UNION ".join(f"SELECT CAST({c} AS DATE) FROM ready WHERE {where}" for c in ("order_date", "shipping_date"))
+    ends = " UNION ".join(f"SELECT CAST({f}(order_date) AS DATE) FROM ready WHERE {where} GROUP BY customer_id" for f in ("MIN", "MAX"))
+    return {
+        "dim_customer": f"SELECT DISTINCT customer_id FROM ready WHERE {where}", "dim_category": f"SELECT DISTINCT category_id FROM ready WHERE {where}",
+        "dim_product": f"SELECT DISTINCT product_card_id FROM ready WHERE {where}", "dim_date": f"{days} UNION {ends}",
+        "dim_shipping_mode": f"SELECT DISTINCT shipping_mode FROM ready WHERE {where}",
+        "dim_geography": f"SELECT DISTINCT market, order_region, order_country, order_state, order_city, latitude, longitude FROM ready WHERE {where}",
+    }
+
+
+WHOLE, FIRST = dim_members(), dim_members(EARLY)
+gained = lambda members: "(" + " + ".join(f"(SELECT COUNT(*) FROM ({m}))" for m in members.values()) + ")"
+_staged, _early = count("stg"), count("clean", where=EARLY)
+_items, _early_items = count("items"), count("items", where=EARLY)
+_new_whole = f"({gained(WHOLE)} - {gained(FIRST)})"
+_bad = f"""'staged batch is not ready: total_rows=' || {_staged} || '; unique_order_item_ids=' || {_staged} || '; duplicate_rows=0; missing_critical_fields=' ||
+  {count("stg", where="payment_type = 'R'")} || '; invalid_dates=0; shipping_before_order=' || {count("stg", where="shipping_date < order_date")} ||
+  '; invalid_numeric_rows=' || {count("stg", where="sales < 0 OR order_item_product_price < 0 OR days_for_shipping_real < 0 OR days_for_shipment_scheduled < 0 OR order_item_quantity <= 0")} ||
+  '; invalid_shipping_features=0'"""
+_dims_log = lambda rows, new, **kw: log_row("load_dimensions", "SUCCESS", rows, new, **kw).replace(f"CAST({rows} - {new} AS BIGINT) AS rows_rejected", "CAST(0 AS BIGINT) AS rows_rejected")
+_early_kw = {"file": "early_items", "at": EARLIER}
+INPUTS |= {
+    "etl_run_log": on_star(" UNION ALL ".join([
+        log_row("clean_order_items", "SUCCESS", _early_items, _early, **_early_kw), log_row("load_staging_csv", "SUCCESS", _early, _early, **_early_kw),
+        _dims_log(_early, f"({gained(FIRST)} + 6)", **_early_kw), log_row("load_fact_order_item", "SUCCESS", _early, _early, **_early_kw),
+        log_row("clean_order_items", "SUCCESS", _items, _staged),
+        log_row("load_staging_csv", "WARNING", _staged, _staged, f"""'Rows=' || {_staged} || '; duplicates=0; valid_order_dates=' || {count("stg", "order_date")} ||
+          '; valid_shipping_dates=' || {count("stg", "shipping_date")}"""),
+        _dims_log(_staged, _new_whole),
+        log_row("load_fact_order_item", "WARNING", _staged, _staged, f"""'fact_rows=' || {_staged} || '; unique_order_items=' || {_staged} ||
+          '; duplicate_rows=0; rows_with_unknown_dimension_key=0'"""),
+    ])),
+    "etl_run_log_failed": on_star(f"""SELECT *, CAST(0 AS BIGINT) AS dimension_versions FROM (
+      {log_row("clean_order_items", "SUCCESS", _items, _staged)} UNION ALL {log_row("load_staging_csv", "FAILED", _staged, _staged, _bad)})"""),
+    "fact_partitions": on_star(f"""SELECT load_batch_id, order_date_key // 100 AS order_month_key, COUNT(*) AS fact_rows, CAST(SUM(sales) AS DOUBLE) AS sales FROM (
+      SELECT load_batch_id, order_date_key, sales FROM fact UNION ALL
+      SELECT 'DATACO_20230101_000000_000000', CAST(strftime(order_date, '%Y%m%d') AS BIGINT), sales FROM clean WHERE {EARLY}) GROUP BY 1, 2"""),
+    "fact_latest_batch": on_star("""SELECT order_date_key // 100 AS order_month_key, COUNT(*) AS fact_rows, CAST(SUM(sales) AS DOUBLE) AS sales FROM fact
+      WHERE order_date_key // 10000 = 1997 GROUP BY 1"""),
+    "dim_versions": on_star(" UNION ALL ".join(
+        f"""SELECT {v} AS version, '{n}' AS table_name, (SELECT COUNT(*) FROM ({members[n]})) AS members, (SELECT COUNT(*) FROM ({FIRST[n]})) AS kept_keys"""
+        for v, members in ((1, FIRST), (2, WHOLE)) for n in FIRST)),
+}

@@ -154,7 +154,7 @@ def test_fact_status(warehouse):
     assert star_checks.empty_before_load(fact.where("false")).first().fact_table_status == "READY FOR FACT LOAD"
     assert star_checks.empty_before_load(fact).first().fact_table_status == "REVIEW EXISTING FACT DATA"
     assert star_checks.reconcile(warehouse.batch, fact.where("order_item_id > 100")).first().reconciliation_status == "FAIL"
-    star_checks.require_resolved(warehouse)
+    star_checks.require_resolved(warehouse.batch, warehouse.dims)
 
 
 def test_full_report_skips_absent_columns(warehouse):

@@ -68,7 +68,7 @@ def test_read_back_detects_truncation(spark, ws):
 
 
 def test_run_log_keeps_the_latest_state(spark, ws, at):
-    log = sinks.RunLog(ws)
+    log = sinks.RunLog(ws.spark, ws.path(ws.fresh("log")))
     done, open_run = log.start("a", "f", at), log.start("b", "f", at)
     log.finish(done, "WARNING", 5, 4, 1, at, "one lost")
     got = {r.process_name: r for r in log.runs().collect()}
