@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,12 +14,16 @@ from freightlens.functions.numbers import failures, percent, rounded
 
 @dataclass
 class Rule:
-    """Either a row condition that marks a failing row, or a ready-made count of failing rows."""
+    """Either a row condition that marks a failing row, or a way to count failing rows. `needs` names the columns it looks at."""
 
     name: str
     severity: str
     fails: Column | None = None
-    count: Column | None = None
+    count: Callable[[], Column] | None = None
+    needs: tuple[str, ...] = ()
+
+    def applies(self, df: DataFrame) -> bool:
+        return set(self.needs) <= set(df.columns)
 
 
 def repeated_key_rows(df: DataFrame, key: str) -> Column:
@@ -61,14 +65,17 @@ def exact_copies(df: DataFrame) -> Column:
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule], name: str = "rule") -> DataFrame:
-    """(rule, severity, failed_rows, failed_pct, status) with PASS or REVIEW per rule."""
+    """(rule, severity, failed_rows, failed_pct, status) with PASS or REVIEW per rule that applies; no rows if none does."""
+    rules = [r for r in rules if r.applies(df)]
+    if not rules:
+        return df.sparkSession.createDataFrame([], f"`{name}` string, severity string, failed_rows bigint, failed_pct double, status string")
     counted = df.agg(
         F.count("*").alias("_rows"),
-        *[F.coalesce(failures(r.fails), F.lit(0)).alias(f"r{i}") for i, r in enumerate(rules) if r.fails is not None],
+        *[F.coalesce(failures(r.fails), F.lit(0)).alias(f"r{i}") for i, r in enumerate(rules) if r.count is None],
     )
     rows = []
     for i, r in enumerate(rules):
-        failed = F.col(f"r{i}") if r.fails is not None else r.count
+        failed = F.col(f"r{i}") if r.count is None else r.count()
         rows.append(F.struct(F.lit(r.name).alias(name), F.lit(r.severity).alias("severity"), failed.cast("bigint").alias("failed_rows")))
     report = counted.select("_rows", F.explode(F.array(*rows)).alias("r")).select("_rows", "r.*")
     return report.select(

@@ -235,24 +235,33 @@ def outlier_report(df: DataFrame, columns: Sequence[str], of_all_rows: bool = Fa
 
 
 def raw_rules(df: DataFrame) -> list[Rule]:
-    """Rules on typed raw columns. A missing rate or risk fails its rule, other missing values do not."""
+    """Rules on typed raw columns, those whose columns df has. A missing rate or risk fails its rule, other missing values do not."""
     col = lambda c: F.col(f"`{c}`")
-    status, risk = F.lower(F.trim("Delivery Status")), col("Late_delivery_risk")
+    status, risk = F.lower(F.trim(col("Delivery Status"))), col("Late_delivery_risk")
     not_one = F.coalesce(risk != 1, F.lit(True))
     late = F.coalesce(status == "late delivery", F.lit(False))
-    negative = lambda c: col(c) < 0
-    return [
-        Rule("Negative actual shipping days", "high", negative("Days for shipping (real)")),
-        Rule("Negative scheduled shipping days", "high", negative("Days for shipment (scheduled)")),
-        Rule("Quantity must be greater than zero", "high", col("Order Item Quantity") <= 0),
-        Rule("Sales must be non-negative", "high", negative("Sales")),
-        Rule("Product price must be non-negative", "high", negative("Order Item Product Price")),
-        Rule("Discount rate outside 0–1", "high", ~F.coalesce(col("Order Item Discount Rate").between(0, 1), F.lit(False))),
-        Rule("Late delivery risk outside {0,1}", "high", ~F.coalesce(risk.isin(0, 1), F.lit(False))),
-        Rule("Missing Order Item Id", "high", col("Order Item Id").isNull()),
-        Rule("Duplicated Order Item Id", "high", count=repeated_key_rows(df, "Order Item Id")),
-        Rule("Delivery status vs late-risk inconsistency", "medium", (late & not_one) | (~late & ~not_one)),
+    key, rate = "Order Item Id", "Order Item Discount Rate"
+    rules = [
+        *[
+            Rule(name, "high", col(c) < 0, needs=(c,))
+            for name, c in (
+                ("Negative actual shipping days", "Days for shipping (real)"),
+                ("Negative scheduled shipping days", "Days for shipment (scheduled)"),
+            )
+        ],
+        Rule("Quantity must be greater than zero", "high", col("Order Item Quantity") <= 0, needs=("Order Item Quantity",)),
+        Rule("Sales must be non-negative", "high", col("Sales") < 0, needs=("Sales",)),
+        Rule("Product price must be non-negative", "high", col("Order Item Product Price") < 0, needs=("Order Item Product Price",)),
+        Rule("Discount rate outside 0–1", "high", ~F.coalesce(col(rate).between(0, 1), F.lit(False)), needs=(rate,)),
+        Rule("Late delivery risk outside {0,1}", "high", ~F.coalesce(risk.isin(0, 1), F.lit(False)), needs=("Late_delivery_risk",)),
+        Rule("Missing Order Item Id", "high", col(key).isNull(), needs=(key,)),
+        Rule("Duplicated Order Item Id", "high", count=lambda: repeated_key_rows(df, key), needs=(key,)),
+        Rule(
+            "Delivery status vs late-risk inconsistency", "medium", (late & not_one) | (~late & ~not_one),
+            needs=("Delivery Status", "Late_delivery_risk"),
+        ),
     ]
+    return [r for r in rules if r.applies(df)]
 
 
 def business_rules(df: DataFrame) -> DataFrame:
@@ -267,13 +276,13 @@ STRONG, USABLE = 95, 85
 def quality_score(df: DataFrame, expected_columns: int = RAW_COLUMN_COUNT) -> DataFrame:
     """Score per dimension, and on every row the weighted total with its verdict."""
     rules = raw_rules(df)
-    failed = business_rules(df).agg(F.sum("failed_rows")).scalar()
+    failed = business_rules(df).agg(F.coalesce(F.sum("failed_rows"), F.lit(0))).scalar()
     counts = df.agg(F.count("*").alias("n"), null_cells(df).alias("nulls"))
     counts = counts.withColumns({"copies": exact_copies(df), "failed": failed})
     scores = {
         "completeness": 1 - ratio(F.col("nulls"), F.col("n") * len(df.columns)),
         "uniqueness": 1 - ratio(F.col("copies"), F.col("n")),
-        "validity": F.greatest(F.lit(0.0), 1 - ratio(F.col("failed"), F.col("n") * len(rules))),
+        "validity": F.greatest(F.lit(0.0), 1 - ratio(F.col("failed"), F.col("n") * max(1, len(rules)))),
         "schema": F.lit(1.0 if len(df.columns) == expected_columns else 0.5),
     }
     readiness = sum((scores[d] * 100 * w for d, w in RAW_WEIGHTS.items()), F.lit(0.0))
@@ -300,18 +309,20 @@ def quality_score(df: DataFrame, expected_columns: int = RAW_COLUMN_COUNT) -> Da
 
 
 def clean_rule_list(df: DataFrame) -> list[Rule]:
-    col = F.col
-    return [
-        Rule("order_item_id is not null", "high", col("order_item_id").isNull()),
-        Rule("order_item_id is unique", "high", count=repeated_key_rows(df, "order_item_id")),
-        Rule("quantity > 0", "high", col("order_item_quantity") <= 0),
-        Rule("sales >= 0", "high", col("sales") < 0),
-        Rule("product price >= 0", "high", col("order_item_product_price") < 0),
-        Rule("discount rate between 0 and 1", "high", ~F.coalesce(col("order_item_discount_rate").between(0, 1), F.lit(False))),
-        Rule("late_delivery_risk in {0,1}", "high", ~F.coalesce(col("late_delivery_risk").isin(0, 1), F.lit(False))),
-        Rule("shipping date is not before order date", "medium", col("shipping_date") < col("order_date")),
-        Rule("actual shipping days >= 0", "high", col("days_for_shipping_real") < 0),
+    """Rules on cleaned columns, those whose columns df has."""
+    col, key, rate = F.col, "order_item_id", "order_item_discount_rate"
+    rules = [
+        Rule("order_item_id is not null", "high", col(key).isNull(), needs=(key,)),
+        Rule("order_item_id is unique", "high", count=lambda: repeated_key_rows(df, key), needs=(key,)),
+        Rule("quantity > 0", "high", col("order_item_quantity") <= 0, needs=("order_item_quantity",)),
+        Rule("sales >= 0", "high", col("sales") < 0, needs=("sales",)),
+        Rule("product price >= 0", "high", col("order_item_product_price") < 0, needs=("order_item_product_price",)),
+        Rule("discount rate between 0 and 1", "high", ~F.coalesce(col(rate).between(0, 1), F.lit(False)), needs=(rate,)),
+        Rule("late_delivery_risk in {0,1}", "high", ~F.coalesce(col("late_delivery_risk").isin(0, 1), F.lit(False)), needs=("late_delivery_risk",)),
+        Rule("shipping date is not before order date", "medium", col("shipping_date") < col("order_date"), needs=("shipping_date", "order_date")),
+        Rule("actual shipping days >= 0", "high", col("days_for_shipping_real") < 0, needs=("days_for_shipping_real",)),
     ]
+    return [r for r in rules if r.applies(df)]
 
 
 def clean_rules(df: DataFrame) -> DataFrame:
@@ -335,13 +346,13 @@ CLEAN_WEIGHTS = {"completeness": 0.35, "uniqueness": 0.25, "validity": 0.40}
 
 
 def clean_score(df: DataFrame) -> DataFrame:
-    failed = clean_rules(df).agg(F.sum("failed_rows")).scalar()
+    failed = clean_rules(df).agg(F.coalesce(F.sum("failed_rows"), F.lit(0))).scalar()
     counts = df.agg(F.count("*").alias("n"), null_cells(df).alias("nulls"))
     counts = counts.withColumns({"copies": exact_copies(df), "failed": failed})
     scores = {
         "completeness": (1 - ratio(F.col("nulls"), F.col("n") * len(df.columns))) * 100,
         "uniqueness": (1 - ratio(F.col("copies"), F.col("n"))) * 100,
-        "validity": F.greatest(F.lit(0.0), (1 - ratio(F.col("failed"), F.col("n") * len(clean_rule_list(df)))) * 100),
+        "validity": F.greatest(F.lit(0.0), (1 - ratio(F.col("failed"), F.col("n") * max(1, len(clean_rule_list(df))))) * 100),
     }
     readiness = sum((scores[d] * w for d, w in CLEAN_WEIGHTS.items()), F.lit(0.0))
     return counts.select(

@@ -176,12 +176,27 @@ _EXPLORED = {
 for _name, _table in _EXPLORED.items():
     _add(_name, lambda w, table=_table: table(w.ready))
 
+
+
+def _odd_labels(w: Warehouse) -> DataFrame:
+    """Ready items whose labels are spoilt where the payment was returned."""
+    returned = F.col("payment_type") == "R"
+    return w.ready.withColumns(
+        {
+            "delivery_performance": F.when(returned, F.concat(F.lit("odd "), "market")).otherwise(F.col("delivery_performance")),
+            "profitability_status": F.when(returned & (F.col("market") == "ASIA"), "odd").otherwise(F.col("profitability_status")),
+        }
+    )
+
+
 for _name, _make in validation.CHECKS.items():
     _add(_name, lambda w, make=_make: validation.report(w.ready, make(w.ready)))
 _add("val_framework", lambda w: w.validation)
 _add("val_readiness", lambda w: validation.readiness(w.ready, w.validation))
 _add("val_failed_summary", lambda w: validation.failed_checks(w.validation))
 _add("val_issue_samples", lambda w: validation.issue_samples(w.ready, w.validation))
+_add("val_missing_columns", lambda w: validation.full_report(w.ready.select("order_id", "sales", "latitude", "market", "delivery_performance")))
+_add("val_unexpected_values", lambda w: validation.unexpected_values(_odd_labels(w)))
 _add("val_quality_profile", lambda w: validation.quality_profile(w.ready))
 
 STAMPS = ("created_at", "updated_at")

@@ -101,7 +101,9 @@ def test_validation_check(group, sound, victim):
 def test_validation_of_unexpected_values(sound, victim):
     found = failing(spoil(sound, victim, operational_risk_segment="odd"), "val_domains")
     row = found["operational_risk_segment contains only approved values"]
-    assert (row.observed, row.affected_rows) == ("['odd']", 1)
+    assert (row.observed, row.affected_rows) == ("1", 1)
+    listed = validation.unexpected_values(spoil(sound, victim, operational_risk_segment="odd")).collect()
+    assert [tuple(r) for r in listed] == [("operational_risk_segment", "odd", 1)]
 
 
 def test_validation_of_columns(spark, sound):
@@ -165,3 +167,34 @@ def test_full_report_skips_absent_columns(warehouse):
     names = {r.check_name for r in rows}
     assert names < whole
     assert next(r for r in rows if r.check_name == "Required columns are available").status == "FAIL"
+
+
+@pytest.mark.parametrize("columns", [["sales", "latitude", "market"], ["sales"], ["market"], ["order_id"], ["order_date"]])
+def test_checks_of_any_frame(spark, sound, columns):
+    """Every check and report runs on a frame that lacks what it would look at, and leaves out what does not apply."""
+    few = sound.select(*columns)
+    for name, make in validation.CHECKS.items():
+        rows = validation.report(few, make(few)).collect()
+        assert all(r.status in ("PASS", "FAIL") for r in rows)
+        assert bool(rows) or name in ("val_dates", "val_delivery_rules", "val_financial_rules", "val_aggregate_features", "val_domains", "val_numeric_ranges")
+    report = validation.full_report(few, 1)
+    names = [r.check_name for r in report.collect()]
+    assert "No exact duplicate rows" in names and "order_item_id is unique" not in names
+    assert validation.issue_samples(few, report).count() == report.where("status = 'FAIL'").count()
+    assert validation.unexpected_values(few).count() == 0
+    assert profiling.clean_rules(few).count() == (1 if columns[0] == "sales" else 0)
+    score = profiling.clean_score(few).first()
+    assert score.validity == 100.0
+
+
+def test_raw_rules_of_any_frame(spark):
+    for schema, rules in (("x int", 0), ("`Sales` double, x int", 1), ("`Order Item Id` long", 2), ("`Delivery Status` string", 0)):
+        df = spark.createDataFrame([], schema)
+        assert profiling.business_rules(df).count() == rules
+        assert profiling.quality_score(df).count() == 4
+
+
+def test_totals_that_are_there_are_checked(sound):
+    few = sound.select("order_id", "sales", "order_total_sales")
+    rows = validation.report(few, validation.aggregate_checks(few)).collect()
+    assert [(r.check_name, r.status) for r in rows] == [("order_total_sales is consistent within each order", "PASS")]
