@@ -8,10 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of at most this many rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 200_000
-# A key with more rows than this on the large side is spread over several tasks.
-HOT_ROWS = 2_000_000
+# A lookup whose columns taken hold at most this many bytes is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 64 << 20
+# Bytes of a cell by kind; text is measured.
+CELL_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "bigint": 8, "double": 8, "timestamp_ntz": 8}
+
+
+def small_enough(lookup: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored lookup's cells fit the limit: one aggregate over the columns that are taken, texts by their length."""
+    texts = [c for c, t in lookup.dtypes if t == "string"]
+    fixed = 16 + sum(8 + CELL_BYTES.get(t, 16) for c, t in lookup.dtypes if t != "string")
+    long = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(f"t{i}") for i, c in enumerate(texts)]
+    found = lookup.agg(F.count("*").alias("n"), *long).first()
+    return found["n"] * (fixed + 16 * len(texts)) + sum(found[f"t{i}"] for i in range(len(texts))) <= limit
 
 
 def lookup_join(
@@ -21,15 +30,13 @@ def lookup_join(
     take: Sequence[str],
     null_safe: bool = False,
     how: str = "left",
-    lookup_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join `rows` to a stored `lookup` whose `on` keys are unique, adding the `take` columns.
 
-    The lookup's row count (`lookup_rows` if known) decides between a broadcast and a shuffle. In the shuffled case, keys that
-    more than `hot_rows` rows share are dealt out over numbered copies of their lookup row: there are at
-    most count(rows) / hot_rows such keys, which bounds both the broadcast list and the copies.
+    The bytes of the columns used decide between a broadcast and a shuffle, unless `small` says so from an earlier look. `rows` is read once, whatever the plan: in the shuffled case
+    a key that very many rows share is split at run time, as a sort-merge join's skewed partitions are, and its one
+    lookup row goes to every part.
     """
     probes = [f"_probe{i}" for i in range(len(on))]
     keys = [f"_key{i}" for i in range(len(on))]
@@ -38,28 +45,5 @@ def lookup_join(
     lookup = lookup.select(*[F.col(right).alias(k) for k, (_, right) in zip(keys, on)], *take)
     pairs = [(F.col(p).eqNullSafe(F.col(k)) if null_safe else F.col(p) == F.col(k)) for p, k in zip(probes, keys)]
     matching = reduce(lambda a, b: a & b, pairs)
-
-    if (lookup.count() if lookup_rows is None else lookup_rows) <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), matching, how).select(*rows_in, *take)
-
-    counted = rows.groupBy(*[F.col(p).alias(f"_hot{i}") for i, p in enumerate(probes)]).count()
-    hot = counted.where(F.col("count") > hot_rows).select(
-        *[F.col(f"_hot{i}") for i in range(len(on))], F.ceil(F.col("count") / hot_rows).cast("int").alias("_copies")
-    )
-    hot_keys = hot.collect()  # at most count(rows) / hot_rows entries
-    if not hot_keys:
-        return rows.join(lookup, matching, how).select(*rows_in, *take)
-
-    hot = F.broadcast(rows.sparkSession.createDataFrame(hot_keys, hot.schema))
-
-    def with_copies(df: DataFrame, names: Sequence[str]) -> DataFrame:
-        same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_hot{i}")) for i, n in enumerate(names)])
-        return df.join(hot, same, "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
-
-    # dealt by content, so that a recomputed task sends each row to the same copy
-    deal = F.when(F.col("_copies") > 1, F.pmod(F.xxhash64(*rows_in), F.col("_copies"))).otherwise(0)
-    dealt = with_copies(rows, probes).select(*rows.columns, deal.cast("int").alias("_deal"))
-    copied = with_copies(lookup, keys).select(
-        *lookup.columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")
-    )
-    return dealt.join(copied, matching & (F.col("_deal") == F.col("_copy")), how).select(*rows_in, *take)
+    lookup = F.broadcast(lookup) if (small_enough(lookup) if small is None else small) else lookup.hint("merge")
+    return rows.join(lookup, matching, how).select(*rows_in, *take)

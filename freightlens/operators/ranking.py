@@ -11,13 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from freightlens.operators.joins import lookup_join
 from freightlens.session import Workspace
 
 # The kinds of columns that have percentiles.
 PERCENTILE_KINDS = ("byte", "short", "integer", "long", "decimal", "float", "double")
 
-# Largest input that may be ordered by one task.
-SINGLE_TASK_ROWS = 1_000_000
 # Histogram width per refinement pass: two passes settle a range of 2**36 values.
 BUCKETS = 2**18
 
@@ -50,37 +49,43 @@ def dense_index(ws: Workspace, df: DataFrame, order: Sequence[Column], name: str
     )
 
 
-def _with_first(df: DataFrame, positions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """df with `_first`, the lowest `_pos` that `positions` holds for the row's keys."""
-    named = [F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]
-    first = positions.groupBy(*named).agg(F.min("_pos").alias("_first"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
-    return df.join(first, same).drop(*[f"_g{i}" for i in range(len(keys))])
+def _same(df: DataFrame, other: DataFrame, keys: Sequence[str], named: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(other[g]) for k, g in zip(keys, named)])
 
 
-def row_number(ws, df, order, name, rows, partition: Sequence[str] = ()) -> DataFrame:
-    """1-based row number. `rows` is an upper bound of df's size; beyond it no group is held by one task."""
-    if rows <= SINGLE_TASK_ROWS:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+def row_number(ws: Workspace, df: DataFrame, order: Sequence[Column], name: str, partition: Sequence[str] = ()) -> DataFrame:
+    """1-based row number, in each partition if any are named. A partition may span many tasks."""
     placed = dense_index(ws, df, [*[F.col(c) for c in partition], *order], "_pos")
-    numbered = _with_first(placed, placed, partition) if partition else placed.withColumn("_first", F.lit(0))
-    return numbered.withColumn(name, (F.col("_pos") - F.col("_first") + 1).cast("int")).drop("_pos", "_first")
+    if not partition:
+        return placed.withColumn(name, (F.col("_pos") + 1).cast("int")).drop("_pos")
+    named = [f"_g{i}" for i in range(len(partition))]
+    first = placed.groupBy(*[F.col(k).alias(g) for k, g in zip(partition, named)]).agg(F.min("_pos").alias("_first"))
+    numbered = placed.join(first, _same(placed, first, partition, named))
+    return numbered.withColumn(name, (F.col("_pos") - F.col("_first") + 1).cast("int")).drop("_pos", "_first", *named)
 
 
-def rank(ws, df, value: str, name, rows, dense: bool = False) -> DataFrame:
-    """RANK or DENSE_RANK by `value`, largest first."""
-    if rows <= SINGLE_TASK_ROWS:
-        function = F.dense_rank if dense else F.rank
-        return df.withColumn(name, function().over(Window.orderBy(F.desc(value))))
-    # DENSE_RANK counts distinct values before a row, RANK counts rows
-    placed = dense_index(ws, df.select(value).distinct() if dense else df, [F.desc(value)], "_pos")
-    ranked = _with_first(df if dense else placed, placed, [value])
-    return ranked.withColumn(name, (F.col("_first") + 1).cast("int")).drop("_pos", "_first")
+def rank(ws: Workspace, df: DataFrame, value: str, name: str, dense: bool = False) -> DataFrame:
+    """RANK or DENSE_RANK by `value`, largest first, from prefix counts over the distinct values.
+
+    Rows with one value are only counted, and get their rank back by a lookup, so a value that many rows share is no task's burden.
+    """
+    tasks = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    order = F.desc("_value")
+    table = ws.write(counts.repartitionByRange(tasks, order).withColumn("_part", F.spark_partition_id()), ws.fresh("ranked"))
+    weight = F.lit(1) if dense else F.col("_n")
+    starts, seen = [], 0
+    for row in sorted(table.groupBy("_part").agg(F.sum(weight).alias("n")).collect()):  # one row per range partition
+        starts.append((row["_part"], seen))
+        seen += row["n"]
+    starts = F.broadcast(ws.spark.createDataFrame(starts, "_part int, _start long"))
+    before = F.coalesce(F.sum(weight).over(Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = table.withColumn("_before", before).join(starts, "_part")
+    ranks = ws.write(ranks.select("_value", (F.col("_start") + F.col("_before") + 1).cast("int").alias(name)), ws.fresh("ranks"))
+    return lookup_join(df, ranks, [(value, "_value")], [name], null_safe=True)
 
 
-def ntile(ws, df, tiles: int, order, name, rows) -> DataFrame:
-    if rows <= SINGLE_TASK_ROWS:
-        return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
+def ntile(ws: Workspace, df: DataFrame, tiles: int, order: Sequence[Column], name: str) -> DataFrame:
     placed = dense_index(ws, df, order, "_pos")
     n = placed.count()
     size, longer = divmod(n, tiles)  # the first `longer` tiles hold one row more

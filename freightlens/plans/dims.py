@@ -224,9 +224,8 @@ def upsert(ws: Workspace, dim: Dimension, current: DataFrame, members: DataFrame
     if dim.name == "dim_date":
         keyed = new.withColumn(dim.key, date_key(F.col("full_date")))
     else:
-        new = ws.write(new, ws.fresh(f"{dim.name}_new"))
         top = current.agg(F.max(dim.key).alias("k")).first()["k"] or 0
-        keyed = row_number(ws, new, [F.asc(dim.natural)], dim.key, rows=new.count())
+        keyed = row_number(ws, new, [F.asc(dim.natural)], dim.key)
         keyed = keyed.withColumn(dim.key, F.col(dim.key).cast("bigint") + top)
     added = keyed.withColumns({"record_source": F.lit(RECORD_SOURCE), "created_at": _stamp(at), "updated_at": _stamp(at)})
     return kept.unionByName(added.select(*kept.columns))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from freightlens.functions.features import PROFIT
 from freightlens.functions.numbers import mean, percent, ratio, rounded
 from freightlens.operators.cleaning import metric_rows
+from freightlens.operators.distinct import with_distinct_counts
 
 # Dimensions and columns the tables are made for.
 MARKET_DIMENSIONS = ["market", "order_region", "order_country"]
@@ -135,9 +136,7 @@ def loss_tables(df: DataFrame, n: int = 15) -> DataFrame:
 
 
 def customer_groups(df: DataFrame, dimension: str) -> DataFrame:
-    groups = df.groupBy(dimension).agg(
-        *_totals(), F.count_distinct("customer_id").alias("customers"), F.count_distinct("order_id").alias("orders")
-    )
+    groups = with_distinct_counts(df.groupBy(dimension).agg(*_totals()), df, [dimension], {"customers": "customer_id", "orders": "order_id"})
     per_customer = rounded(ratio(F.col("total_sales"), F.col("customers")), 4).alias("sales_per_customer")
     return groups.select("*", per_customer, _margin()).orderBy(F.desc("total_sales"), F.asc_nulls_first(dimension))
 
@@ -168,7 +167,9 @@ def delivery_statuses(df: DataFrame) -> DataFrame:
 def late_pivot(df: DataFrame) -> DataFrame:
     """Late rate per market (rows) and shipping mode (columns)."""
     known = df.where("market is not null and shipping_mode is not null")
-    return known.groupBy("market").pivot("shipping_mode").agg(rounded(mean("is_late_delivery") * 100)).orderBy("market")
+    rates = known.groupBy("market", "shipping_mode").agg(rounded(mean("is_late_delivery") * 100).alias("rate"))
+    modes = sorted(r[0] for r in rates.select("shipping_mode").distinct().collect())  # column names of the result
+    return rates.groupBy("market").pivot("shipping_mode", modes).agg(F.first("rate")).orderBy("market")
 
 
 def sample(df: DataFrame, n: int = 20_000, seed: int = 42) -> DataFrame:

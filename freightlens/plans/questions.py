@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from freightlens.functions.features import PROFIT
 from freightlens.functions.numbers import mean, percent, ratio, rounded
 from freightlens.operators import ranking
+from freightlens.operators.distinct import with_distinct_counts
 from freightlens.plans.measures import (
     average, average_of, item_rows, margin_of, margin_pct, orders, rate_of, rows_of, sales_and_profit,
     sales_and_profit_of, subtotals, sum_of, total_of,
@@ -180,16 +181,16 @@ def market_profit_class(w: Warehouse) -> DataFrame:
 
 
 def labelled_products(w: Warehouse) -> DataFrame:
-    rows = w.attach(w.fact, "product", ["product_name", "category_name"], how="left")
-    return (
-        rows.groupBy(
-            F.coalesce("product_name", F.lit("Unknown Product")).alias("product_name"),
-            F.coalesce("category_name", F.lit("Unknown Category")).alias("category_name"),
-        )
-        .agg(orders(), F.sum("order_item_quantity").alias("total_quantity"), *sales_and_profit())
-        .orderBy(by_sales(), "product_name", "category_name")
-        .limit(20)
-    )
+    names = ["product_name", "category_name"]
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        named = w.attach(rows, "product", names, how="left")
+        return named.fillna({"product_name": "Unknown Product", "category_name": "Unknown Category"})
+
+    per_key = subtotals(w.fact, ["product_key"], [SALES, PROFIT, "order_item_quantity"])
+    groups = labelled(per_key).groupBy(*names).agg(sum_of("order_item_quantity").alias("total_quantity"), *sales_and_profit_of())
+    counted = with_distinct_counts(groups, w.fact, names, {"total_orders": "order_id"}, by=["product_key"], attach=labelled)
+    return counted.orderBy(by_sales(), *names).limit(20)
 
 
 def month_status(w: Warehouse) -> DataFrame:
@@ -365,17 +366,17 @@ def _per_product_name(w: Warehouse, measure: str, name: str) -> DataFrame:
 def number_products(w: Warehouse) -> DataFrame:
     products = _per_product_name(w, SALES, "total_sales")
     order = [by_sales(), F.asc("product_name")]
-    return ranking.row_number(w.workspace, products, order, "row_num", w.dim_rows("product"))
+    return ranking.row_number(w.workspace, products, order, "row_num")
 
 
 def rank_products(w: Warehouse) -> DataFrame:
     products = _per_product_name(w, PROFIT, "total_profit")
-    return ranking.rank(w.workspace, products, "total_profit", "profit_rank", w.dim_rows("product"))
+    return ranking.rank(w.workspace, products, "total_profit", "profit_rank")
 
 
 def rank_categories(w: Warehouse) -> DataFrame:
     categories = _sales_by(w, "category", ["category_name"]).groupBy("category_name").agg(sum_of(SALES).alias("total_sales"))
-    return ranking.rank(w.workspace, categories, "total_sales", "sales_rank", w.dim_rows("category"), dense=True)
+    return ranking.rank(w.workspace, categories, "total_sales", "sales_rank", dense=True)
 
 
 def rank_categories_in_market(w: Warehouse) -> DataFrame:
@@ -383,8 +384,7 @@ def rank_categories_in_market(w: Warehouse) -> DataFrame:
     per_key = w.attach(w.attach(per_key, "geography", ["market"]), "category", ["category_name"])
     sold = per_key.groupBy("market", "category_name").agg(sum_of(SALES).alias("total_sales"))
     order = [by_sales(), F.asc("category_name")]
-    # a market lists each category name once, so its window is no longer than the category dimension
-    return ranking.row_number(w.workspace, sold, order, "market_rank", w.dim_rows("category"), ["market"])
+    return ranking.row_number(w.workspace, sold, order, "market_rank", ["market"])
 
 
 def previous_month(w: Warehouse) -> DataFrame:
@@ -414,7 +414,7 @@ def moving_average(w: Warehouse) -> DataFrame:
 def customer_quartiles(w: Warehouse) -> DataFrame:
     sold = _sales_by(w, "customer", ["customer_id"]).groupBy("customer_id").agg(sum_of(SALES).alias("total_sales"))
     order = [by_sales(), F.asc_nulls_first("customer_id")]
-    return ranking.ntile(w.workspace, sold, 4, order, "sales_quartile", w.dim_rows("customer"))
+    return ranking.ntile(w.workspace, sold, 4, order, "sales_quartile")
 
 
 def first_and_last_month(w: Warehouse) -> DataFrame:
@@ -471,7 +471,7 @@ def high_value_customers(w: Warehouse) -> DataFrame:
 
 def category_profit_rank(w: Warehouse) -> DataFrame:
     per_key = w.fact.groupBy("category_key").agg(F.sum(SALES).alias("_sales"), F.sum(PROFIT).alias("_profit"))
-    ranked = ranking.rank(w.workspace, per_key, "_profit", "profit_rank", w.dim_rows("category"), dense=True)
+    ranked = ranking.rank(w.workspace, per_key, "_profit", "profit_rank", dense=True)
     return (
         w.attach(ranked, "category", ["category_name", "department_name"])
         .select(

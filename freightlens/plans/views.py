@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from freightlens.functions.features import PROFIT
 from freightlens.functions.numbers import ratio, rounded
+from freightlens.operators.distinct import with_distinct_counts
 from freightlens.plans.measures import (
-    average, average_of, item_rows, margin_of, margin_pct, order_value, orders, rate_of, rate_pct,
+    average, average_of, item_rows, margin_of, margin_pct, order_value, orders, rate_of, rate_pct, rows_of,
     sales_and_profit, sales_and_profit_of, subtotals, sum_of,
 )
 from freightlens.plans.warehouse import Warehouse
@@ -61,32 +62,30 @@ MONTH = ["calendar_year", "calendar_month", "month_name", "calendar_year_month"]
 
 def monthly_sales_trend(w: Warehouse) -> DataFrame:
     known = w.fact.where("order_date_key <> 0")
-    return (
-        w.attach(known, "date", MONTH, on="order_date_key")
-        .groupBy(*MONTH)
-        .agg(
-            item_rows(), orders(), F.count_distinct("customer_key").alias("total_customers"),
-            *sales_and_profit(), margin_pct(), order_value(),
-            rate_pct("is_late_delivery", "late_delivery_rate_pct"),
-        )
+    dated = lambda rows: w.attach(rows, "date", MONTH, on="order_date_key")
+    months = dated(subtotals(known, ["order_date_key"], ["sales", PROFIT, "is_late_delivery"])).groupBy(*MONTH).agg(
+        rows_of(), *sales_and_profit_of(), margin_of(), rate_of("is_late_delivery", "late_delivery_rate_pct"), sum_of("sales").alias("_sales")
     )
+    counts = {"total_orders": "order_id", "total_customers": "customer_key"}
+    return _with_order_value(with_distinct_counts(months, known, MONTH, counts, by=["order_date_key"], attach=dated))
+
+
+def _with_order_value(groups: DataFrame) -> DataFrame:
+    value = rounded(ratio(F.col("_sales"), F.col("total_orders"))).alias("average_order_value")
+    return groups.select("*", value).drop("_sales")
 
 
 def category_performance(w: Warehouse) -> DataFrame:
-    per_key = (
-        w.fact.where("category_key <> 0")
-        .groupBy("category_key")
-        .agg(
-            item_rows(), orders(),
-            F.count_distinct("customer_key").alias("total_customers"),
-            F.count_distinct("product_key").alias("total_products"),
-            *sales_and_profit(), margin_pct(),
-            average("order_item_discount", "average_discount_amount"),
-            average("discount_rate_pct", "average_discount_rate_pct"),
-            rate_pct("is_late_delivery", "late_delivery_rate_pct"),
-            rate_pct("is_loss_item", "loss_item_rate_pct"),
-        )
+    known = w.fact.where("category_key <> 0")
+    per_key = known.groupBy("category_key").agg(
+        item_rows(), *sales_and_profit(), margin_pct(),
+        average("order_item_discount", "average_discount_amount"),
+        average("discount_rate_pct", "average_discount_rate_pct"),
+        rate_pct("is_late_delivery", "late_delivery_rate_pct"),
+        rate_pct("is_loss_item", "loss_item_rate_pct"),
     )
+    counts = {"total_orders": "order_id", "total_customers": "customer_key", "total_products": "product_key"}
+    per_key = with_distinct_counts(per_key, known, ["category_key"], counts)
     return w.attach(per_key, "category", ["category_id", "category_name", "department_id", "department_name"])
 
 
@@ -190,16 +189,15 @@ def geography_performance(w: Warehouse) -> DataFrame:
 
 
 def market_performance(w: Warehouse) -> DataFrame:
-    return (
-        w.attach(w.fact.where("geography_key <> 0"), "geography", ["market"])
-        .groupBy("market")
-        .agg(
-            item_rows(), orders(), F.count_distinct("customer_key").alias("total_customers"),
-            *sales_and_profit(), margin_pct(), order_value(),
-            rate_pct("is_late_delivery", "late_delivery_rate_pct"),
-            average("shipping_delay_days", "average_delay_days"),
-        )
+    known = w.fact.where("geography_key <> 0")
+    placed = lambda rows: w.attach(rows, "geography", ["market"])
+    per_key = subtotals(known, ["geography_key"], ["sales", PROFIT, "is_late_delivery", "shipping_delay_days"])
+    markets = placed(per_key).groupBy("market").agg(
+        rows_of(), *sales_and_profit_of(), margin_of(), rate_of("is_late_delivery", "late_delivery_rate_pct"),
+        average_of("shipping_delay_days", "average_delay_days"), sum_of("sales").alias("_sales"),
     )
+    counts = {"total_orders": "order_id", "total_customers": "customer_key"}
+    return _with_order_value(with_distinct_counts(markets, known, ["market"], counts, by=["geography_key"], attach=placed))
 
 
 def profitability_analysis(w: Warehouse) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from freightlens.functions import features
 from freightlens.operators import cleaning
-from freightlens.operators.joins import lookup_join
+from freightlens.operators.joins import lookup_join, small_enough
 from freightlens.plans import dims, facts, staging
 from freightlens.plans.dims import DIMENSIONS
 from freightlens.plans.profiling import type_numbers
@@ -126,18 +126,13 @@ class Warehouse:
         return self.dims[f"dim_{name}"]
 
     @cached_property
-    def _dim_rows(self) -> dict[str, int]:
+    def _small(self) -> dict[tuple[str, ...], bool]:
         return {}
 
-    def dim_rows(self, name: str) -> int:
-        """Size of a dimension, read once from the file footers."""
-        if name not in self._dim_rows:
-            self._dim_rows[name] = self.dim(name).count()
-        return self._dim_rows[name]
-
     def attach(self, rows: DataFrame, name: str, take: list[str], on: str | None = None, how: str = "inner") -> DataFrame:
         """Join a dimension's columns to fact rows or to subtotals by surrogate key."""
         key = DIMENSIONS[f"dim_{name}"].key
-        return lookup_join(
-            rows, self.dim(name), [(on or key, key)], take, how=how, lookup_rows=self.dim_rows(name)
-        )
+        used = (name, *take)
+        if used not in self._small:
+            self._small[used] = small_enough(self.dim(name).select(key, *take))
+        return lookup_join(rows, self.dim(name), [(on or key, key)], take, how=how, small=self._small[used])

@@ -6,16 +6,11 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from freightlens.operators import cleaning, joins, ranking, rules
-from freightlens.plans import dims, staging
-
-
-@pytest.fixture
-def many(monkeypatch):
-    """Take the paths meant for inputs beyond one task."""
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 0)
+from freightlens.operators import cleaning, distinct, joins, ranking, rules
+from freightlens.plans import dims, facts, staging
 
 
 def frame(spark, n=500, seed=3):
@@ -31,29 +26,60 @@ def test_dense_index(spark, ws):
 
 
 @pytest.mark.parametrize("partition", [(), ("grp",)])
-def test_row_number_same_on_both_paths(spark, ws, monkeypatch, partition):
-    _, df = frame(spark)
+def test_row_number(spark, ws, partition):
+    rows, df = frame(spark)
     order = [F.desc("v"), F.asc("id")]
-    small = {r["id"]: r["n"] for r in ranking.row_number(ws, df, order, "n", 500, partition).collect()}
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 0)
-    assert {r["id"]: r["n"] for r in ranking.row_number(ws, df, order, "n", 500, partition).collect()} == small
+    got = {r["id"]: r["n"] for r in ranking.row_number(ws, df, order, "n", partition).collect()}
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    assert got == {r["id"]: r["n"] for r in want.collect()} and len(got) == len(rows)
 
 
 @pytest.mark.parametrize("dense", [False, True])
-def test_rank_same_on_both_paths(spark, ws, monkeypatch, dense):
+def test_rank(spark, ws, dense):
+    """Ties, a value that a third of the rows share, and missing values, which come last."""
+    rows, df = frame(spark)
+    df = df.withColumn("v", F.when(F.col("id") % 3 == 0, 17).when(F.col("id") % 50 != 1, F.col("v")))
+    got = {r["id"]: r["n"] for r in ranking.rank(ws, df, "v", "n", dense).collect()}
+    want = df.withColumn("n", (F.dense_rank() if dense else F.rank()).over(Window.orderBy(F.desc("v"))))
+    assert got == {r["id"]: r["n"] for r in want.collect()} and len(got) == len(rows)
+
+
+def test_rank_of_nothing(spark, ws):
+    assert ranking.rank(ws, spark.createDataFrame([], "id long, v long"), "v", "n").count() == 0
+
+
+def test_ranks_put_no_rows_into_one_task(spark, ws):
+    """Windows run per range partition, never over everything."""
     _, df = frame(spark)
-    small = {r["id"]: r["n"] for r in ranking.rank(ws, df, "v", "n", 500, dense).collect()}
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 0)
-    assert {r["id"]: r["n"] for r in ranking.rank(ws, df, "v", "n", 500, dense).collect()} == small
+    for made in (ranking.rank(ws, df, "v", "n"), ranking.row_number(ws, df, [F.asc("id")], "n"), ranking.ntile(ws, df, 4, [F.asc("id")], "n")):
+        assert "SinglePartition" not in made._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("n", [2, 4, 10, 13])
-def test_ntile_same_on_both_paths(spark, ws, monkeypatch, n):
+def test_ntile(spark, ws, n):
     _, df = frame(spark, n)
     order = [F.desc("v"), F.asc("id")]
-    small = {r["id"]: r["n"] for r in ranking.ntile(ws, df, 4, order, "n", n).collect()}
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 0)
-    assert {r["id"]: r["n"] for r in ranking.ntile(ws, df, 4, order, "n", n).collect()} == small
+    got = {r["id"]: r["n"] for r in ranking.ntile(ws, df, 4, order, "n").collect()}
+    assert got == {r["id"]: r["n"] for r in df.withColumn("n", F.ntile(4).over(Window.orderBy(*order))).collect()}
+
+
+def test_distinct_counts_by_bitmaps(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([1, 2, 3]), rnd.choice([None, *range(-200, 200), 2**40 + 1]), rnd.randrange(70)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, k long, x long, y int").repartition(4)
+    names = spark.createDataFrame([(1, "p"), (2, "p"), (3, None)], "id long, label string")
+    attach = lambda part: part.join(names, part["k"] == names["id"]).drop("id")
+    want = {r.g: (r.a, r.b) for r in df.groupBy("g").agg(F.count_distinct("x").alias("a"), F.count_distinct("y").alias("b")).collect()}
+    groups = df.groupBy("g").agg(F.count("*").alias("n"))
+    got = distinct.with_distinct_counts(groups, df, ["g"], {"a": "x", "b": "y"})
+    assert {r.g: (r.a, r.b) for r in got.collect()} == want and "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    labelled = attach(df)
+    want = {r.label: r.a for r in labelled.groupBy("label").agg(F.count_distinct("x").alias("a")).collect()}
+    groups = labelled.groupBy("label").agg(F.count("*").alias("n"))
+    got = distinct.with_distinct_counts(groups, df, ["label"], {"a": "x"}, by=["k"], attach=attach)
+    assert {r.label: r.a for r in got.collect()} == want
+    none = df.withColumn("x", F.lit(None).cast("long"))
+    assert {r.a for r in distinct.with_distinct_counts(groups, attach(none), ["label"], {"a": "x"}).collect()} == {0}
 
 
 @pytest.mark.parametrize("buckets", [3, 2**18])
@@ -96,22 +122,35 @@ def test_sales_tiers_as_qcut_of_first_ranks(spark, n):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("limits", [(10**6, 10**6), (0, 10**6), (0, 50)])
-def test_lookup_join(spark, how, limits):
-    """Broadcast, shuffled, and shuffled with hot keys dealt out: a third of the rows share one key."""
+@pytest.mark.parametrize("small", [True, False, None])
+def test_lookup_join(spark, how, small):
+    """Broadcast, and shuffled: a third of the rows share one key."""
     rows = [(i, 1 if i % 3 == 0 else (None if i % 7 == 0 else i % 20)) for i in range(600)]
     df = spark.createDataFrame(rows, "id long, k long")
     lookup = spark.createDataFrame([(k, f"name{k}") for k in [None, *range(15)]], "key long, name string")
     for null_safe in (False, True):
-        got = joins.lookup_join(
-            df, lookup, [("k", "key")], ["name"], null_safe=null_safe, how=how, broadcast_rows=limits[0], hot_rows=limits[1]
-        )
+        got = joins.lookup_join(df, lookup, [("k", "key")], ["name"], null_safe=null_safe, how=how, small=small)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (small is not False) and ("SortMergeJoin" in plan) == (small is False)
         assert got.columns == ["id", "k", "name"]
         known = lambda k: (k is None and null_safe) or (k is not None and k < 15)
         want = {(i, k, f"name{k}" if known(k) else None) for i, k in rows if known(k) or how == "left"}
         assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
 
 
+def test_bytes_decide_on_a_broadcast(spark):
+    lookup = spark.createDataFrame([(k, "x" * 1000) for k in range(100)], "key long, name string")
+    assert joins.small_enough(lookup) and not joins.small_enough(lookup, 100_000)
+    assert joins.small_enough(lookup.select("key"), 10_000) and joins.small_enough(lookup.limit(0), 0)
+
+
+def test_no_lookup_reads_the_rows_to_count_them(spark, warehouse, monkeypatch):
+    """The plan of the fact load has no grouping of rows below its joins, broadcast or not."""
+    monkeypatch.setattr(joins, "small_enough", lambda lookup: False)
+    plan = facts.resolve_keys(warehouse.batch, warehouse.dims)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 7 and "Aggregate [_probe" not in plan and "_hot" not in plan
+
+
 def test_keep_fullest_row(spark):
     rows = [(1, None, "a"), (1, "x", "b"), (1, "x", "a"), (2, None, None), (None, "n", None), (None, "n", "m")]
     df = spark.createDataFrame(rows, "order_item_id long, p string, q string")
@@ -165,9 +204,7 @@ def test_repeated_rows_and_copies(spark):
 # ---- dimensions in two loads ---------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_upsert_keeps_keys(spark, ws, monkeypatch, limit):
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", limit)
+def test_upsert_keeps_keys(spark, ws):
     dim = dims.DIMENSIONS["dim_category"]
     layout = "category_id int, category_name string, department_id int, department_name string"
     first = spark.createDataFrame([(30, "c", 1, "x"), (10, "a", 1, "x")], layout)
