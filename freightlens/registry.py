@@ -397,6 +397,14 @@ def _ready_file(w: Warehouse) -> str:
     return sinks.export_ready(w.ready, w.workspace.path(w.workspace.fresh("ready_csv")))
 
 
+def _exported(w: Warehouse) -> DataFrame:
+    """The ready items written as CSV and read back, each column in the kind it was written from."""
+    shown = sinks.as_text(w.ready)
+    path = sinks.export(w.ready, w.workspace.path(w.workspace.fresh("export")))
+    read = csv.read_text_csv(w.spark, path, ("utf-8",))
+    return read.select(*[F.col(c).cast(t).alias(c) for c, t in shown.dtypes])
+
+
 def _derived_file(w: Warehouse) -> DataFrame:
     """The analytics-ready file found as the second of two candidate paths."""
     path = _ready_file(w)
@@ -512,7 +520,7 @@ _add("src_csv_raw", _raw_file)
 _add("src_csv_clean", _derived_file)
 _add("src_staging_load", _loaded_from_file, drop=("staging_row_id",))
 _add("src_reject_rows", _rejects)
-_add("sink_csv", lambda w: sinks.as_text(w.ready))
+_add("sink_csv", _exported)
 _add("sink_readback", _read_back)
 _add("sink_reports", _reports)
 _add("etl_run_log", _run_log)

@@ -17,8 +17,8 @@ from freightlens.plans.staging import number_rows, store
 from freightlens.schemas import READY_FIELDS, READY_HEADERS
 from freightlens.session import Workspace
 
-# Spark's names for the accepted encodings. ISO-8859-1 decodes any bytes.
-CHARSETS = {"utf-8": "UTF-8", "latin-1": "ISO-8859-1"}
+# Spark's names for the accepted encodings. ISO-8859-1 decodes any bytes; cp1252 is read as it and then corrected.
+CHARSETS = {"utf-8": "UTF-8", "latin-1": "ISO-8859-1", "cp1252": "ISO-8859-1"}
 STAGED_NAMES = {"days_for_shipping": "days_for_shipping_real", "days_for_shipment": "days_for_shipment_scheduled"}
 # Customer dates come in two layouts only, without the bare date.
 STAMPS_ONLY = ("customer_first_order_date", "customer_last_order_date")
@@ -45,11 +45,20 @@ def inspect(spark: SparkSession, path: str) -> tuple[bool, bool]:
     return found["utf8"] is not False, bool(found["open"])
 
 
+def _as_cp1252(df: DataFrame) -> DataFrame:
+    """Text decoded as ISO-8859-1 as it reads in cp1252: the bytes 0x80 to 0x9F are letters and signs there, but for five that stay controls."""
+    signs = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    signs = {latin: sign for latin, sign in signs.items() if sign}
+    table = str.maketrans(signs)
+    names = [c.translate(table) for c in df.columns]
+    return df.select(*[F.translate(F.col(f"`{c}`"), "".join(signs), "".join(signs.values())).alias(n) for c, n in zip(df.columns, names)])
+
+
 def read_text_csv(spark: SparkSession, path: str, encodings: Sequence[str] = ("latin-1",)) -> DataFrame:
     """All columns as text, decoded with the first encoding that fits."""
     valid_utf8, multi_line = inspect(spark, path)
     encoding = next((e for e in encodings if e != "utf-8" or valid_utf8), "latin-1")
-    return (
+    df = (
         spark.read.option("header", True)
         .option("encoding", CHARSETS[encoding])
         .option("multiLine", multi_line)
@@ -57,10 +66,12 @@ def read_text_csv(spark: SparkSession, path: str, encodings: Sequence[str] = ("l
         .option("escape", '"')
         .csv(path)
     )
+    return _as_cp1252(df) if encoding == "cp1252" else df
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_text_csv(spark, path, ("latin-1", "utf-8"))
+def read_raw_csv(spark: SparkSession, path: str, encodings: Sequence[str] = ("latin-1", "utf-8", "cp1252")) -> DataFrame:
+    """The first encoding decides as long as it is latin-1 or cp1252, which decode any file."""
+    return read_text_csv(spark, path, encodings)
 
 
 def read_derived_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -25,6 +25,18 @@ def test_latin_and_utf8_files(spark, tmp_path):
         csv.first_existing(spark, [str(tmp_path / "none.csv")])
 
 
+def test_cp1252_file(spark, tmp_path):
+    path = tmp_path / "cp1252.csv"
+    path.write_bytes('name,price €\n"„José“ – ‚J‘",5 €\nŒuvre™,é\n'.encode("cp1252"))
+    got = csv.read_raw_csv(spark, str(path), ("utf-8", "cp1252"))
+    assert got.columns == ["name", "price €"]
+    assert {tuple(r) for r in got.collect()} == {("„José“ – ‚J‘", "5 €"), ("Œuvre™", "é")}
+    assert csv.read_raw_csv(spark, str(path)).first()[1] == "5 \x80"  # latin-1 comes first and decodes anything
+    utf8 = tmp_path / "utf8.csv"
+    utf8.write_text("name\n€\n")
+    assert csv.read_raw_csv(spark, str(utf8), ("utf-8", "cp1252")).first()[0] == "€"
+
+
 def test_records_over_several_lines(spark, ws, tmp_path):
     path = tmp_path / "lines.csv"
     path.write_text('a,b\n1,"two\nlines"\n2,x\n')
