@@ -6,7 +6,9 @@ writes one archive under a name of its own and renames it, so a repeated task le
 
 Reading: a task gets (archive, from, to), looks for the gzip magic from `from` on, takes a place for a member if it
 inflates to a WARC header, and owns the records that start before `to`; the last of them is read beyond `to`. Where archives are
-cut does not matter. Payloads are UTF-8 text, which cannot contain the magic bytes.
+cut does not matter. Payloads are UTF-8 text, which cannot contain the magic bytes. Within a range every record must begin where the one
+before it ends, and so must the first one after it: a record whose header, content or end is damaged ends the job with
+DamagedArchive and its place, whichever task finds it, and is never passed over.
 
 Null html is an empty payload, a null url leaves the target out. Rows that repeat the smallest page_id and its payload are
 responses, too. Only page_id, url and html are read. Archives go to any file system that pyarrow can open by its URI.
@@ -116,30 +118,50 @@ def _inflated(source, at: int, size: int, most: int | None = None) -> tuple[byte
     return b"".join(out), place - len(unpacker.unused_data)
 
 
+class DamagedArchive(ValueError):
+    """A place where a record must begin, or go on, holds something else."""
+
+
+def _begins(source, at: int, size: int) -> bool:
+    """Whether a record begins at a place: gzip magic, and content that begins like a WARC header."""
+    if source.read_at(min(len(MAGIC), size - at), at) != MAGIC:
+        return False
+    try:
+        return _inflated(source, at, size, 8)[0].startswith(b"WARC/1.")
+    except zlib.error:
+        return False
+
+
 def records_of(source, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(place, content) of the records that start in [start, end) of an archive opened for random access."""
-    size, at = source.size(), start
-    while at < end:
-        data = source.read_at(min(LOOK, size - at), at)
-        found = data.find(MAGIC)
-        if found < 0:
-            if at + len(data) >= size:
+    """(place, content) of the records that start in [start, end) of an archive opened for random access.
+
+    In front of the first record, magic that leads to no WARC header is chance. From then on every record begins where the one before it ends,
+    the one after the range included; anything else there, and a record that does not unpack, raises DamagedArchive.
+    """
+    size, at, due = source.size(), start, start == 0
+    while at < min(end, size):
+        if not due:
+            data = source.read_at(min(LOOK, size - at), at)
+            found = data.find(MAGIC)
+            if found < 0:
+                at += max(1, len(data) - len(MAGIC) + 1)
+                continue
+            at += found
+            if at >= end:
                 return
-            at += max(1, len(data) - len(MAGIC) + 1)
-            continue
-        at += found
-        if at >= end:
-            return
+            if not _begins(source, at, size):
+                at += 1
+                continue
+        elif not _begins(source, at, size):
+            raise DamagedArchive(f"no record begins at byte {at}")
         try:
-            head, _ = _inflated(source, at, size, 8)
-            if not head.startswith(b"WARC/1."):
-                raise zlib.error("no WARC header")
             content, behind = _inflated(source, at, size)
-        except zlib.error:
-            at += 1
-            continue
+        except zlib.error as error:
+            raise DamagedArchive(f"the record at byte {at} is damaged: {error}") from error
         yield at, content
-        at = behind
+        at, due = behind, True
+    if due and at < size and not _begins(source, at, size):
+        raise DamagedArchive(f"no record begins at byte {at}")
 
 
 def parsed(content: bytes) -> tuple:

@@ -406,6 +406,14 @@ def test_toxicity(spark, documents):
     assert {row.score for row in toxicity.toxicity(steps(spark), docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_of_no_documents_and_repeated_ids(spark, documents):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    docs = documents([" ".join(prose(40, n) + ["idiot"] * (n % 2)) for n in range(40)] + ["same words"] * 3, ids=[*range(40), 50, 50, None])
+    assert toxicity.toxicity(steps(spark), docs.limit(0), labels).count() == 0
+    got = toxicity.toxicity(steps(spark), docs, labels).collect()
+    assert len(got) == 43 and len({r.score for r in got if r.doc_id in (50, None)}) == 1
+
+
 def test_toxicity_held_out(spark):
     toxic = {r[0]: r[2] for r in rows("/root/testdata/sf0.01", "labels")}
     got = [r for r in QUERIES["op5_noisy_channel_toxicity"](spark, "/root/testdata/sf0.01").collect() if r.doc_id in toxic]
@@ -440,6 +448,33 @@ def test_warc(spark):
     assert warc.read_archives(warc.write_archives(ws, empty, ws.path("none"))).count() == 0
 
 
+def test_damaged_archives_are_noticed(spark, tmp_path):
+    """Any record with a changed byte in its header or content, cut off or with something in between raises, for every way of splitting."""
+    pages = [(i, f"http://h/{i}", " ".join(prose(200, i))) for i in range(6)]
+    ws = steps(spark)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    paths = [r.path for r in warc.write_archives(ws, df, ws.path("whole")).collect()]
+    whole = max((open(p.removeprefix("file:"), "rb").read() for p in paths), key=len)
+
+    def read(data, split):
+        target = tmp_path / f"{random.random()}.warc.gz"
+        target.write_bytes(data)
+        return warc.read_archives(spark.createDataFrame([(f"file:{target}", len(data))], "path string, bytes long"), split).collect()
+
+    starts = sorted(r["at"] for r in read(whole, 1 << 20))
+    assert starts[0] == 0 and len(starts) > 1
+    last, first = starts[-1], starts[1]
+    flipped = lambda at: whole[:at] + bytes([whole[at] ^ 0xFF]) + whole[at + 1 :]
+    damaged = [flipped(0), flipped(first), flipped(first + 1), flipped(first + 150), flipped(last - 3), flipped(len(whole) - 2), whole[:-1], whole[: last + 40],
+               whole[:first] + b"between" + whole[first:], whole + b"\0"]
+    for split in (1 << 20, 500):
+        assert len(read(whole, split)) == len(starts)
+        for n, data in enumerate(damaged):
+            with pytest.raises(Exception, match="DamagedArchive"):
+                read(data, split)
+                pytest.fail(f"case {n} with ranges of {split}")
+
+
 def test_warc_on_the_tables(spark):
     assert sorted(tuple(r) for r in QUERIES["op6_splittable_warc"](spark, FOLDER).collect()) == brute_warc(rows(FOLDER, "pages"))
 
@@ -528,6 +563,12 @@ ODD = ["", " ", "a  b", "a \n b\n\n  c ", " lead", "tab\t x   y  z", "<|endoftex
 
 def test_ids_are_those_of_the_whole_text(tokenizer):
     texts = ODD + [r[1] for r in rows(FOLDER, "documents")]
+    few = token_files.PieceIds(token_files.VOCABULARY, most=20)
+    for n in range(0, 60, 6):  # forgets the older half again and again
+        few.learn({f" w{k}" for k in range(n, n + 9)})
+        assert all(few[f" w{k}"] == np.array(tokenizer.encode(f" w{k}", add_special_tokens=False).ids, "<u2").tobytes() for k in range(n, n + 9))
+        assert len(few) <= 29
+    assert list(token_files.encode([])) == []
     for t, ids in zip(texts, token_files.encode(texts)):
         assert tokenizer.encode(t, add_special_tokens=False).ids + [2] == ids.tolist(), repr(t[:50])
 
