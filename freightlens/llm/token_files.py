@@ -23,6 +23,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ LEAST_USES = 8
 GAIN = 0.02
 LIMIT = 1 << 16
 NO_ID = -(1 << 63)
+TOGETHER = 1 << 20  # characters of texts whose new pieces are encoded together
+CALL = 2000  # pieces handed to the tokenizer at once
 
 
 class PieceIds(dict):
@@ -59,12 +62,15 @@ class PieceIds(dict):
             raise ValueError("ids do not fit 16 bits")
 
     def learn(self, pieces: set[str]) -> None:
+        """Encode the pieces not known yet, some thousand in a call; of too many the half held longest goes first."""
+        if len(self) + len(pieces) > self.most:
+            for piece in list(islice(self, len(self) // 2)):
+                del self[piece]
         new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > self.most:
-            self.clear()
-            new = list(pieces)
-        for piece, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[piece] = np.array(encoded.ids, "<u2").tobytes()
+        for at in range(0, len(new), CALL):
+            some = new[at : at + CALL]
+            for piece, encoded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self[piece] = np.array(encoded.ids, "<u2").tobytes()
 
 
 _known: dict[str, PieceIds] = {}
@@ -84,10 +90,16 @@ def encode(texts: list[str | None], vocabulary: str = VOCABULARY) -> Iterator[np
     if vocabulary not in _known:
         _known[vocabulary] = PieceIds(vocabulary)
     known, end = _known[vocabulary], np.array([END_ID], "<u2").tobytes()
-    for text in texts:
-        pieces = pieces_of(text.encode("utf-8", "replace").decode()) if text else []
-        known.learn(set(pieces))
-        yield np.frombuffer(b"".join(map(known.__getitem__, pieces)) + end, "<u2")
+    cut, size = [], 0
+    for n, text in enumerate(texts, 1):
+        cut.append(pieces_of(text.encode("utf-8", "replace").decode()) if text else [])
+        size += len(text or "")
+        if size < TOGETHER and n < len(texts):
+            continue
+        known.learn(set().union(*cut))
+        for pieces in cut:
+            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)) + end, "<u2")
+        cut, size = [], 0
 
 
 def compress(ids: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
