@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
+from math import log1p
 
 import numpy as np
 import pyarrow as pa
@@ -74,9 +75,9 @@ def gram_counts(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
+    found = in_batches(docs.select("text"), work, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(32**ORDER)
-    for gram, n in in_batches(docs.select("text"), work, "gram long, n long").groupBy("gram").agg(F.sum("n")).collect():
-        counts[gram] = n
+    counts[found["gram"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 
@@ -95,13 +96,18 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.model = model
+        self.flat = memoryview(np.ascontiguousarray(model).reshape(-1))  # plain floats, without an array scalar for each
+        self.spelled = Remembered(lambda letter: _SYMBOL[list(letter.encode("utf-8", "surrogatepass"))].tolist(), 50_000)
+
+    def __reduce__(self):
+        return Restorer, (self.model,)
 
     def _emit(self, state: tuple[int, int, int], letter: str) -> tuple[float, tuple[int, int, int]]:
-        gain, spelled = 0.0, letter.encode("utf-8", "surrogatepass")
-        for s in _SYMBOL[list(spelled)].tolist():
-            gain += float(self.model[(*state, s)])
-            state = (state[1], state[2], s)
-        return gain, state
+        gain, (a, b, c), flat = 0.0, state, self.flat
+        for s in self.spelled[letter]:
+            gain += flat[((a * 32 + b) * 32 + c) * 32 + s]
+            a, b, c = b, c, s
+        return gain, (a, b, c)
 
     def viterbi(self, token: str) -> str:
         opens, closes = len(token) - len(token.lstrip(EDGES)), len(token.rstrip(EDGES))
@@ -189,25 +195,29 @@ def held_out(doc_id) -> F.Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1
 
 
-def choose_features(sample: DataFrame, restorer: Restorer, most: int = FEATURES) -> np.ndarray:
-    """The buckets whose presence says most about the label (chi square), as bucket -> place or -1."""
+def sample_features(ws: Workspace, sample: DataFrame, restorer: Restorer) -> DataFrame:
+    """(at, n, toxic) per row of the sample: its feature buckets and how often each occurs. Written, as both steps of the training read it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Remembered(lambda token: word_features(restorer.word(token)))
-        found = np.zeros((2, (1 << FEATURE_BITS) + 1), np.int64)
         for batch in batches:
-            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-                row = found[1 if toxic else 0]
-                row[list(_counted(text, features))] += 1
-                row[-1] += 1
-        at = np.flatnonzero(found.sum(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, found[0][at], found[1][at])], ["f", "clean", "toxic"])
-
-    rows = in_batches(sample, work, "f long, clean long, toxic long").groupBy("f").agg(F.sum("clean"), F.sum("toxic")).collect()
-    n = np.zeros((2, (1 << FEATURE_BITS) + 1))
-    for f, clean, toxic in rows:  # 2^18 at most
-        n[:, f] = clean, toxic
-    totals, n = n[:, -1:], n[:, :-1]
+            texts, toxic = (c.to_pylist() for c in batch.columns)
+            found = [_counted(t, features) for t in texts]
+            at = pa.array([list(f) for f in found], pa.list_(pa.int32()))
+            n = pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([at, n, pa.array([int(bool(t)) for t in toxic], pa.int32())], ["at", "n", "toxic"])
+
+    return ws.write(in_batches(sample, work, "at array<int>, n array<int>, toxic int"), ws.fresh("features"))
+
+
+def choose_features(rows: DataFrame, most: int = FEATURES) -> np.ndarray:
+    """The buckets whose presence says most about the label (chi square), as bucket -> place or -1."""
+    toxic = F.sum("toxic").alias("toxic")
+    found = rows.select(F.explode("at").alias("f"), "toxic").groupBy("f").agg(F.count("*").alias("rows"), toxic).toArrow()  # 2^18 at most
+    whole = rows.agg(F.count("*").alias("rows"), F.coalesce(toxic, F.lit(0)).alias("toxic")).first()
+    n, totals = np.zeros((2, 1 << FEATURE_BITS)), np.array([[whole["rows"] - whole["toxic"]], [whole["toxic"]]], np.float64)
+    at, held, bad = (found[c].to_numpy() for c in ("f", "rows", "toxic"))
+    n[:, at] = held - bad, bad
     share = n.sum(axis=0) / max(totals.sum(), 1)
     expected = totals * share
     chi = ((n - expected) ** 2 / np.maximum(expected * (1 - share), 1e-9)).sum(axis=0) * (n.sum(axis=0) >= 3)
@@ -218,31 +228,31 @@ def choose_features(sample: DataFrame, restorer: Restorer, most: int = FEATURES)
     return place
 
 
-def fit(sample: DataFrame, restorer: Restorer, place: np.ndarray, rounds: int = 300, decay: float = 2e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression over log(1 + count), by full-batch Adam on the bounded sample."""
+def fit(rows: DataFrame, place: np.ndarray, rounds: int = 300, decay: float = 2e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression over log(1 + count), by full-batch Adam on the features of the bounded sample."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Remembered(lambda token: [p for f in word_features(restorer.word(token)) if (p := int(place[f])) >= 0])
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, toxic = (c.to_pylist() for c in batch.columns)
-            found = [_counted(t, features) for t in texts]
-            at = pa.array([list(f) for f in found], pa.list_(pa.int32()))
-            n = pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([at, n, pa.array(toxic, pa.int32())], ["at", "n", "toxic"])
-
-    rows = in_batches(sample, work, "at array<int>, n array<int>, toxic int").collect()
+            lists = batch.column("at")
+            at, n = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("at", "n"))
+            keep = place[at] >= 0
+            ends = np.r_[0, np.cumsum(keep)][np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]]
+            made = [pa.ListArray.from_arrays(ends.astype(np.int32), v[keep].astype(np.int32)) for v in (place[at], n)]
+            yield pa.RecordBatch.from_arrays([*made, batch.column("toxic")], ["at", "n", "toxic"])
+
+    found = in_batches(rows, chosen, "at array<int>, n array<int>, toxic int").toArrow().combine_chunks()
     width = int(place.max()) + 1
     weights, bias = np.zeros(width), 0.0
-    if not rows:
+    if not found.num_rows:
         return weights, -np.inf
-    y = np.array([float(bool(r.toxic)) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(r.at) for r in rows])
-    at = np.array([x for r in rows for x in r.at], np.int64)
-    x = np.log1p(np.array([v for r in rows for v in r.n], np.float64))
+    y = found["toxic"].to_numpy().astype(np.float64)
+    at, n = (found[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "n"))
+    owner = np.repeat(np.arange(len(y)), np.diff(found["at"].combine_chunks().offsets.to_numpy()))
+    x = np.log1p(n.astype(np.float64))
     bias = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     theta, m, v = np.append(weights, bias), np.zeros(width + 1), np.zeros(width + 1)
     for i in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, theta[at] * x, len(rows)) + theta[-1], -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, theta[at] * x, len(y)) + theta[-1], -30, 30)))
         slope = np.append(np.bincount(at, ((p - y)[owner] * x), width) / len(y) + decay * theta[:-1], (p - y).mean())
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         theta -= 0.1 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-8)
@@ -250,6 +260,8 @@ def fit(sample: DataFrame, restorer: Restorer, place: np.ndarray, rounds: int =
 
 
 def score(docs: DataFrame, restorer: Restorer, place: np.ndarray, weights: np.ndarray, bias: float) -> DataFrame:
+    worth = weights.tolist()
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Remembered(lambda token: tuple(p for f in word_features(restorer.word(token)) if (p := int(place[f])) >= 0))
         for batch in batches:
@@ -260,7 +272,7 @@ def score(docs: DataFrame, restorer: Restorer, place: np.ndarray, weights: np.nd
                 for token, n in tokens.items():
                     for f in features[token]:
                         found[f] += n
-                total = bias + sum(float(weights[f]) * np.log1p(n) for f, n in found.items())
+                total = bias + sum(worth[f] * log1p(n) for f, n in found.items())
                 scores.append(float(1 / (1 + np.exp(-np.clip(total, -700, 700)))) if total > -np.inf else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
@@ -272,8 +284,9 @@ def toxicity(ws: Workspace, docs: DataFrame, labels: DataFrame, sample_size: int
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     restorer = Restorer(language_model(gram_counts(docs)))
     sample = training_sample(ws, docs, labels.select("doc_id", "toxic"), sample_size)
-    place = choose_features(sample, restorer)
-    return score(docs, restorer, place, *fit(sample, restorer, place))
+    rows = sample_features(ws, sample, restorer)
+    place = choose_features(rows)
+    return score(docs, restorer, place, *fit(rows, place))
 
 
 def op5_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
