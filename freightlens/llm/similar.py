@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.llm.components import components
+from freightlens.operators.joins import small_enough
 from freightlens.session import Workspace
 
-STARS = 4
+STARS = 2
 ROUNDING = 1e-6
 
 
@@ -61,23 +62,22 @@ def similar_components(
 ) -> DataFrame | None:
     """(node, component) of nodes linked by a Jaccard similarity of `threshold` or more; None if nothing is linked.
 
-    `banded` (band, node, n) has a row per band key of a node with n elements, repeats allowed; `content_of` turns a
+    `banded` (band, node, n) has a row per band key of a node with n elements; `content_of` turns a
     table of nodes into (node, e), whose e `similar` compares: arrays of distinct elements, unless it is given; then `sets_of` turns
-    (node, e) into such arrays. Each member of a band is compared with one leader of the band: the member whose bands have most
-    members in sum, as the original of many edited copies has. A leader has then met its whole band and leaves it; bands whose other
-    members are still in several components get another leader. After `stars` rounds the members left are compared with those
-    of other components that they share one of their rarest elements with, which leaves out no similar pair. Sizes that rule the
-    similarity out are not compared.
+    (node, e) into such arrays. Bands are counted first, by their keys alone, and only nodes of shared ones are looked at again. Each member of a
+    band is compared with one leader of the band: the member whose bands have most members in sum, as the original of many edited
+    copies has. A leader has then met its whole band and leaves it; bands whose other members are still in several components get
+    another leader. After `stars` rounds the members left are compared with those of other components that they share one of
+    their rarest elements with, which leaves out no similar pair. Sizes that rule the similarity out are not compared.
     """
-    shared = banded.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("rows")).where("x < y")
-    counted, named = ws.fresh("members"), ws.fresh("members")
-    members = ws.write(banded.join(shared, "band").groupBy("band", "node").agg(F.max("n").alias("n"), F.max("rows").alias("rows")), counted)
-    central = members.groupBy("node").agg((-F.sum("rows")).alias("rank"))
-    members = ws.write(members.drop("rows").join(central, "node").withColumn("component", F.col("node")), named)
-    ws.drop(counted)
+    shared = ws.write(banded.groupBy("band").agg(F.count("*").alias("rows")).where("rows > 1"), ws.fresh("shared"))
+    together = F.sum("rows").over(Window.partitionBy("node"))  # as many rows as a node has bands
+    members = banded.join(F.broadcast(shared) if small_enough(shared) else shared, "band")
+    named = ws.fresh("members")
+    members = ws.write(members.select("band", "node", "n", (-together).alias("rank"), F.col("node").alias("component")), named)
     if members.isEmpty():
         return None
-    content = ws.write(content_of(members.select("node").distinct()), ws.fresh("content"))
+    content = ws.write(content_of(ws.write(members.select("node").distinct(), ws.fresh("wanted"))), ws.fresh("content"))
     linked: DataFrame | None = None
     for turn in range(stars + 1):
         if turn < stars:
@@ -91,12 +91,13 @@ def similar_components(
             pairs = _rare_pairs(ws, left, sets_of(content.join(left.select("node"), "node", "left_semi")), threshold)
         pairs = ws.write(pairs.select("a", "b").distinct(), ws.fresh("pairs"))
         one, two = (content.select(F.col("node").alias(x), F.col("e").alias(f"e{x}")) for x in "ab")
+        two = two.join(pairs.select("b").distinct(), "b", "left_semi")  # leaders are few
         alike = (similar or by_elements(threshold))(pairs.join(one, "a").join(two, "b"))
         found = ws.write(alike.select("a", "b"), ws.fresh("links"))
         linked = found if linked is None else linked.unionByName(found)
+        joined = components(ws, linked)
         if turn == stars:
             break
-        joined = components(ws, linked)
         labelled = members.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         leaders = labelled.groupBy("band").agg(_leader(turn))
         rest = labelled.join(leaders, "band").where("node <> lead.node").drop("lead")
@@ -105,5 +106,5 @@ def similar_components(
         members = ws.write(rest.join(several, "band").select("band", "node", "n", "rank", "component"), named)
         ws.drop(old)
         if members.isEmpty():
-            return joined
-    return components(ws, linked)
+            break
+    return joined
