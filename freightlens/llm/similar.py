@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import log
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,15 @@ def _leader(turn: int, *more: str):
     return F.min(F.struct(by.alias("by"), "node", *more)).alias("lead")
 
 
+def _sized_bands(threshold: float):
+    """The two parts of its band that a node of n elements belongs to; sizes that allow the similarity have a part in common.
+
+    Sizes fall into classes so wide that two of a ratio of `threshold` or more are in one or in neighbouring ones; a part holds two classes.
+    """
+    of_size = F.floor(F.log("n") / (log(1 / threshold) + ROUNDING))
+    return F.array(F.xxhash64("band", of_size), F.xxhash64("band", of_size + 1))
+
+
 def _rare_pairs(ws: Workspace, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(a, b): every pair of `nodes` (node, component) of different components that can reach the similarity, and few others.
 
@@ -68,13 +78,15 @@ def similar_components(
     band is compared with one leader of the band: the member whose bands have most members in sum, as the original of many edited
     copies has. A leader has then met its whole band and leaves it; bands whose other members are still in several components get
     another leader. After `stars` rounds the members left are compared with those of other components that they share one of
-    their rarest elements with, which leaves out no similar pair. Sizes that rule the similarity out are not compared.
+    their rarest elements with, which leaves out no similar pair. Sizes that rule the similarity out are not compared,
+    and bands are parted by size, so that members of very different size do not hold each other back.
     """
     shared = ws.write(banded.groupBy("band").agg(F.count("*").alias("rows")).where("rows > 1"), ws.fresh("shared"))
     together = F.sum("rows").over(Window.partitionBy("node"))  # as many rows as a node has bands
     members = banded.join(F.broadcast(shared) if small_enough(shared) else shared, "band")
     named = ws.fresh("members")
-    members = ws.write(members.select("band", "node", "n", (-together).alias("rank"), F.col("node").alias("component")), named)
+    members = members.select("band", "node", "n", (-together).alias("rank"), F.col("node").alias("component"))
+    members = ws.write(members.select(F.explode(_sized_bands(threshold)).alias("band"), "node", "n", "rank", "component"), named)
     if members.isEmpty():
         return None
     content = ws.write(content_of(ws.write(members.select("node").distinct(), ws.fresh("wanted"))), ws.fresh("content"))

@@ -542,6 +542,20 @@ def test_fuzzy_lines(spark, documents):
     assert left[3] == texts[3] and left[4] == "x\n " and left[0] is None
 
 
+def test_sizes_of_line_sets():
+    lines = ["a", "ab" * 40, "x" * 30, " ".join(prose(30, 9)), "é" * 3]
+    sizes = fuzzy_lines.set_sizes(*fuzzy_lines.shingle_hashes(lines), len(lines))
+    assert sizes.tolist() == [len({t[i : i + 6] for i in range(max(1, len(t) - 5))}) for t in lines]
+    assert all(fuzzy_lines.set_sizes(*fuzzy_lines.shingle_hashes(["q" * n]), 1).tolist() == [1] for n in (1, 6, 50))
+
+
+def test_sizes_that_allow_the_similarity_share_a_part(spark):
+    sizes = spark.range(1, 400).selectExpr("cast(id as int) n", "7L band")
+    parts = {r.n: set(r.p) for r in sizes.select("n", similar._sized_bands(0.8).alias("p")).collect()}
+    assert all(parts[n] & parts[m] for n in parts for m in parts if n <= m and 5 * n >= 4 * m)
+    assert not parts[10] & parts[30]
+
+
 def test_fuzzy_lines_on_the_tables(spark):
     docs = [(r[0], r[1]) for r in rows(FOLDER, "documents")][:60]
     frame = table(spark, FOLDER, "documents", "doc_id", "text").where(f"doc_id in ({','.join(str(i) for i, _ in docs)})")
