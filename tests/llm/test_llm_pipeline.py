@@ -37,3 +37,17 @@ def test_stages_take_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         empty = steps(spark).write(stage(spark, empty, FOLDER), name)
     assert empty.count() == 0
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    names = ["_words", "_nr", "_copies", "_gone", "gone_id", "mix_words", "mix_nr", "mix_copies", "mix_size", "mix_copy", "size", "copies", "class_id", "a.b"]
+    texts = ["a b c d e f g", "a b c d e f g", "h i j", "", None]
+    rows = [(i, t, "s" if i % 2 else None, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    kinds = ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, source string, {kinds}")
+    held = {r[0]: tuple(r) for r in rows}
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} == {held[i] for i in (0, 2, 3, 4)}
+    mixed = corpus_pipeline.mix_sources(spark, docs, FOLDER)
+    assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} <= set(held.values())
+    assert mixed.where("text is not null").count() > 0
