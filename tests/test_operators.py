@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from freightlens.functions import text
 from freightlens.operators import cleaning, distinct, joins, ranking, rules
 from freightlens.plans import dims, facts, staging
 
@@ -257,3 +258,38 @@ def test_service_levels(spark):
 def test_rows_are_numbered_without_gaps(spark, ws, warehouse):
     ids = [r.staging_row_id for r in warehouse.staging.select("staging_row_id").collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+def test_lookup_join_is_left_out_of_plans_that_do_not_use_it(spark):
+    lookup = spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string")
+    rows = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k long, n long")
+    for null_safe, found in ((False, {10: "a", 20: None, 30: None}), (True, {10: "a", 20: None, 30: "n"})):
+        for small in (True, False):
+            joined = joins.lookup_join(rows, lookup, [("k", "k")], ["v"], null_safe=null_safe, small=small)
+            assert {r.n: r.v for r in joined.collect()} == found
+            assert "Join" not in joined.agg(F.sum("n"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_copies_of_a_key_under_several_orders_are_cleaned_by_key(spark, ws):
+    rows = [(1, 7, "a", None), (1, 8, "a", "x"), (1, None, "b", "x"), (2, 7, "c", None), (2, 7, "b", None), (None, 7, "d", None)]
+    df = spark.createDataFrame(rows, "order_item_id long, order_id long, product_name string, market string")
+    for some in (df, df.where("order_item_id = 2")):
+        clean, counted = cleaning.clean_and_count(ws, some, ws.fresh("clean"))
+        want = cleaning.clean_items(some)
+        assert sorted(map(tuple, clean.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert counted["kept"] == want.count() and counted["read"] == some.count()
+
+
+def test_fact_queries_do_not_shuffle_or_write_wide_rows(warehouse):
+    """A query of one key and one measure joins nothing for the other columns; staging and fact are not stored for it."""
+    plan = warehouse.fact.groupBy("category_key").agg(F.sum("sales"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "order_total_sales" not in plan and "customer_first_order_date" not in plan.split("Join LeftOuter")[1].split("Relation")[0]
+    read = {f.rsplit("/", 2)[-2] for f in warehouse.fact.inputFiles()}
+    assert not any(name.startswith("fact_order_item") for name in read)
+
+
+def test_title_case_of_plain_and_other_words(spark):
+    words = ["new  york", "O'NEILL", " sAN-josé", "", "a1b", "ÉVRY sud", None, "x\ty"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    slow = lambda w: "".join(c.upper() if not (i and w[i - 1].isalpha()) else c.lower() for i, c in enumerate(w))
+    assert [r[0] for r in df.select(text.title_case(F.col("w"))).collect()] == [None if w is None else slow(w) for w in words]
