@@ -198,3 +198,13 @@ def test_totals_that_are_there_are_checked(sound):
     few = sound.select("order_id", "sales", "order_total_sales")
     rows = validation.report(few, validation.aggregate_checks(few)).collect()
     assert [(r.check_name, r.status) for r in rows] == [("order_total_sales is consistent within each order", "PASS")]
+
+
+def test_domain_report_lists_every_unexpected_value(sound):
+    ids = [r[0] for r in sound.select("order_item_id").orderBy("order_item_id").limit(3).collect()]
+    labels = F.when(F.col("order_item_id") == ids[0], "odd").when(F.col("order_item_id").isin(ids[1:]), "it's odd")
+    spoilt = sound.withColumn("operational_risk_segment", F.coalesce(labels, "operational_risk_segment"))
+    rows = {r.check_name: r for r in validation.report(spoilt, validation.domain_checks(spoilt, listed=True)).collect()}
+    row = rows["operational_risk_segment contains only approved values"]
+    assert (row.status, row.observed, row.affected_rows) == ("FAIL", "['it's odd', 'odd']", 3)
+    assert rows["profitability_status contains only approved values"].observed == "[]"
