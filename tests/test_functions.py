@@ -125,3 +125,13 @@ def test_totals_group_missing_keys_and_sum_nothing_to_zero(spark):
 def test_tenure_counts_whole_days(spark):
     df = spark.sql("select timestamp_ntz'2024-01-01 23:00:00' a, timestamp_ntz'2024-01-03 22:00:00' b")
     assert df.select(dates.whole_days(F.col("a"), F.col("b")).alias("d")).first().d == 1
+
+
+def test_untidy_text_is_squeezed_and_the_rest_kept(spark):
+    words = ["a b", " a", "a ", "a  b", "a\tb", "a\n", "\x0b", " nan ", "None", "", " ", "a ", "a  ", "a ", None, "3.0", "3."]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    old = F.regexp_replace(F.regexp_replace("w", r"^\s+|\s+$", ""), r"\s+", " ")
+    pairs = df.select(text.squeezed(F.col("w")).alias("now"), F.when(~old.isin("", "nan", "None"), old).alias("was")).collect()
+    assert [r.now for r in pairs] == [r.was for r in pairs]
+    plan = df.select(text.squeezed(F.col("w")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan
