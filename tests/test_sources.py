@@ -124,3 +124,16 @@ def test_csv_text_comes_back_unchanged(spark, tmp_path):
     assert {int(r.id): r.t for r in reader.csv(path).collect()} == {**dict(rows), 3: None}
     lines = {r.value for r in spark.read.text(path).collect()}
     assert '3,""' in lines and "4," in lines  # a reader that tells quotes from none can tell empty from NULL
+
+
+def test_large_exports_are_compressed_in_files_of_bounded_rows(spark, ws, monkeypatch):
+    import gzip
+    from pathlib import Path
+
+    monkeypatch.setattr(sinks, "FILE_ROWS", 3)
+    rows = [(i, 'a "b",\nc' if i % 2 else " x ") for i in range(10)]
+    path = sinks.write_csv(spark.createDataFrame(rows, "k int, v string").coalesce(1), ws.path(ws.fresh("gz")))
+    files = [p for p in Path(path.removeprefix("file:")).iterdir() if p.name.startswith("part-")]
+    assert len(files) == 4 and all(gzip.decompress(p.read_bytes()) for p in files)
+    assert sorted((int(r.k), r.v) for r in csv.read_text_csv(spark, path, ("utf-8",)).collect()) == rows
+    assert sinks.count_exported(ws, path) == 10
