@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 from math import log1p
 
 import numpy as np
@@ -69,9 +69,7 @@ def gram_counts(docs: DataFrame) -> np.ndarray:
                 data = to_bytes(text)
                 for at in range(0, len(data), 1 << 20):
                     s = symbols(b"   " + data[at : at + (1 << 20)].lower() + b" ")
-                    total += np.bincount(((s[:-3] * 32 + s[1:-2]) * 32 + s[2:-1]) * 32 + s[3:], minlength=len(total)) if len(s) > 1 << 16 else 0
-                    if len(s) <= 1 << 16:
-                        np.add.at(total, ((s[:-3] * 32 + s[1:-2]) * 32 + s[2:-1]) * 32 + s[3:], 1)
+                    np.add.at(total, ((s[:-3] * 32 + s[1:-2]) * 32 + s[2:-1]) * 32 + s[3:], 1)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
@@ -148,7 +146,7 @@ class Restorer:
 
     def word(self, token: str) -> str:
         """A lower-case token without edge punctuation, restored if it looks tampered with; words are parted by spaces."""
-        if LETTER.search(token) and SUSPICIOUS.search(token):
+        if SUSPICIOUS.search(token) and LETTER.search(token):
             return self.viterbi(token).strip(EDGES)
         return token.strip(EDGES)
 
@@ -170,16 +168,15 @@ class Restorer:
 
 def word_features(restored: str) -> list[int]:
     """Hash buckets of restored words and their beginnings."""
-    names = [name for word in restored.split() for name in (f"{word}$", *(word[:n] for n in PREFIXES if len(word) >= n))]
-    return [xxhash.xxh3_64_intdigest(n) >> (64 - FEATURE_BITS) for n in names]
+    names = []
+    for word in restored.split():
+        names.append(word + "$")
+        names += [word[:n] for n in PREFIXES[: max(0, len(word) + 1 - PREFIXES[0])]]
+    return [digest >> (64 - FEATURE_BITS) for digest in map(xxhash.xxh3_64_intdigest, names)]
 
 
 def _counted(text: str | None, features: Remembered) -> Counter:
-    found: Counter = Counter()
-    for token, n in Counter(Restorer.tokens(text or "")).items():
-        for f in features[token]:
-            found[f] += n
-    return found
+    return Counter(chain.from_iterable(map(features.__getitem__, Restorer.tokens(text or ""))))
 
 
 def training_sample(ws: Workspace, docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
@@ -261,18 +258,15 @@ def fit(rows: DataFrame, place: np.ndarray, rounds: int = 300, decay: float = 2e
 
 def score(docs: DataFrame, restorer: Restorer, place: np.ndarray, weights: np.ndarray, bias: float) -> DataFrame:
     worth = weights.tolist()
+    chosen = {f: int(place[f]) for f in np.flatnonzero(place >= 0).tolist()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Remembered(lambda token: tuple(p for f in word_features(restorer.word(token)) if (p := int(place[f])) >= 0))
+        features = Remembered(lambda token: tuple([chosen[f] for f in word_features(restorer.word(token)) if f in chosen]))
         for batch in batches:
             scores = []
             for text in batch.column(1).to_pylist():
-                tokens = Counter(Restorer.tokens(text or ""))
-                found: Counter = Counter()
-                for token, n in tokens.items():
-                    for f in features[token]:
-                        found[f] += n
-                total = bias + sum(worth[f] * log1p(n) for f, n in found.items())
+                found = _counted(text, features)
+                total = bias + sum([worth[f] * log1p(n) for f, n in found.items()])
                 scores.append(float(1 / (1 + np.exp(-np.clip(total, -700, 700)))) if total > -np.inf else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 

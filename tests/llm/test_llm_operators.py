@@ -4,11 +4,13 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from freightlens.llm import chat_windows, dart_minhash, fertility, fuzzy_lines, latent_decontamination, mixing, similar, substring_dedup, token_files, toxicity, warc
@@ -690,3 +692,15 @@ def test_decontamination_finds_through_the_latent_space(spark, documents, monkey
     assert found() == {n: [n % 6, n % 6 + 6] for n in range(12)} and ranks[-1] < 12
     monkeypatch.setattr(latent_decontamination, "latent_space", lambda *a: whole(*a) * 0)
     assert not found()
+
+
+def test_grams_are_counted_in_time_of_the_texts_alone(spark, documents, monkeypatch):
+    counts = toxicity.gram_counts(documents(["ab"] * 30 + [None, ""]))
+    at = lambda *s: ((s[0] * 32 + s[1]) * 32 + s[2]) * 32 + s[3]
+    assert counts[at(0, 0, 0, 1)] == counts[at(0, 0, 1, 2)] == counts[at(0, 1, 2, 0)] == 30 and counts.sum() == 90
+    taken = []
+    monkeypatch.setattr(toxicity, "in_batches", lambda df, work, schema: taken.append(work) or spark.range(0).selectExpr("id AS gram", "id AS n"))
+    toxicity.gram_counts(documents([]))
+    batch, began = pa.RecordBatch.from_arrays([pa.array(["ab"] * 5000)], ["text"]), time.thread_time()
+    assert len(list(taken[0](iter([batch])))[0]) == 3
+    assert time.thread_time() - began < 1  # a pass over the million counts for every text takes several seconds
