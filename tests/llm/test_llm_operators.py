@@ -15,6 +15,7 @@ import pytest
 
 from freightlens.llm import chat_windows, dart_minhash, fertility, fuzzy_lines, latent_decontamination, mixing, similar, substring_dedup, token_files, toxicity, warc
 from freightlens.llm.common import folded, hashed_words, steps, table, words_of
+from freightlens.llm.components import components
 from freightlens.llm.queries import QUERIES, STATEMENTS
 
 FOLDER = "/root/testdata/sf0.001"
@@ -704,3 +705,18 @@ def test_grams_are_counted_in_time_of_the_texts_alone(spark, documents, monkeypa
     batch, began = pa.RecordBatch.from_arrays([pa.array(["ab"] * 5000)], ["text"]), time.thread_time()
     assert len(list(taken[0](iter([batch])))[0]) == 3
     assert time.thread_time() - began < 1  # a pass over the million counts for every text takes several seconds
+
+
+def test_components_take_no_job_to_compare_rounds(spark, monkeypatch):
+    frame = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 21), (5, 5)], "a long, b long")
+    ws = steps(spark)
+
+    def read(self):
+        raise AssertionError("the edges are read for their number")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(frame), "first", read)
+        found = components(ws, frame)
+        none = components(ws, frame.where("a > 99"))
+    assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(10)} | {(20, 20), (21, 20)}
+    assert none.count() == 0
