@@ -12,7 +12,8 @@ deflated; index: (doc_id int64, start int64, n int64) per document; table: (offs
 place and size of both, MAGIC. A null doc_id is written as the smallest int64.
 
 Encoding is remembered by piece: texts are cut before every space that a visible character follows, where the vocabulary's
-own splitter always cuts, so the ids are those of the whole text. Null texts are empty: the end id alone. Rows that repeat
+own splitter always cuts, so the ids are those of the whole text. New pieces of letters, signs and line ends are cut where it cuts, too, and
+their parts go to the library's model. Null texts are empty: the end id alone. Rows that repeat
 a doc_id are documents of their own. Only doc_id and text are read.
 """
 
@@ -22,16 +23,18 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Collection, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import in_batches, steps, table
+from freightlens.llm.common import Remembered, in_batches, steps, table
 from freightlens.llm.warc import opened
 from freightlens.session import Workspace
 
@@ -44,7 +47,7 @@ LEAST_USES = 8
 GAIN = 0.02
 LIMIT = 1 << 16
 NO_ID = -(1 << 63)
-TOGETHER = 1 << 20  # characters of texts whose new pieces are encoded together
+TOGETHER = 1 << 21  # characters of texts whose pieces are looked up together
 CALL = 2000  # pieces handed to the tokenizer at once
 
 
@@ -60,46 +63,86 @@ class PieceIds(dict):
         self.tokenizer, self.most = Tokenizer.from_file(public_tokenizers.path(vocabulary)), most
         if self.tokenizer.get_vocab_size() > LIMIT:
             raise ValueError("ids do not fit 16 bits")
+        model = self.tokenizer.model
+        self.words = Remembered(lambda word: array("H", [t.id for t in model.tokenize(_in_bytes(word))]).tobytes(), min(most, 200_000))
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces not known yet, some thousand in a call; of too many the half held longest goes first."""
+    def learn(self, pieces: Collection[str]) -> None:
+        """Encode the pieces not known yet, words of letters one by one, the others some thousand in a call; of too many the half held longest goes first."""
         if len(self) + len(pieces) > self.most:
             for piece in list(islice(self, len(self) // 2)):
                 del self[piece]
-        new = [p for p in pieces if p not in self]
-        for at in range(0, len(new), CALL):
-            some = new[at : at + CALL]
+        words, other = self.words, []
+        for piece in [p for p in pieces if p not in self]:
+            if found := _WORD.fullmatch(piece):
+                self[piece] = words[found[1]] + words[found[2]] if found[2] else words[found[1]]
+            elif _WORDS.fullmatch(piece):
+                self[piece] = b"".join(map(words.__getitem__, _PARTS.findall(piece)))
+            else:
+                other.append(piece)
+        for at in range(0, len(other), CALL):
+            some = other[at : at + CALL]
             for piece, encoded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self[piece] = np.array(encoded.ids, "<u2").tobytes()
 
 
-_known: dict[str, PieceIds] = {}
-_AMBIGUOUS = re.compile(r" (?=\s|$)")
-_CUT = re.compile(r"(?= \S)")
+# The splitter ends a part where letters meet other signs and around a lone line end between visible characters, so these parts are the model's own.
+_LETTERS, _SIGNS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", r"[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]"
+_WORD = re.compile(f"( ?{_LETTERS})({_SIGNS}*)")
+_WORDS = re.compile(rf" ?{_LETTERS}{_SIGNS}*(?:\n{_LETTERS}{_SIGNS}*)+")
+_PARTS = re.compile(rf" ?{_LETTERS}|{_SIGNS}+|\n")
+_VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_ALPHABET = {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}  # how the vocabulary writes the other bytes
+
+
+def _in_bytes(word: str) -> str:
+    return word.replace(" ", _ALPHABET[32]).replace("\n", _ALPHABET[10]) if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
 
 
-def pieces_of(text: str) -> list[str]:
-    if _AMBIGUOUS.search(text):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return [first] + [" " + p for p in rest]
+_known: dict[str, PieceIds] = {}
+_CUT = re.compile(r"(?= \S)")
 
 
 def encode(texts: list[str | None], vocabulary: str = VOCABULARY) -> Iterator[np.ndarray]:
     """The ids of each text, uint16, with the end id."""
     if vocabulary not in _known:
         _known[vocabulary] = PieceIds(vocabulary)
-    known, end = _known[vocabulary], np.array([END_ID], "<u2").tobytes()
-    cut, size = [], 0
+    some, size = [], 0
     for n, text in enumerate(texts, 1):
-        cut.append(pieces_of(text.encode("utf-8", "replace").decode()) if text else [])
-        size += len(text or "")
-        if size < TOGETHER and n < len(texts):
-            continue
-        known.learn(set().union(*cut))
-        for pieces in cut:
-            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)) + end, "<u2")
-        cut, size = [], 0
+        some.append(text.encode("utf-8", "replace").decode() if text else "")
+        size += len(some[-1])
+        if size >= TOGETHER or n == len(texts):
+            yield from _encoded(some, _known[vocabulary])
+            some, size = [], 0
+
+
+def _encoded(texts: list[str], known: PieceIds) -> list[np.ndarray]:
+    """Every text as numbers of pieces, each piece looked up once."""
+    split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+    bounds, coded = split.offsets.to_numpy(), split.flatten().dictionary_encode()
+    words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    pieces = [" " + w for w in words.to_numpy(zero_copy_only=False).tolist()]
+    unsure = pc.or_(pc.equal(words, ""), pc.not_equal(words, pc.utf8_ltrim_whitespace(words))).to_numpy(zero_copy_only=False)[at]
+    unsure[bounds[:-1]] = False  # a text's first piece is not parted from anything
+    more: dict[str, int] = {}
+    first = [t.split(" ", 1)[0] for t in texts]
+    at[bounds[:-1]] = [more.setdefault(p, len(pieces) + len(more)) for p in first]
+    each = np.split(at, bounds[1:-1])
+    for i in set((np.searchsorted(bounds, np.flatnonzero(unsure), "right") - 1).tolist()):  # not every space of these parts pieces
+        each[i] = np.array([more.setdefault(p, len(pieces) + len(more)) for p in _CUT.split(texts[i])])
+    pieces += more
+    ids = [*map(known.get, pieces), np.array([END_ID], "<u2").tobytes()]
+    new = [i for i, x in enumerate(ids) if x is None]
+    known.learn({pieces[i] for i in new})
+    for i in new:
+        ids[i] = known[pieces[i]]
+    sizes = np.fromiter(map(len, ids), np.int64) // 2
+    starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u2")
+    counts = np.cumsum([len(e) for e in each])
+    at = np.insert(np.concatenate(each), counts, len(pieces))
+    n = sizes[at]
+    ends = np.cumsum(n)
+    whole = flat[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1])]
+    return np.split(whole, ends[counts + np.arange(len(texts))][:-1])
 
 
 def compress(ids: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,17 +151,18 @@ def compress(ids: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray
     rules, lengths = [np.empty((0, 2), np.uint32)], np.ones(first_symbol, np.int64)
     while len(sequence) > 1 and len(lengths) < LIMIT:
         keys = (sequence[:-1] << np.uint32(16)) | sequence[1:]
-        cells = (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - HASH_BITS)
+        cells = ((keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - HASH_BITS)).astype(np.intp)
         held = np.zeros(1 << HASH_BITS, np.uint32)
         held[cells] = keys  # one pair speaks for a cell
-        counts = np.bincount(cells[held[cells] == keys], minlength=1 << HASH_BITS)
+        own = held[cells] == keys
+        counts = np.bincount(cells[own], minlength=1 << HASH_BITS)
         frequent = np.flatnonzero(counts >= LEAST_USES)
         room = min(LIMIT - len(lengths), max(64, (LIMIT - first_symbol) // 4))
         frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:room]]
         chosen = np.zeros(1 << HASH_BITS, bool)
         chosen[frequent] = True
 
-        at = np.flatnonzero(chosen[cells] & (held[cells] == keys))
+        at = np.flatnonzero(chosen[cells] & own)
         if not len(at):
             break
         begins = np.r_[True, np.diff(at) > 1]
@@ -171,30 +215,43 @@ class Shard:
         self.starts = np.r_[0, np.cumsum(self.table[:, 4])]
         self.loaded: tuple[int, tuple] = (-1, ())
 
-    def _block(self, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _block(self, b: int) -> tuple[np.ndarray, ...]:
         if self.loaded[0] != b:
             offset, size, n_rules, n_symbols, _ = self.table[b].tolist()
             raw = zlib.decompress(self.source.read_at(size, offset))
             rules = np.frombuffer(raw, "<u2", n_rules * 2).reshape(-1, 2).astype(np.int64)
             lengths = np.frombuffer(raw, "<u4", n_rules, n_rules * 4).astype(np.int64)
             symbols = np.frombuffer(raw, "<u2", n_symbols, n_rules * 8).astype(np.int64)
-            sizes = np.concatenate([np.ones(self.first, np.int64), lengths])[symbols]
-            self.loaded = (b, (rules, symbols, np.r_[0, np.cumsum(sizes)]))
+            sizes = np.concatenate([np.ones(self.first, np.int64), lengths])
+            flat = np.concatenate([np.arange(self.first, dtype=np.uint32), expand(np.arange(self.first, self.first + n_rules), rules, self.first)])
+            self.loaded = (b, (flat, np.cumsum(sizes) - sizes, symbols, np.r_[0, np.cumsum(sizes[symbols])]))
         return self.loaded[1]
 
     def ids(self, start: int, n: int) -> np.ndarray:
-        """Ids [start, start + n) of the shard, as far as it goes; only the symbols that cover them are expanded."""
+        """Ids [start, start + n) of the shard, as far as it goes; only the symbols that cover them are read, each rule of a block is expanded once."""
         out, end = [], min(start + n, int(self.starts[-1]))
         if end <= start:
             return np.empty(0, np.uint32)
         for b in range(int(np.searchsorted(self.starts, start, "right")) - 1, int(np.searchsorted(self.starts, end))):
-            rules, symbols, ends = self._block(b)
+            flat, starts, symbols, ends = self._block(b)
             lo, hi = max(start - self.starts[b], 0), min(end - self.starts[b], ends[-1])
             a, z = int(np.searchsorted(ends, lo, "right")) - 1, int(np.searchsorted(ends, hi))
-            out.append(expand(symbols[a:z], rules, self.first)[lo - ends[a] : hi - ends[a]])
+            at = np.repeat(starts[symbols[a:z]] - ends[a:z], np.diff(ends[a : z + 1])) + np.arange(ends[a], ends[z])
+            out.append(flat[at[lo - ends[a] : hi - ends[a]]])
         return np.concatenate(out)
 
 
+    def checksums(self) -> Iterator[int]:
+        """crc32 of every document's ids as uint32; documents of about a block are decoded at once."""
+        starts, ends = self.documents[:, 1], self.documents[:, 1] + self.documents[:, 2]
+        lo = 0
+        while lo < len(starts):
+            hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + BLOCK_IDS, "right")))
+            ids = self.ids(int(starts[lo]), int(ends[hi - 1] - starts[lo])).astype("<u4")
+            yield from (zlib.crc32(ids[a:z]) for a, z in zip((starts[lo:hi] - starts[lo]).tolist(), (ends[lo:hi] - starts[lo]).tolist()))
+            lo = hi
+
+
 def first_symbol_of(vocabulary: str) -> int:
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -265,7 +322,7 @@ def read_shards(shards: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 with system.open_input_file(name) as source:
                     shard = Shard(source, first_symbol)
                     starts, sizes = shard.documents[:, 1].tolist(), shard.documents[:, 2].tolist()
-                    crc = [zlib.crc32(shard.ids(s, n).astype("<u4").tobytes()) for s, n in zip(starts, sizes)]
+                    crc = list(shard.checksums())
                 ids = [None if d == NO_ID else d for d in shard.documents[:, 0].tolist()]
                 columns = [pa.array(ids, pa.int64()), pa.array([base + s for s in starts], pa.int64()), pa.array(sizes, pa.int64())]
                 columns += [pa.array(crc, pa.int64()), pa.array([path] * len(ids), pa.string())]

@@ -720,3 +720,12 @@ def test_components_take_no_job_to_compare_rounds(spark, monkeypatch):
         none = components(ws, frame.where("a > 99"))
     assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(10)} | {(20, 20), (21, 20)}
     assert none.count() == 0
+
+
+def test_new_pieces_go_to_the_model_by_word(tokenizer, monkeypatch):
+    pieces = [" über", "x.\nThen,", " a-b", " don't", " 12,5", "\n", " end\n", " a\n\nb", " <|endoftext|>", "é...\né"]
+    known, calls = token_files.PieceIds(token_files.VOCABULARY), []
+    known.tokenizer = type("", (), {"encode_batch_fast": lambda self, some, **k: (calls.extend(some), tokenizer.encode_batch_fast(some, **k))[1]})()
+    known.learn(pieces)
+    assert all(known[p] == np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<u2").tobytes() for p in pieces)
+    assert not {" über", "x.\nThen,", "é...\né"} & set(calls)
