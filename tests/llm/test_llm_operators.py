@@ -695,6 +695,29 @@ def test_decontamination_finds_through_the_latent_space(spark, documents, monkey
     assert not found()
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_pairs_ruled_out_by_bits_are_not_alike(threshold):
+    rng = np.random.default_rng(5)
+    lines = ["", "a", "abcde", "abcdef", "é" * 40, "日本語" * 9] + ["".join(rng.choice(list("abcdé "), n)) for n in rng.integers(1, 400, 40)]
+    lines += [line[: len(line) // 2] + "x" + line[len(line) // 2 :] for line in lines] + [line * 30 for line in lines[:4]]
+    one, two = (x.ravel() for x in np.meshgrid(np.arange(len(lines)), np.arange(len(lines))))
+    may = fuzzy_lines.can_be_alike(lines, one, two, threshold)
+    are = np.array([line_jaccard(lines[a], lines[b]) >= threshold for a, b in zip(one, two)])
+    assert not (are & ~may).any()
+    assert may.sum() < len(one) / 4
+
+
+def test_bands_of_lines_are_gone_before_lines_are_compared(spark, documents, monkeypatch):
+    words = prose(30, 3)
+    frame = documents(["\n".join(" ".join(words[:i] + ["odd"] + words[i:]) for i in range(4)), " ".join(words)])
+    ws, dropped, compare = steps(spark), [], fuzzy_lines.alike
+    monkeypatch.setattr(ws, "drop", lambda name, drop=ws.drop: (dropped.append(name), drop(name)))
+    monkeypatch.setattr(fuzzy_lines, "alike", lambda *a, **k: (dropped.append("compared"), compare(*a, **k))[1])
+    got = fuzzy_lines.fuzzy_lines(ws, frame).collect()
+    assert sum(r.kept for r in got) == 1 and len(got) == 5
+    assert any(name.startswith("nodes") for name in dropped[: dropped.index("compared")])
+
+
 def test_grams_are_counted_in_time_of_the_texts_alone(spark, documents, monkeypatch):
     counts = toxicity.gram_counts(documents(["ab"] * 30 + [None, ""]))
     at = lambda *s: ((s[0] * 32 + s[1]) * 32 + s[2]) * 32 + s[3]
@@ -707,6 +730,15 @@ def test_grams_are_counted_in_time_of_the_texts_alone(spark, documents, monkeypa
     assert time.thread_time() - began < 1  # a pass over the million counts for every text takes several seconds
 
 
+def test_new_pieces_go_to_the_model_by_word(tokenizer, monkeypatch):
+    pieces = [" über", "x.\nThen,", " a-b", " don't", " 12,5", "\n", " end\n", " a\n\nb", " <|endoftext|>", "é...\né"]
+    known, calls = token_files.PieceIds(token_files.VOCABULARY), []
+    known.tokenizer = type("", (), {"encode_batch_fast": lambda self, some, **k: (calls.extend(some), tokenizer.encode_batch_fast(some, **k))[1]})()
+    known.learn(pieces)
+    assert all(known[p] == np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<u2").tobytes() for p in pieces)
+    assert not {" über", "x.\nThen,", "é...\né"} & set(calls)
+
+
 def test_components_take_no_job_to_compare_rounds(spark, monkeypatch):
     frame = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 21), (5, 5)], "a long, b long")
     ws = steps(spark)
@@ -720,12 +752,3 @@ def test_components_take_no_job_to_compare_rounds(spark, monkeypatch):
         none = components(ws, frame.where("a > 99"))
     assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(10)} | {(20, 20), (21, 20)}
     assert none.count() == 0
-
-
-def test_new_pieces_go_to_the_model_by_word(tokenizer, monkeypatch):
-    pieces = [" über", "x.\nThen,", " a-b", " don't", " 12,5", "\n", " end\n", " a\n\nb", " <|endoftext|>", "é...\né"]
-    known, calls = token_files.PieceIds(token_files.VOCABULARY), []
-    known.tokenizer = type("", (), {"encode_batch_fast": lambda self, some, **k: (calls.extend(some), tokenizer.encode_batch_fast(some, **k))[1]})()
-    known.learn(pieces)
-    assert all(known[p] == np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<u2").tobytes() for p in pieces)
-    assert not {" über", "x.\nThen,", "é...\né"} & set(calls)
