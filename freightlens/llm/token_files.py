@@ -11,10 +11,10 @@ Shard layout (little endian): MAGIC; per block: rules as pairs of uint16, their
 deflated; index: (doc_id int64, start int64, n int64) per document; table: (offset, bytes, rules, symbols, ids) int64 per block; then the
 place and size of both, MAGIC. A null doc_id is written as the smallest int64.
 
-Encoding is remembered by piece: texts are cut before every space that a visible character follows, where the vocabulary's
-own splitter always cuts, so the ids are those of the whole text. New pieces of letters, signs and line ends are cut where it cuts, too, and
-their parts go to the library's model. Null texts are empty: the end id alone. Rows that repeat
-a doc_id are documents of their own. Only doc_id and text are read.
+Texts are cut before every space that a visible character follows, where the vocabulary's
+own splitter always cuts, so the ids are those of the whole text. Pieces of letters, signs and line ends are cut where it cuts, too; their
+parts go to the library's model by the thousand, and both parts and other pieces are remembered.
+Null texts are empty: the end id alone. Rows that repeat a doc_id are documents of their own. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ LEAST_USES = 8
 GAIN = 0.02
 LIMIT = 1 << 16
 NO_ID = -(1 << 63)
-TOGETHER = 1 << 21  # characters of texts whose pieces are looked up together
+TOGETHER = 1 << 23  # characters of texts whose pieces are looked up together
 CALL = 2000  # pieces handed to the tokenizer at once
 
 
@@ -85,63 +85,133 @@ class PieceIds(dict):
                 self[piece] = np.array(encoded.ids, "<u2").tobytes()
 
 
+class PartIds:
+    """The ids of parts of plain words, as arrays: parts the model has seen are not given to it again."""
+
+    def __init__(self, pieces: PieceIds, most: int = 1_000_000):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+        self.words, self.most = pieces.words, most
+        self.model = Tokenizer(pieces.tokenizer.model)
+        self.model.pre_tokenizer = CharDelimiterSplit(_ALPHABET[1])
+        self.begins = np.zeros(LIMIT, bool)  # ids that begin with a space
+        self.begins[[i for token, i in pieces.tokenizer.get_vocab().items() if token.startswith(_ALPHABET[32])]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.parts, self.ids, self.sizes = pa.array([], pa.string()), np.empty(0, np.uint16), np.empty(0, np.int64)
+
+    def learn(self, parts: pa.Array) -> np.ndarray:
+        """The places of `parts`, all different, among those known; new ones are encoded."""
+        if len(self.parts) > self.most:
+            self.forget()
+        places = pc.fill_null(pc.index_in(parts, self.parts), -1).to_numpy().astype(np.int64)
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            new = parts.take(pa.array(unknown))
+            spaced, ascii_only = (x.to_numpy(zero_copy_only=False) for x in (pc.starts_with(new, " "), pc.string_is_ascii(new)))
+            kinds = [np.flatnonzero(x) for x in (spaced & ascii_only, spaced & ~ascii_only, ~spaced)]
+            words, accented, rest = (new.take(pa.array(k)) for k in kinds)
+            places[unknown[np.concatenate(kinds)]] = len(self.parts) + np.arange(len(new))
+            ids, others = np.r_[self._of_words(words), self._of_words(accented)], [self.words[p] for p in rest.to_pylist()]
+            sizes = np.diff(np.r_[np.flatnonzero(self.begins[ids]), len(ids)])
+            self.ids = np.r_[self.ids, ids, np.frombuffer(b"".join(others), "<u2")]
+            self.sizes = np.r_[self.sizes, sizes, np.fromiter(map(len, others), np.int64) // 2]
+            self.parts = pa.concat_arrays([self.parts, words, accented, rest])
+        return places
+
+    def _of_words(self, words: pa.Array) -> np.ndarray:
+        """The ids of words that begin with a space and have no other; the id a word begins with begins with it, too."""
+        found = [np.empty(0, np.uint16)]
+        for at in range(0, len(words), CALL):
+            some = "\x01".join(words[at : at + CALL].to_numpy(zero_copy_only=False).tolist())
+            found.append(np.array(self.model.encode_batch_fast([_in_bytes(some)], add_special_tokens=False)[0].ids, np.uint16))
+        return np.concatenate(found)
+
+    def of_plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words of _PLAIN, each after a space, and how many each word has."""
+        parted = pc.replace_substring_regex(pc.binary_join_element_wise(" ", words, ""), _PLAIN_PARTS, r"\1" + "\x01")
+        split = pc.split_pattern(parted, "\x01")
+        ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
+        coded = split.flatten().dictionary_encode()
+        at = np.delete(coded.indices.to_numpy().astype(np.int64), ends - 1)  # nothing follows a word's last mark
+        places = self.learn(coded.dictionary)[at]
+        ends = np.cumsum(self.sizes[places])[ends - np.arange(1, len(ends) + 1) - 1]
+        return _gathered(self.ids, self.sizes, places), np.diff(ends, prepend=0)
+
+
+def _gathered(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """ids holds sequences of `sizes` one after the other: those of numbers `at`, one after the other."""
+    if not len(at):
+        return ids[:0]
+    n, starts = sizes[at], np.cumsum(sizes) - sizes
+    ends = np.cumsum(n)
+    return ids[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1])]
+
+
 # The splitter ends a part where letters meet other signs and around a lone line end between visible characters, so these parts are the model's own.
 _LETTERS, _SIGNS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", r"[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]"
 _WORD = re.compile(f"( ?{_LETTERS})({_SIGNS}*)")
 _WORDS = re.compile(rf" ?{_LETTERS}{_SIGNS}*(?:\n{_LETTERS}{_SIGNS}*)+")
 _PARTS = re.compile(rf" ?{_LETTERS}|{_SIGNS}+|\n")
+_PLAIN = rf"\A{_LETTERS}{_SIGNS}*(?:\n{_LETTERS}{_SIGNS}*)*\z"
+_PLAIN_PARTS = f"({_PARTS.pattern})"
 _VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 _ALPHABET = {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}  # how the vocabulary writes the other bytes
 
 
 def _in_bytes(word: str) -> str:
-    return word.replace(" ", _ALPHABET[32]).replace("\n", _ALPHABET[10]) if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+    return word.replace(" ", _ALPHABET[32]).replace("\n", _ALPHABET[10]).replace("\x01", _ALPHABET[1]) if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
 
 
-_known: dict[str, PieceIds] = {}
+_known: dict[str, tuple[PieceIds, PartIds]] = {}
 _CUT = re.compile(r"(?= \S)")
 
 
 def encode(texts: list[str | None], vocabulary: str = VOCABULARY) -> Iterator[np.ndarray]:
     """The ids of each text, uint16, with the end id."""
     if vocabulary not in _known:
-        _known[vocabulary] = PieceIds(vocabulary)
+        pieces = PieceIds(vocabulary)
+        _known[vocabulary] = pieces, PartIds(pieces)
     some, size = [], 0
     for n, text in enumerate(texts, 1):
         some.append(text.encode("utf-8", "replace").decode() if text else "")
         size += len(some[-1])
         if size >= TOGETHER or n == len(texts):
-            yield from _encoded(some, _known[vocabulary])
+            yield from _encoded(some, *_known[vocabulary])
             some, size = [], 0
 
 
-def _encoded(texts: list[str], known: PieceIds) -> list[np.ndarray]:
+def _encoded(texts: list[str], known: PieceIds, parts: PartIds) -> list[np.ndarray]:
     """Every text as numbers of pieces, each piece looked up once."""
     split = pc.split_pattern(pa.array(texts, pa.string()), " ")
     bounds, coded = split.offsets.to_numpy(), split.flatten().dictionary_encode()
     words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-    pieces = [" " + w for w in words.to_numpy(zero_copy_only=False).tolist()]
+    plain = pc.match_substring_regex(words, _PLAIN)
+    flat, sizes = parts.of_plain(words.filter(plain))
+    pieces = [" " + w for w in words.filter(pc.invert(plain)).to_pylist()]
     unsure = pc.or_(pc.equal(words, ""), pc.not_equal(words, pc.utf8_ltrim_whitespace(words))).to_numpy(zero_copy_only=False)[at]
     unsure[bounds[:-1]] = False  # a text's first piece is not parted from anything
+    is_plain = plain.to_numpy(zero_copy_only=False)
+    at = np.where(is_plain, np.cumsum(is_plain) - 1, len(sizes) + np.cumsum(~is_plain) - 1)[at]  # the plain ones come first
+    others = len(sizes) + len(pieces)
     more: dict[str, int] = {}
     first = [t.split(" ", 1)[0] for t in texts]
-    at[bounds[:-1]] = [more.setdefault(p, len(pieces) + len(more)) for p in first]
+    at[bounds[:-1]] = [more.setdefault(p, others + len(more)) for p in first]
     each = np.split(at, bounds[1:-1])
     for i in set((np.searchsorted(bounds, np.flatnonzero(unsure), "right") - 1).tolist()):  # not every space of these parts pieces
-        each[i] = np.array([more.setdefault(p, len(pieces) + len(more)) for p in _CUT.split(texts[i])])
+        each[i] = np.array([more.setdefault(p, others + len(more)) for p in _CUT.split(texts[i])])
     pieces += more
     ids = [*map(known.get, pieces), np.array([END_ID], "<u2").tobytes()]
     new = [i for i, x in enumerate(ids) if x is None]
     known.learn({pieces[i] for i in new})
     for i in new:
         ids[i] = known[pieces[i]]
-    sizes = np.fromiter(map(len, ids), np.int64) // 2
-    starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u2")
+    sizes = np.r_[sizes, np.fromiter(map(len, ids), np.int64) // 2]
     counts = np.cumsum([len(e) for e in each])
-    at = np.insert(np.concatenate(each), counts, len(pieces))
-    n = sizes[at]
-    ends = np.cumsum(n)
-    whole = flat[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1])]
+    at = np.insert(np.concatenate(each), counts, len(sizes) - 1)
+    whole, ends = _gathered(np.r_[flat, np.frombuffer(b"".join(ids), "<u2")], sizes, at), np.cumsum(sizes[at])
     return np.split(whole, ends[counts + np.arange(len(texts))][:-1])
 
 

@@ -752,3 +752,17 @@ def test_components_take_no_job_to_compare_rounds(spark, monkeypatch):
         none = components(ws, frame.where("a > 99"))
     assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(10)} | {(20, 20), (21, 20)}
     assert none.count() == 0
+
+
+def test_plain_words_are_encoded_by_the_thousand_and_their_parts_once(tokenizer):
+    def ids(piece):
+        return tokenizer.encode(piece, add_special_tokens=False).ids
+
+    pieces, calls = token_files.PieceIds(token_files.VOCABULARY), []
+    known = token_files.PartIds(pieces, most=8)
+    known.words = type("", (dict,), {"__missing__": lambda self, part: (calls.append(part), pieces.words[part])[1]})()
+    for words in (["tone", "tone.", "über,\nThen;", "a\nb"], [], ["tone\ntone", "éa"], ["zz", "tone!?"], ["x"]):  # forgets what it held once
+        flat, sizes = known.of_plain(pa.array(words, pa.string()))
+        ends = np.cumsum(sizes)
+        assert [flat[e - n : e].tolist() for e, n in zip(ends, sizes)] == [ids(f" {w}") for w in words]
+    assert not [part for part in calls if part.startswith(" ")] and len(known.parts) <= 8
