@@ -774,3 +774,14 @@ def test_bands_of_lines_are_not_shuffled_to_number_them(spark, documents):
     found = nodes.collect()
     assert len({(r.h1, r.h2) for r in found}) == len({r.node for r in found}) == len(found) == 28
     assert "Exchange hashpartitioning" not in nodes._jdf.queryExecution().toString()
+
+
+def test_later_rounds_of_links_start_from_stars(spark, monkeypatch):
+    sets = {i: list(range(i * 100, i * 100 + 10)) for i in range(4)} | {i + 4: list(range(i * 100, i * 100 + 9)) for i in range(4)}
+    elements = spark.createDataFrame(list(sets.items()), "node long, e array<long>")
+    banded = spark.createDataFrame([(1, i, len(e)) for i, e in sets.items()], "band long, node long, n int")
+    given, whole = [], similar.components
+    monkeypatch.setattr(similar, "components", lambda ws, edges: (given.append(edges), whole(ws, edges))[1])
+    found = similar.similar_components(steps(spark), banded, lambda wanted: elements.join(wanted, "node"), 0.8)
+    assert {r.node: r.component for r in found.collect()} == {i: i % 4 for i in sets}
+    assert len(given) == 2 and given[0].distinct().count() < given[1].distinct().count() == 4
